@@ -1,0 +1,21 @@
+"""Join helpers."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# A dimension is broadcast only when a row-count probe proves it is at most
+# this many rows; beyond it the join is left to AQE (sort-merge, or broadcast
+# once the measured shuffle size is below spark.sql.autoBroadcastJoinThreshold).
+DIM_BROADCAST_MAX_ROWS = 200_000
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = DIM_BROADCAST_MAX_ROWS) -> DataFrame:
+    """``broadcast(df)`` if ``df`` has at most ``max_rows`` rows, else ``df``.
+
+    The probe reads at most ``max_rows + 1`` rows, so it stays cheap when the
+    side is large.
+    """
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df
