@@ -52,8 +52,8 @@ def state_flag(orders: DataFrame, state: DataFrame) -> DataFrame:
     st = _state(state_lookup(state, orders))
     j = orders.join(st.withColumnRenamed("user_id", "_u"), orders.user_id == F.col("_u"), "left")
     seen = (F.col("if_consumed") == "1") & ~F.coalesce(F.col("first_order_id") == F.col("id"), F.lit(False))
-    return j.drop("_u", "if_consumed", "first_order_id").withColumn(
-        "if_first_order", F.when(seen, "0").otherwise("1"))
+    return j.withColumn("if_first_order", F.when(seen, "0").otherwise("1")).drop(
+        "_u", "if_consumed", "first_order_id")
 
 
 def batch_winners(orders: DataFrame, state: DataFrame | None = None) -> DataFrame:

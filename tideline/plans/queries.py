@@ -157,8 +157,7 @@ def q_dim_upsert(spark, sf):
     loaded_late = M.province_rows(spark, sf).where(F.col("region_id") == str(P.MISSING_REGION))
     changes = M.province_rows_v2(spark, sf).unionByName(loaded_late)
     good, _ = split_valid(parse_province(M.province_messages(changes)), F.col("_valid"))
-    return keyed_upsert(existing, good.select("id", "name", "region_id", "area_code"),
-                        ["id"], order=["offset"])
+    return keyed_upsert(existing, good, ["id"], order=["offset"])
 
 
 def q_user_dim_upsert(spark, sf):
@@ -182,7 +181,7 @@ def q_keyed_upsert(spark, sf):
                  .withColumn("operate_time", F.date_format(
                      F.to_timestamp("create_time") + F.expr("INTERVAL 1 DAY"), "yyyy-MM-dd HH:mm:ss")))
     v2, _ = orders.order_rows(M.order_messages(spark, sf, rows=changed))
-    return keyed_upsert(v1, v2.select(*v1.columns), ["id"], order=["offset"])
+    return keyed_upsert(v1, v2, ["id"], order=["offset"])
 
 
 # ----------------------------------------------------------------- enrichment
