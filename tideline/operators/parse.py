@@ -15,6 +15,18 @@ from tideline.functions.columns import date_of_datetime, hour_of_datetime
 COORDS = ["topic", "partition", "offset"]
 
 
+def decode(msgs: DataFrame, schema) -> DataFrame:
+    """Parse ``value`` with ``schema`` into top-level columns, keeping the
+    message coordinates.
+
+    The parsed struct goes through a one-row generator (``inline``), which the
+    optimizer does not inline into later filters or per-field projections, so
+    ``from_json`` runs exactly once per message (a plain projection let the
+    validity filter be pushed below it and parse every message again).
+    """
+    return msgs.select(*COORDS, F.inline(F.array(F.from_json("value", schema))))
+
+
 def split_valid(df: DataFrame, valid: F.Column) -> tuple[DataFrame, DataFrame]:
     """(rows where ``valid`` is true, all other rows)."""
     ok = F.coalesce(valid, F.lit(False))
@@ -27,13 +39,12 @@ def parse_start_log(msgs: DataFrame) -> DataFrame:
     Keeps the message coordinates; ``_valid`` is false when the text is not
     JSON, ``common`` is absent, or ``mid`` / ``ts`` is null (SURVEY Q14).
     """
-    j = F.from_json("value", S.START_LOG)
-    p = msgs.select(*COORDS, j.alias("j"))
+    p = decode(msgs, S.START_LOG)
     return p.select(
         *COORDS,
-        F.col("j.common.mid").alias("mid"), F.col("j.common.uid").alias("uid"),
-        F.col("j.common.ar").alias("ar"), F.col("j.common.ch").alias("ch"),
-        F.col("j.common.vc").alias("vc"), F.col("j.ts").alias("ts"),
+        F.col("common.mid").alias("mid"), F.col("common.uid").alias("uid"),
+        F.col("common.ar").alias("ar"), F.col("common.ch").alias("ch"),
+        F.col("common.vc").alias("vc"), "ts",
     ).withColumn("_valid", F.col("mid").isNotNull() & F.col("ts").isNotNull())
 
 
@@ -42,8 +53,7 @@ def parse_orders(msgs: DataFrame) -> DataFrame:
 
     ``_valid`` is false without ``id``, ``user_id`` or ``create_time``.
     """
-    j = F.from_json("value", S.ORDER_SOURCE)
-    p = msgs.select(*COORDS, j.alias("j")).select(*COORDS, "j.*")
+    p = decode(msgs, S.ORDER_SOURCE)
     return (p.withColumn("create_date", date_of_datetime("create_time"))
              .withColumn("create_hour", hour_of_datetime("create_time"))
              .withColumn("_valid", F.col("id").isNotNull() & F.col("user_id").isNotNull()
@@ -52,22 +62,15 @@ def parse_orders(msgs: DataFrame) -> DataFrame:
 
 def parse_cdc_object(msgs: DataFrame) -> DataFrame:
     """P7, object dialect: ``table, type, data map<string,string>``."""
-    j = F.from_json("value", S.CDC_OBJECT)
-    return msgs.select(*COORDS, j.alias("j")).select(
-        *COORDS, F.col("j.table").alias("table"), F.col("j.type").alias("type"),
-        F.col("j.data").alias("data"))
+    return decode(msgs, S.CDC_OBJECT)
 
 
 def parse_cdc_array(msgs: DataFrame) -> DataFrame:
     """P7, array dialect: ``table, type, data array<map<string,string>>``."""
-    j = F.from_json("value", S.CDC_ARRAY)
-    return msgs.select(*COORDS, j.alias("j")).select(
-        *COORDS, F.col("j.table").alias("table"), F.col("j.type").alias("type"),
-        F.col("j.data").alias("data"))
+    return decode(msgs, S.CDC_ARRAY)
 
 
 def parse_province(msgs: DataFrame) -> DataFrame:
     """Typed province rows; ``_valid`` is false without ``id``."""
-    j = F.from_json("value", S.BASE_PROVINCE)
-    return (msgs.select(*COORDS, j.alias("j")).select(*COORDS, "j.*")
+    return (decode(msgs, S.BASE_PROVINCE)
             .withColumn("_valid", F.col("id").isNotNull()))

@@ -18,7 +18,7 @@ from tideline.operators.upsert import keyed_upsert
 from tideline.plans import params as P
 from tideline.session import prepare
 from tideline.sources import messages as M
-from tideline.sources.tables import read_table
+from tideline.sources.tables import read_table, spread
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -224,11 +224,11 @@ def q_order_wide(spark, sf):
 def q_dw_order_messages(spark, sf):
     prepare(spark)
     msgs = orders.wide_order_messages(_wide(spark, sf), M.WIDE_ORDER_TOPIC)
-    v = F.from_json("value", S.ORDER_INFO)
-    return msgs.select("topic", "key", v.alias("v")).select(
-        "topic", "key", "v.id", "v.user_id", "v.if_first_order", "v.province_name",
-        "v.province_area_code", "v.user_gender", "v.user_age_group", "v.create_date",
-        "v.create_hour", "v.final_total_amount")
+    v = F.inline(F.array(F.from_json("value", S.ORDER_INFO)))
+    return msgs.select("topic", "key", v).select(
+        "topic", "key", "id", "user_id", "if_first_order", "province_name",
+        "province_area_code", "user_gender", "user_age_group", "create_date",
+        "create_hour", "final_total_amount")
 
 
 def q_order_upsert(spark, sf):
@@ -274,14 +274,14 @@ def q_offset_resume(spark, sf):
 # --------------------------------------------------------------------- search
 def q_term_match_search(spark, sf):
     prepare(spark)
-    docs = read_table(spark, sf, "documents", ["doc_id", "text", "n_chars"]).select(
+    docs = spread(read_table(spark, sf, "documents", ["doc_id", "text", "n_chars"]), "doc_id").select(
         F.col("doc_id").alias("id"), F.col("text").alias("name"), F.col("n_chars").alias("score"))
     return search.term_match_search(docs, P.DOC_QUERY, limit=P.SEARCH_LIMIT).select("id", "score")
 
 
 def q_nested_match_search(spark, sf):
     prepare(spark)
-    turns = read_table(spark, sf, "conversations", ["conv_id", "text"])
+    turns = spread(read_table(spark, sf, "conversations", ["conv_id", "text"]), "conv_id")
     return search.nested_match_search(turns, P.CONV_QUERY)
 
 

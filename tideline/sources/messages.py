@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tideline.functions.columns import epoch_millis
-from tideline.sources.tables import read_table
+from tideline.sources.tables import read_table, spread
 
 # ---------------------------------------------------------------------------
 # Topic names used by the reference's apps.
@@ -57,6 +57,7 @@ def start_log_messages(spark: SparkSession, sf_dir: str, where=None,
     ev = read_table(spark, sf_dir, "events", ["event_id", "ts", "user_id", "event_type", "props"])
     if where is not None:
         ev = ev.where(where)
+    ev = spread(ev, "event_id")
     uid = F.col("user_id").cast("string")
     common = F.struct(
         F.concat(F.lit("mid_"), uid).alias("mid"),
@@ -81,6 +82,7 @@ def order_info_rows(spark: SparkSession, sf_dir: str, midnight: bool = False) ->
     """
     o = read_table(spark, sf_dir, "orders",
                    ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate"])
+    o = spread(o, "o_orderkey")
     cu = read_table(spark, sf_dir, "customer", ["c_custkey", "c_nationkey"])
     j = o.join(cu, o.o_custkey == cu.c_custkey, "left")
     if midnight:
@@ -208,6 +210,7 @@ def cdc_object_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     users = user_rows(spark, sf_dir)
     li = read_table(spark, sf_dir, "lineitem",
                     ["l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice", "l_shipdate"])
+    li = spread(li, "l_orderkey")
     detail = li.select(
         (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"),
         F.col("l_orderkey").alias("order_id"), F.col("l_partkey").alias("sku_id"),

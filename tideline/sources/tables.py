@@ -23,3 +23,17 @@ def scan_columns(spark: SparkSession, path: str, columns, where=None) -> DataFra
     (both pushed into the parquet reader)."""
     df = spark.read.parquet(path).select(*columns)
     return df.where(where) if where is not None else df
+
+
+def spread(df: DataFrame, key: str, min_partitions: int | None = None) -> DataFrame:
+    """Give a source at least ``min_partitions`` splits (default: the
+    cluster's default parallelism), like the Kafka source's ``minPartitions``.
+
+    Only a source with fewer splits than that (one small file) is
+    repartitioned, by hash of ``key`` so a recomputed task sees the same rows
+    after an executor loss; a large input keeps its scan splits, no shuffle.
+    """
+    n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= n:
+        return df
+    return df.repartition(n, key)
