@@ -38,7 +38,7 @@ DEFAULT_STATE_CUT = "1998-01-01 00:00:00"
 def _coords(key: str):
     k = F.col(key)
     return [(k % TOPIC_PARTITIONS).cast("int").alias("partition"),
-            F.floor(k / TOPIC_PARTITIONS).cast("long").alias("offset")]
+            F.expr(f"`{key}` div {TOPIC_PARTITIONS}").alias("offset")]
 
 
 def _pick(values, idx) -> F.Column:
@@ -244,7 +244,7 @@ def cdc_array_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     empty array and one with a null payload."""
     keyed = order_info_rows(spark, sf_dir)
     days = F.datediff(F.to_date(F.substring("create_time", 1, 10)), F.lit("1970-01-01").cast("date"))
-    chunk = F.floor(F.col("id") / ARRAY_CHUNK_KEYS)
+    chunk = F.expr(f"id div {ARRAY_CHUNK_KEYS}")
     grouped = (keyed.groupBy(days.alias("days"), chunk.alias("chunk"))
                .agg(F.array_sort(F.collect_list(F.struct(*ORDER_PAYLOAD))).alias("rows")))
     msgs = grouped.select(

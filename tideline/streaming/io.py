@@ -50,3 +50,10 @@ def message_file_stream(spark: SparkSession, path: str, max_files_per_trigger: i
     return (spark.readStream.schema(MESSAGE)
             .option("maxFilesPerTrigger", max_files_per_trigger)
             .parquet(path).select(*MESSAGE_COLUMNS))
+
+
+def console_sink(df: DataFrame, checkpoint: str, num_rows: int = 1000, trigger_seconds: int = 5):
+    """Print up to ``num_rows`` rows of every micro-batch (debugging)."""
+    return (df.writeStream.format("console").option("numRows", num_rows).option("truncate", "false")
+              .option("checkpointLocation", checkpoint)
+              .trigger(processingTime=f"{trigger_seconds} seconds").start())
