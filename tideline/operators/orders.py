@@ -49,7 +49,7 @@ def state_lookup(state: DataFrame, batch: DataFrame) -> DataFrame:
 def state_flag(orders: DataFrame, state: DataFrame) -> DataFrame:
     """Flag from the state alone: '0' when the user has consumed before
     (and this order is not the recorded first order, Q5), else '1'."""
-    st = _state(state_lookup(state, orders))
+    st = _state(state)
     j = orders.join(st.withColumnRenamed("user_id", "_u"), orders.user_id == F.col("_u"), "left")
     seen = (F.col("if_consumed") == "1") & ~F.coalesce(F.col("first_order_id") == F.col("id"), F.lit(False))
     return j.withColumn("if_first_order", F.when(seen, "0").otherwise("1")).drop(
@@ -63,12 +63,15 @@ def batch_winners(orders: DataFrame, state: DataFrame | None = None) -> DataFram
     not consumed, or the rows whose id is the user's recorded first order;
     the earliest candidate by FIRST_ORDER wins.  ``w_*`` are null when the
     user has no candidate.  Output: user_id, w_topic, w_partition, w_offset.
+
+    A stream job passes ``state_lookup(state, batch)`` (only the batch's users)
+    so a small batch never joins against the whole state.
     """
     rows = orders.select("user_id", *FIRST_ORDER)
     if state is None:
         agg = rows.groupBy("user_id").agg(F.min(F.struct(*FIRST_ORDER)).alias("w"))
         return agg.select("user_id", *[F.col(f"w.{c}").alias(f"w_{c}") for c in COORDS])
-    st = _state(state_lookup(state, orders))
+    st = _state(state)
     recorded = (st.where((F.col("if_consumed") == "1") & F.col("first_order_id").isNotNull())
                   .select("user_id", F.col("first_order_id").alias("id"), F.lit(0).alias("_rank")))
     # (user_id, id) is a near-unique key, so this join has no hot key.

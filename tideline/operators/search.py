@@ -28,7 +28,13 @@ def matches_any_term(text, query: str) -> F.Column:
         return F.lit(False)
     alt = "|".join(terms)
     pattern = f"(^|{_NOT_WORD})({alt})({_NOT_WORD}|$)"
-    return F.lower(c(text)).rlike(pattern)
+    low = F.lower(c(text))
+    # A plain substring test first (cheap byte search); the regex confirms
+    # whole-word matches only on texts that contain some term.
+    has_any = F.lit(False)
+    for t in terms:
+        has_any = has_any | low.contains(t)
+    return has_any & low.rlike(pattern)
 
 
 def term_match_search(docs: DataFrame, query: str, text_col: str = "name",

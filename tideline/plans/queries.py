@@ -16,7 +16,7 @@ from tideline.operators import cdc, dau, offsets, orders, search
 from tideline.operators.parse import parse_province, parse_start_log, split_valid
 from tideline.operators.upsert import keyed_upsert
 from tideline.plans import params as P
-from tideline.session import prepare
+from tideline.session import materialize, prepare
 from tideline.sources import messages as M
 from tideline.sources.tables import read_table, spread
 
@@ -130,7 +130,7 @@ def q_order_first_two_batches(spark, sf):
     prepare(spark)
     b1 = _orders(spark, sf, where=F.col("create_time") < P.STATE_CUT)
     b2 = _after_cut(spark, sf)
-    f1 = orders.first_order_flags(b1)
+    f1 = materialize(orders.first_order_flags(b1))  # batch 1 feeds batch 2's state
     state1 = orders.state_updates(f1)
     f2 = orders.first_order_flags(b2, state1)
     cols = ["id", "user_id", "if_first_order"]
@@ -233,7 +233,7 @@ def q_dw_order_messages(spark, sf):
 
 def q_order_upsert(spark, sf):
     prepare(spark)
-    wide1 = _wide(spark, sf)
+    wide1 = materialize(_wide(spark, sf))  # batch 1 feeds batch 2's state
     state1 = orders.state_updates(wide1)
     rows = M.order_info_rows(spark, sf)
     changed = (rows.where(F.col("order_status") == P.UPDATED_STATUS)

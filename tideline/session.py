@@ -69,3 +69,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, *parts: str) -> str:
     """A path below the shared checkpoint folder (state tables, stream checkpoints)."""
     return os.path.join(checkpoint_dir(spark), *parts)
+
+
+def materialize(df):
+    """Cut lineage by a reliable checkpoint in the shared checkpoint folder
+    (used where one batch's result feeds the next batch's state)."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

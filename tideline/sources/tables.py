@@ -33,7 +33,10 @@ def spread(df: DataFrame, key: str, min_partitions: int | None = None) -> DataFr
     repartitioned, by hash of ``key`` so a recomputed task sees the same rows
     after an executor loss; a large input keeps its scan splits, no shuffle.
     """
-    n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= n:
+    try:
+        n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() >= n:
+            return df
+    except Exception:  # no RDD access (e.g. a Connect session): keep the scan as is
         return df
     return df.repartition(n, key)

@@ -104,7 +104,10 @@ def order_batch(spark: SparkSession, state: IncrementTable, output: IncrementTab
     """
     def run(batch_df: DataFrame, batch_id: int) -> None:
         good, bad = orders.order_rows(batch_df)
-        st = state.latest(["user_id"], before=batch_id)
+        good = good.persist()
+        # Only the state rows of this batch's users (semi join, pushed
+        # below the newest-per-user window since it is keyed by the same user).
+        st = orders.state_lookup(state.latest(["user_id"], before=batch_id), good)
         wide = orders.order_wide(good, read_provinces(), read_users(), state=st,
                                  as_of=as_of, gender_rule=gender_rule).persist()
         output.write(wide, batch_id)
@@ -116,6 +119,7 @@ def order_batch(spark: SparkSession, state: IncrementTable, output: IncrementTab
         if ledger is not None:
             commit_offsets(ledger, batch_df, batch_id, group_id)
         wide.unpersist()
+        good.unpersist()
     return run
 
 
