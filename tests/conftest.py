@@ -18,7 +18,7 @@ def spark():
     s = build_session("local[*]", shuffle_partitions=8,
                       extra={"spark.checkpoint.dir": ckpt,
                              "spark.sql.streaming.stateStore.providerClass":
-                                 "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"})
+                                 "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"})
     s.sparkContext.setLogLevel("ERROR")
     yield s
     s.stop()
