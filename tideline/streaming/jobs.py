@@ -105,9 +105,10 @@ def order_batch(spark: SparkSession, state: IncrementTable, output: IncrementTab
     def run(batch_df: DataFrame, batch_id: int) -> None:
         good, bad = orders.order_rows(batch_df)
         good = good.persist()
-        # Only the state rows of this batch's users (semi join, pushed
-        # below the newest-per-user window since it is keyed by the same user).
-        st = orders.state_lookup(state.latest(["user_id"], before=batch_id), good)
+        # Only the state rows of this batch's users, filtered on the
+        # increments scan before the newest-per-user ranking.
+        batch_users = good.select(F.col("user_id").cast("string").alias("user_id"))
+        st = state.latest(["user_id"], before=batch_id, only=batch_users)
         wide = orders.order_wide(good, read_provinces(), read_users(), state=st,
                                  as_of=as_of, gender_rule=gender_rule).persist()
         output.write(wide, batch_id)

@@ -89,10 +89,18 @@ class IncrementTable:
             return self.spark.createDataFrame([], self._read_schema)
         return df.where(F.col("batch_id") < before) if before is not None else df
 
-    def latest(self, keys, before: int | None = None) -> DataFrame:
-        """Newest row per key over the increments (below ``before``)."""
+    def latest(self, keys, before: int | None = None, only: DataFrame | None = None) -> DataFrame:
+        """Newest row per key over the increments (below ``before``).
+
+        ``only``: a frame of keys; increments are semi-joined to it *before*
+        ranking, so a small batch ranks only its own keys' history (the
+        optimizer does not push a semi join below the ranking window).
+        """
         from tideline.operators.rank import last_per_key
-        return last_per_key(self.read(before), keys, ["batch_id"]).drop("batch_id")
+        df = self.read(before)
+        if only is not None:
+            df = df.join(only.select(*keys).distinct(), list(keys), "left_semi")
+        return last_per_key(df, keys, ["batch_id"]).drop("batch_id")
 
     def write(self, df: DataFrame, batch_id: int) -> None:
         w = df.select(*self.schema.fieldNames()).write.mode("overwrite")
