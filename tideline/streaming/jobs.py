@@ -94,13 +94,15 @@ def order_batch(spark: SparkSession, state: IncrementTable, output: IncrementTab
                 read_provinces: Callable[[], DataFrame], read_users: Callable[[], DataFrame],
                 rejects: IncrementTable | None = None, ledger: VersionedTable | None = None,
                 group_id: str = "base_order_info_group", as_of: str = "2024-01-30",
-                gender_rule: str = "standard", sink: Callable[[DataFrame, int], None] | None = None
-                ) -> Callable[[DataFrame, int], None]:
+                gender_rule: str = "standard", sink: Callable[[DataFrame, int], None] | None = None,
+                compact_every: int | None = None) -> Callable[[DataFrame, int], None]:
     """T2 + T3 + T5: flag first orders against the user state, enrich with
     freshly read dimensions, write the wide orders, then the state.
 
     Order of effects (replay-safe): wide rows (overwritten per batch id) ->
     state increment (keyed by user, records first_order_id, Q5) -> offsets.
+    Every ``compact_every`` batches the state history is folded into a
+    snapshot, so a batch's state read stays bounded as history grows.
     """
     def run(batch_df: DataFrame, batch_id: int) -> None:
         good, bad = orders.order_rows(batch_df)
@@ -115,6 +117,8 @@ def order_batch(spark: SparkSession, state: IncrementTable, output: IncrementTab
         if sink is not None:  # e.g. Kafka: wide_order_messages(...).write.format("kafka")
             sink(wide, batch_id)
         state.write(orders.state_updates(wide), batch_id)
+        if compact_every and batch_id > 0 and batch_id % compact_every == 0:
+            state.compact(upto=batch_id, keys=["user_id"])
         if rejects is not None:
             rejects.write(bad.select("topic", "partition", "offset"), batch_id)
         if ledger is not None:
@@ -130,13 +134,17 @@ REJECT_SCHEMA = T.StructType([T.StructField("topic", T.StringType()),
 
 
 def start_orders(spark: SparkSession, msgs: DataFrame, root: str, checkpoint: str,
-                 provinces_path: str, users_path: str, trigger: dict | None = None, **kw):
+                 provinces_path: str, users_path: str, trigger: dict | None = None,
+                 compact_every: int = 720, **kw):
+    """The order app; state compaction every ``compact_every`` batches (one
+    hour at the 5-second trigger)."""
     state = IncrementTable(spark, f"{root}/user_state", USER_STATE_SCHEMA)
     output = IncrementTable(spark, f"{root}/order_wide", WIDE_SCHEMA)
     rejects = IncrementTable(spark, f"{root}/rejects", REJECT_SCHEMA)
     body = order_batch(spark, state, output,
                        lambda: spark.read.parquet(provinces_path),
-                       lambda: spark.read.parquet(users_path), rejects=rejects, **kw)
+                       lambda: spark.read.parquet(users_path), rejects=rejects,
+                       compact_every=compact_every, **kw)
     w = msgs.writeStream.foreachBatch(body).option("checkpointLocation", checkpoint)
     return _start(w, trigger)
 

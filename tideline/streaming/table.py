@@ -79,15 +79,63 @@ class IncrementTable:
         self._read_schema = T.StructType(
             list(schema.fields) + [T.StructField("batch_id", T.LongType(), True)])
 
-    def read(self, before: int | None = None) -> DataFrame:
-        """All increments (below batch ``before``), with their ``batch_id``."""
+    # -- compaction: snapshots live under "_snapshots" (a "_" folder is not
+    # listed as table data), their commit log under "_snapshots_log".
+    def _snap(self, upto: int) -> str:
+        return os.path.join(self.root, "_snapshots", f"upto={int(upto)}")
+
+    def _snapshot_before(self, before: int | None) -> int | None:
+        try:
+            log = self.spark.read.schema(_LOG_SCHEMA).parquet(os.path.join(self.root, "_snapshots_log"))
+        except Exception:
+            return None
+        if before is not None:
+            log = log.where(F.col("batch_id") < before)
+        row = log.agg(F.max("batch_id").alias("m")).first()
+        return None if row is None or row["m"] is None else int(row["m"])
+
+    def _increments(self) -> DataFrame | None:
         try:
             df = (self.spark.read.schema(self._read_schema)
                   .option("basePath", self.root).parquet(self.root))
             df.limit(0).collect()  # fail now if the folder does not exist yet
+            return df
         except Exception:
+            return None
+
+    def read(self, before: int | None = None) -> DataFrame:
+        """All rows written below batch ``before``, with their ``batch_id``:
+        the newest snapshot below ``before`` plus the increments after it."""
+        inc = self._increments()
+        upto = self._snapshot_before(before)
+        lo = F.lit(True) if upto is None else F.col("batch_id") > upto
+        hi = F.lit(True) if before is None else F.col("batch_id") < before
+        parts = []
+        if inc is not None:
+            parts.append(inc.where(lo & hi))
+        if upto is not None:
+            snap = self._snap(upto)
+            parts.append(self.spark.read.schema(self.schema).option("basePath", snap).parquet(snap)
+                         .withColumn("batch_id", F.lit(upto).cast("long")))
+        if not parts:
             return self.spark.createDataFrame([], self._read_schema)
-        return df.where(F.col("batch_id") < before) if before is not None else df
+        out = parts[0]
+        for p in parts[1:]:
+            out = out.unionByName(p)
+        return out
+
+    def compact(self, upto: int, keys=None) -> None:
+        """Fold everything written up to batch ``upto`` into one snapshot
+        (newest row per key when ``keys`` are given, else all rows), so later
+        reads scan the snapshot plus a few increments instead of the whole
+        history.  Safe to rerun; increments are left for a retention job."""
+        df = self.latest(keys, before=upto + 1) if keys else self.read(before=upto + 1)
+        w = df.select(*self.schema.fieldNames()).write.mode("overwrite")
+        if self.partition_by:
+            w = w.partitionBy(*self.partition_by)
+        w.parquet(self._snap(upto))
+        (self.spark.createDataFrame([(int(upto),)], _LOG_SCHEMA).coalesce(1)
+             .write.mode("append").parquet(os.path.join(self.root, "_snapshots_log")))
 
     def latest(self, keys, before: int | None = None, only: DataFrame | None = None) -> DataFrame:
         """Newest row per key over the increments (below ``before``).
