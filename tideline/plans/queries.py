@@ -84,16 +84,20 @@ def q_cdc_route_array(spark, sf):
 ORDER_SOURCE_OUT = [n for n, _ in S.ORDER_SOURCE_FIELDS]
 
 
-def _orders(spark, sf, where=None, midnight=False):
-    rows = M.order_info_rows(spark, sf, midnight)
-    if where is not None:
-        rows = rows.where(where)
+def _orders(spark, sf, midnight=False, since=None, before=None):
+    rows = M.order_info_rows(spark, sf, midnight, created_since=since, created_before=before)
     good, _ = orders.order_rows(M.order_messages(spark, sf, rows=rows))
     return good
 
 
 def _after_cut(spark, sf):
-    return _orders(spark, sf, where=F.col("create_time") >= P.STATE_CUT)
+    return _orders(spark, sf, since=P.STATE_CUT)
+
+
+def _seed(spark, sf):
+    """The user state as stored before the batch: materialized once, like
+    the state table a stream job reads."""
+    return materialize(M.user_state_seed(spark, sf, P.STATE_CUT))
 
 
 def q_order_parse(spark, sf):
@@ -103,20 +107,20 @@ def q_order_parse(spark, sf):
 
 def q_state_lookup(spark, sf):
     prepare(spark)
-    return orders.state_lookup(M.user_state_seed(spark, sf, P.STATE_CUT), _after_cut(spark, sf))
+    return orders.state_lookup(_seed(spark, sf), _after_cut(spark, sf))
 
 
 def q_order_state_flag(spark, sf):
     prepare(spark)
     o = _after_cut(spark, sf)
-    return orders.state_flag(o, M.user_state_seed(spark, sf, P.STATE_CUT)).select(
+    return orders.state_flag(o, _seed(spark, sf)).select(
         "id", "user_id", "if_first_order")
 
 
 def q_first_order_in_batch(spark, sf):
     prepare(spark)
     o = _after_cut(spark, sf)
-    return orders.first_order_flags(o, M.user_state_seed(spark, sf, P.STATE_CUT)).select(
+    return orders.first_order_flags(o, _seed(spark, sf)).select(
         "id", "user_id", "create_time", "if_first_order")
 
 
@@ -128,7 +132,7 @@ def q_order_first_flag(spark, sf):
 
 def q_order_first_two_batches(spark, sf):
     prepare(spark)
-    b1 = _orders(spark, sf, where=F.col("create_time") < P.STATE_CUT)
+    b1 = _orders(spark, sf, before=P.STATE_CUT)
     b2 = _after_cut(spark, sf)
     f1 = materialize(orders.first_order_flags(b1))  # batch 1 feeds batch 2's state
     state1 = orders.state_updates(f1)
@@ -140,7 +144,7 @@ def q_order_first_two_batches(spark, sf):
 
 def q_user_state(spark, sf):
     prepare(spark)
-    seed = M.user_state_seed(spark, sf, P.STATE_CUT)
+    seed = _seed(spark, sf)
     flagged = orders.first_order_flags(_after_cut(spark, sf), seed)
     return orders.upsert_state(seed, flagged)
 
@@ -211,8 +215,8 @@ def q_order_user_enrich_swapped(spark, sf):
     return o.select("id", "user_id", "user_gender", "user_age_group")
 
 
-def _wide(spark, sf, where=None, state=None):
-    return orders.order_wide(_orders(spark, sf, where=where), _provinces(spark, sf), _users(spark, sf),
+def _wide(spark, sf, state=None):
+    return orders.order_wide(_orders(spark, sf), _provinces(spark, sf), _users(spark, sf),
                              state=state, as_of=P.AS_OF)
 
 
