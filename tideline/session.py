@@ -76,3 +76,29 @@ def materialize(df):
     (used where one batch's result feeds the next batch's state)."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def cluster_conf(shuffle_bytes: float, total_cores: int, target_partition_mb: int = 256) -> dict:
+    """Settings sized for a cluster run, so each shuffle partition fits
+    executor memory without spilling heavily.
+
+    ``shuffle_bytes``: the largest shuffle a job writes (after projection and
+    map-side partial aggregation; for the order job about the projected
+    order rows).  Partitions start at ~``target_partition_mb`` each (at least
+    two waves of tasks); AQE then coalesces small ones and splits skewed ones.
+    """
+    target = target_partition_mb * 1024 * 1024
+    n = max(2 * total_cores, min(200_000, int(shuffle_bytes // target) + 1))
+    return {
+        "spark.sql.shuffle.partitions": str(n),
+        "spark.sql.files.maxPartitionBytes": str(target),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target),
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(2 * target),
+        # Joins broadcast only what AQE measured below this size at run time.
+        "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+        "spark.sql.streaming.stateStore.providerClass":
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    }
