@@ -105,6 +105,7 @@ def order_batch(spark: SparkSession, state: IncrementTable, output: IncrementTab
     snapshot, so a batch's state read stays bounded as history grows.
     """
     def run(batch_df: DataFrame, batch_id: int) -> None:
+        batch_df = batch_df.persist()  # read the source once for all outputs
         good, bad = orders.order_rows(batch_df)
         good = good.persist()
         # Only the state rows of this batch's users, filtered on the
@@ -125,6 +126,7 @@ def order_batch(spark: SparkSession, state: IncrementTable, output: IncrementTab
             commit_offsets(ledger, batch_df, batch_id, group_id)
         wide.unpersist()
         good.unpersist()
+        batch_df.unpersist()
     return run
 
 

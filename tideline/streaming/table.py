@@ -78,6 +78,10 @@ class IncrementTable:
         self.partition_by = partition_by or []
         self._read_schema = T.StructType(
             list(schema.fields) + [T.StructField("batch_id", T.LongType(), True)])
+        # This object is the table's only writer, so once seen the folder
+        # exists, and the snapshot list changes only through compact().
+        self._exists = False
+        self._snapshots: list[int] | None = None
 
     # -- compaction: snapshots live under "_snapshots" (a "_" folder is not
     # listed as table data), their commit log under "_snapshots_log".
@@ -85,20 +89,23 @@ class IncrementTable:
         return os.path.join(self.root, "_snapshots", f"upto={int(upto)}")
 
     def _snapshot_before(self, before: int | None) -> int | None:
-        try:
-            log = self.spark.read.schema(_LOG_SCHEMA).parquet(os.path.join(self.root, "_snapshots_log"))
-        except Exception:
-            return None
-        if before is not None:
-            log = log.where(F.col("batch_id") < before)
-        row = log.agg(F.max("batch_id").alias("m")).first()
-        return None if row is None or row["m"] is None else int(row["m"])
+        if self._snapshots is None:
+            try:
+                log = self.spark.read.schema(_LOG_SCHEMA).parquet(os.path.join(self.root, "_snapshots_log"))
+                # The log has one row per compaction: a small, bounded list.
+                self._snapshots = sorted({r["batch_id"] for r in log.distinct().collect()})
+            except Exception:
+                self._snapshots = []
+        ok = [u for u in self._snapshots if before is None or u < before]
+        return ok[-1] if ok else None
 
     def _increments(self) -> DataFrame | None:
         try:
             df = (self.spark.read.schema(self._read_schema)
                   .option("basePath", self.root).parquet(self.root))
-            df.limit(0).collect()  # fail now if the folder does not exist yet
+            if not self._exists:
+                df.limit(0).collect()  # fail now if the folder does not exist yet
+                self._exists = True
             return df
         except Exception:
             return None
@@ -136,6 +143,7 @@ class IncrementTable:
         w.parquet(self._snap(upto))
         (self.spark.createDataFrame([(int(upto),)], _LOG_SCHEMA).coalesce(1)
              .write.mode("append").parquet(os.path.join(self.root, "_snapshots_log")))
+        self._snapshots = None
 
     def latest(self, keys, before: int | None = None, only: DataFrame | None = None) -> DataFrame:
         """Newest row per key over the increments (below ``before``).
@@ -155,3 +163,4 @@ class IncrementTable:
         if self.partition_by:
             w = w.partitionBy(*self.partition_by)
         w.parquet(os.path.join(self.root, f"batch_id={int(batch_id)}"))
+        self._exists = True
