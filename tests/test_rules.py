@@ -234,3 +234,31 @@ def test_nested_match_on_array_and_flat_forms(spark):
     flat = convs.select("conv_id", F.inline("turns"))
     got = {r.conv_id: (r.n_turns, r.n_matching) for r in search.nested_match_search(flat, "world").collect()}
     assert got == {1: (1, 1), 2: (2, 1)}
+
+
+def test_array_dialect_with_object_rules(spark):
+    m = msgs(spark, [
+        env("order_info", "DELETE", [{"id": 1}]),
+        env("order_info", "INSERT", [{"id": 2}, {}]),
+        env("order_info", "UPDATE", [{"id": 3}]),
+        env("base_province", "UPDATE", [{"id": 4}]),
+    ])
+    routed, _ = cdc.route_array(m, filter_like_object=True)
+    assert sorted((r.topic, r.key) for r in routed.collect()) == [("ODS_T_BASE_PROVINCE", "4"),
+                                                                   ("ODS_T_ORDER_INFO", "2")]
+
+
+def test_empty_batches_write_nothing(spark, tmp_path):
+    from tideline.streaming import jobs
+    from tideline.streaming.table import IncrementTable, VersionedTable
+    empty = spark.createDataFrame([], S.MESSAGE)
+    state = IncrementTable(spark, str(tmp_path / "st"), S.USER_STATE)
+    out = IncrementTable(spark, str(tmp_path / "out"), S.ORDER_INFO)
+    jobs.order_batch(spark, state, out, lambda: None, lambda: None)(empty, 0)
+    assert out.read().count() == 0 and not (tmp_path / "out").exists()
+    dim = VersionedTable(spark, str(tmp_path / "dim"), S.BASE_PROVINCE)
+    jobs.dim_batch(dim)(empty, 0)
+    assert dim.committed_before() is None
+    dau_tbl = IncrementTable(spark, str(tmp_path / "dau"), S.DAU_INFO, partition_by=["dt"])
+    jobs.dau_exact_batch(spark, dau_tbl)(msgs(spark, ["{bad"]), 0)
+    assert not (tmp_path / "dau").exists()

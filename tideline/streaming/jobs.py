@@ -71,6 +71,9 @@ def dau_exact_batch(spark: SparkSession, table: IncrementTable) -> Callable[[Dat
         rows, _ = dau.start_rows(batch_df)
         firsts = dau.first_launches(rows).persist()
         days = [r["dt"] for r in firsts.select("dt").distinct().collect()]  # days of one batch
+        if not days:  # nothing valid in this batch
+            firsts.unpersist()
+            return
         seen = table.read(before=batch_id).where(F.col("dt").isin(days))
         new = firsts.join(seen.select(*dau.DAU_KEY), dau.DAU_KEY, "left_anti")
         table.write(new.select(*dau.DAU_COLUMNS), batch_id)
@@ -106,6 +109,9 @@ def order_batch(spark: SparkSession, state: IncrementTable, output: IncrementTab
     """
     def run(batch_df: DataFrame, batch_id: int) -> None:
         batch_df = batch_df.persist()  # read the source once for all outputs
+        if batch_df.isEmpty():  # an empty batch writes nothing
+            batch_df.unpersist()
+            return
         good, bad = orders.order_rows(batch_df)
         good = good.persist()
         # Only the state rows of this batch's users, filtered on the
@@ -166,6 +172,8 @@ def start_cdc_route(msgs: DataFrame, root: str, checkpoint: str, dialect: str =
 def dim_batch(table: VersionedTable) -> Callable[[DataFrame, int], None]:
     """K7: upsert province rows by id; within a batch the last message wins."""
     def run(batch_df: DataFrame, batch_id: int) -> None:
+        if batch_df.isEmpty():  # F6
+            return
         good, _ = split_valid(parse_province(batch_df), F.col("_valid"))
         table.commit(keyed_upsert(table.read(before=batch_id), good, ["id"], order=["offset"]), batch_id)
     return run
