@@ -15,7 +15,7 @@ DAU_COLUMNS = ["mid", "uid", "ar", "ch", "vc", "dt", "hr", "mi", "ts"]
 DAU_KEY = ["dt", "mid"]
 # Arrival order inside a topic: event time, then the message position.
 ARRIVAL = ["ts", "offset", "partition"]
-DAU_INDEX_PREFIX = "gmall_dau_info_"
+DAU_INDEX_PREFIX = "dau_info_"
 
 
 def with_day_parts(parsed: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ _DTF = "'%Y-%m-%d %H:%M:%S'"
 
 START_LOG = """
 start_log AS (
-  SELECT 'GMALL_START' AS topic, CAST(event_id % 4 AS INTEGER) AS "partition",
+  SELECT 'START_LOG' AS topic, CAST(event_id % 4 AS INTEGER) AS "partition",
          event_id // 4 AS "offset", event_id, ts AS ets,
          'mid_' || CAST(user_id AS VARCHAR) AS mid, CAST(user_id AS VARCHAR) AS uid,
          CAST(user_id % 25 AS VARCHAR) AS ar, event_type AS ch,
@@ -184,7 +184,7 @@ firsts AS (
   SELECT s.*, strftime(CAST(date_trunc('week', CAST(dt AS DATE)) AS DATE) + 7, '%Y%m%d') AS run_date
   FROM (SELECT *, row_number() OVER (PARTITION BY dt, mid ORDER BY ts, event_id) AS rn FROM start_log) s
   WHERE rn = 1)""") + f"""
-SELECT 'gmall_dau_info_' || run_date AS index_name, {DAU_COLS} FROM (
+SELECT 'dau_info_' || run_date AS index_name, {DAU_COLS} FROM (
   SELECT *, row_number() OVER (PARTITION BY run_date, mid ORDER BY ts DESC, event_id DESC) AS rn2
   FROM firsts) WHERE rn2 = 1"""
     q["dau_upsert"] = _with(START_LOG, _firsts(f"ets < TIMESTAMP '{P.DAU_BATCH1_END}'", "f1"),

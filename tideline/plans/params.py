@@ -7,7 +7,7 @@ DAU_SEEN_CUT = "2024-01-15 12:00:00"       # dau_incremental: seen before, batch
 DAU_BATCH1_END = "2024-01-20 00:00:00"     # dau_upsert: batch 1 = [start, end)
 DAU_BATCH2_START = "2024-01-10 12:00:00"   # dau_upsert: batch 2 = [start, end of data]
 LEDGER_CUT_DAY = "2024-01-15"              # offset_ledger: batches (days) up to here
-CONSUMER_GROUP = "GMALL_DAU_CONSUMER"
+CONSUMER_GROUP = "dau_consumer"
 
 # Orders (cover 1995-01-01 .. 2001-08-01).
 STATE_CUT = "1998-01-01 00:00:00"          # state seeded by orders before, batch after

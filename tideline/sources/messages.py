@@ -15,15 +15,16 @@ from pyspark.sql import functions as F
 from tideline.functions.columns import epoch_millis
 from tideline.sources.tables import read_table, spread
 
-# ---------------------------------------------------------------------------
-# Topic names used by the reference's apps.
-START_TOPIC = "GMALL_START"
+# Topic names (deployment settings; the per-table topics follow the routing
+# rule "ODS_T_" + TABLE, so those two must stay as they are).
+START_TOPIC = "START_LOG"
 ORDER_TOPIC = "ODS_T_ORDER_INFO"
 PROVINCE_TOPIC = "ODS_T_BASE_PROVINCE"
-CDC_OBJECT_TOPIC = "ODS_DB_GMALL1122_M"
-CDC_ARRAY_TOPIC = "ODS_DB_GMALL1122_C"
+CDC_OBJECT_TOPIC = "ODS_DB_OBJECT"
+CDC_ARRAY_TOPIC = "ODS_DB_ARRAY"
 WIDE_ORDER_TOPIC = "DW_ORDER_INFO"
-# CDC operation types of the two capture dialects.
+# ---------------------------------------------------------------------------
+# CDC operation types of the two capture dialects.
 OBJECT_TYPES = ("insert", "update", "delete", "bootstrap-insert")
 ARRAY_TYPES = ("INSERT", "UPDATE", "DELETE")
 # ---------------------------------------------------------------------------
