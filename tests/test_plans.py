@@ -57,3 +57,19 @@ def test_hot_user_flags_match_a_plain_window(spark):
     assert j.count() == n
     assert j.where("if_first_order <> ref").count() == 0
     assert got.where("user_id = 0 AND if_first_order = '1'").count() == 1
+
+
+def test_hot_device_first_launch_matches_a_plain_window(spark):
+    from tideline.operators import dau
+    ev = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    hot = ev.withColumn("user_id", F.when(F.col("event_id") % 3 == 0, F.lit(7)).otherwise(F.col("user_id")))
+    import tempfile
+    path = tempfile.mkdtemp(prefix="tideline-hot-") + "/events.parquet"
+    hot.write.parquet(path)
+    msgs = M.start_log_messages(spark, path.rsplit("/", 1)[0])
+    rows, _ = dau.start_rows(msgs)
+    got = dau.first_launches(rows).select("dt", "mid", "offset", "partition")
+    w = Window.partitionBy("dt", "mid").orderBy("ts", "offset", "partition")
+    want = rows.withColumn("rn", F.row_number().over(w)).where("rn = 1").select("dt", "mid", "offset", "partition")
+    assert sorted(got.collect()) == sorted(want.collect())
+    assert got.where("mid = 'mid_7'").count() == rows.where("mid = 'mid_7'").select("dt").distinct().count()

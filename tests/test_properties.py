@@ -77,3 +77,26 @@ def test_keyed_upsert_is_dict_update_and_idempotent(spark, base, upd):
     want.update(upd)
     assert dict((r.id, r.v) for r in once.collect()) == want
     assert sorted(keyed_upsert(once, u, ["id"]).collect()) == sorted(once.collect())
+
+
+envelopes = st.lists(st.tuples(
+    st.sampled_from(["order_info", "base_province", "user_info", "order_detail", "sku_info", "other", "ORDER_INFO"]),
+    st.sampled_from(["insert", "update", "delete", "bootstrap-insert", None]),
+    st.one_of(st.none(), st.just({}), st.integers(1, 99).map(lambda i: {"id": i, "x": "y"}))),
+    min_size=1, max_size=15)
+
+
+@SETTINGS
+@given(envs=envelopes)
+def test_object_router_matches_python_rule(spark, envs):
+    import json
+    from tideline.operators import cdc
+    listed = {"base_province", "user_info", "spu_info", "sku_info", "base_category3", "base_trademark",
+              "order_detail"}
+    rows = [("t", 0, i, None, json.dumps({"table": t, "type": ty, "data": d})) for i, (t, ty, d) in enumerate(envs)]
+    routed, rejects = cdc.route_object(spark.createDataFrame(rows, S.MESSAGE))
+    want = sorted(("ODS_T_" + t.upper(), str(d["id"])) for t, ty, d in envs
+                  if d and ty is not None and ty != "delete"
+                  and ((t == "order_info" and ty == "insert") or t in listed))
+    assert sorted((r.topic, r.key) for r in routed.collect()) == want
+    assert rejects.count() == sum(1 for _, ty, d in envs if d is None or ty is None)
