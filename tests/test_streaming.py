@@ -204,3 +204,16 @@ def test_increment_table_compaction_keeps_reads_equal(spark, scratch):
     assert sorted(t.latest(["user_id"]).collect()) == before[4]
     only = spark.createDataFrame([("2",)], "user_id string")
     assert [r.first_order_id for r in t.latest(["user_id"], only=only).collect()] == [21]
+
+
+def test_wide_orders_published_through_the_batch_sink(spark, scratch):
+    path, n, prov, users = _order_setup(spark, scratch, SF_SMALL)
+    sent = []
+    sink = jobs.publish_wide_orders(lambda df: sent.append(df.count()), "DW_ORDER_INFO")
+    state = IncrementTable(spark, os.path.join(scratch, "st"), S.USER_STATE)
+    output = IncrementTable(spark, os.path.join(scratch, "out"), S.ORDER_INFO)
+    body = jobs.order_batch(spark, state, output, lambda: spark.read.parquet(prov),
+                            lambda: spark.read.parquet(users), as_of=P.AS_OF, sink=sink)
+    run(message_file_stream(spark, path).writeStream.foreachBatch(body)
+        .option("checkpointLocation", os.path.join(scratch, "ck_pub")).trigger(availableNow=True).start())
+    assert sum(sent) == spark.read.parquet(path).count()

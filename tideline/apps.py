@@ -36,6 +36,8 @@ def main(argv=None) -> None:
     ap.add_argument("--dialect", choices=["object", "array"], default="object")
     ap.add_argument("--provinces")
     ap.add_argument("--users")
+    ap.add_argument("--publish", action="store_true",
+                    help="orders: also send wide orders to DW_ORDER_INFO; cdc: write to the ODS_T_* topics")
     a = ap.parse_args(argv)
 
     spark = build_session(app_name=f"tideline-{a.app}")
@@ -56,9 +58,14 @@ def main(argv=None) -> None:
     elif a.app == "orders":
         if not (a.provinces and a.users):
             ap.error("orders needs --provinces and --users")
-        q = jobs.start_orders(spark, msgs, a.out, ck, a.provinces, a.users, trig)
+        extra = {}
+        if a.publish:
+            from tideline.streaming.io import kafka_batch_writer
+            extra["sink"] = jobs.publish_wide_orders(kafka_batch_writer(a.bootstrap), M.WIDE_ORDER_TOPIC)
+        q = jobs.start_orders(spark, msgs, a.out, ck, a.provinces, a.users, trig, **extra)
     elif a.app == "cdc":
-        q = jobs.start_cdc_route(msgs, a.out, ck, a.dialect, trig)
+        q = jobs.start_cdc_route(msgs, a.out, ck, a.dialect, trig,
+                                 kafka_bootstrap=a.bootstrap if a.publish else None)
     else:
         q = jobs.start_dim(spark, msgs, a.out, ck, trig)
     q.awaitTermination()

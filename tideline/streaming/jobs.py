@@ -159,15 +159,30 @@ def start_orders(spark: SparkSession, msgs: DataFrame, root: str, checkpoint: st
 
 # --------------------------------------------------------------------- CDC
 def start_cdc_route(msgs: DataFrame, root: str, checkpoint: str, dialect: str = "object",
-                    trigger: dict | None = None):
-    """Route change rows to per-table outputs (``topic=ODS_T_<TABLE>`` folders;
-    with Kafka, ``kafka_sink`` on ``to_topic_messages`` instead).  Stateless."""
+                    trigger: dict | None = None, kafka_bootstrap: str | None = None):
+    """Route change rows to per-table outputs: ``topic=ODS_T_<TABLE>`` folders
+    under ``root``, or the topics themselves when ``kafka_bootstrap`` is given
+    (each row goes to the topic in its own ``topic`` column).  Stateless."""
     routed, _ = cdc.route_object(msgs) if dialect == "object" else cdc.route_array(msgs)
-    w = (cdc.to_topic_messages(routed).writeStream.format("parquet").outputMode("append")
-         .option("path", root).option("checkpointLocation", checkpoint).partitionBy("topic"))
+    out = cdc.to_topic_messages(routed)
+    if kafka_bootstrap:
+        w = (out.writeStream.format("kafka").option("kafka.bootstrap.servers", kafka_bootstrap)
+             .option("checkpointLocation", checkpoint))
+    else:
+        w = (out.writeStream.format("parquet").outputMode("append")
+             .option("path", root).option("checkpointLocation", checkpoint).partitionBy("topic"))
     return _start(w, trigger)
 
 
+def publish_wide_orders(write_messages: Callable[[DataFrame], None], topic: str = "DW_ORDER_INFO"
+                        ) -> Callable[[DataFrame, int], None]:
+    """K9 as an ``order_batch`` sink: key = order id, value = JSON of the
+    wide order, e.g. ``publish_wide_orders(io.kafka_batch_writer(servers))``."""
+    def sink(wide: DataFrame, batch_id: int) -> None:
+        write_messages(orders.wide_order_messages(wide, topic))
+    return sink
+
+
 # -------------------------------------------------------------- dimension
 def dim_batch(table: VersionedTable) -> Callable[[DataFrame, int], None]:
     """K7: upsert province rows by id; within a batch the last message wins."""
