@@ -31,6 +31,8 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         b = b.config(k, v)
     b = b.config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
     b = b.config("spark.sql.execution.arrow.pyspark.enabled", "true")
+    # Remove reliable checkpoint files once their DataFrame is garbage-collected.
+    b = b.config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     if shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for k, v in (extra or {}).items():
