@@ -59,7 +59,7 @@ def test_dau_streams_match_batch(spark, scratch):
 
     out_x = os.path.join(scratch, "dau_exact")
     q = jobs.start_dau_exact(spark, message_file_stream(spark, path), out_x,
-                             os.path.join(scratch, "ck_x"), AVAILABLE_NOW)
+                             os.path.join(scratch, "ck_x"), AVAILABLE_NOW, compact_every=2)
     run(q)
     tbl = IncrementTable(spark, out_x, S.DAU_INFO, partition_by=["dt"])
     got = tbl.read().select(*[f.name for f in S.DAU_INFO.fields])
@@ -217,3 +217,15 @@ def test_wide_orders_published_through_the_batch_sink(spark, scratch):
     run(message_file_stream(spark, path).writeStream.foreachBatch(body)
         .option("checkpointLocation", os.path.join(scratch, "ck_pub")).trigger(availableNow=True).start())
     assert sum(sent) == spark.read.parquet(path).count()
+
+
+def test_increment_table_reads_around_missing_batches(spark, scratch):
+    t = IncrementTable(spark, os.path.join(scratch, "inc2"), S.USER_STATE)
+    for i, rows in [(0, [("1", "1", 10)]), (1, [("2", "1", 20)]), (3, [("3", "1", 30)]), (6, [("1", "1", 11)])]:
+        t.write(spark.createDataFrame(rows, S.USER_STATE), i)  # batches 2, 4, 5 wrote nothing
+    t.compact(upto=1, keys=["user_id"])
+    got = {b: sorted((r.user_id, r.first_order_id) for r in t.latest(["user_id"], before=b).collect())
+           for b in (2, 3, 4, 6, 7)}
+    assert got[2] == got[3] == [("1", 10), ("2", 20)]
+    assert got[4] == got[6] == [("1", 10), ("2", 20), ("3", 30)]
+    assert got[7] == [("1", 11), ("2", 20), ("3", 30)]

@@ -60,13 +60,15 @@ def start_dau_watermark(msgs: DataFrame, root: str, checkpoint: str, trigger: di
     return _start(w, trigger)
 
 
-def dau_exact_batch(spark: SparkSession, table: IncrementTable) -> Callable[[DataFrame, int], None]:
+def dau_exact_batch(spark: SparkSession, table: IncrementTable,
+                    compact_every: int | None = None) -> Callable[[DataFrame, int], None]:
     """T1, exact form: inside each micro-batch keep the first arrival per
     (dt, mid) by (ts, offset, partition), then drop keys already written by
     earlier batches (J4); the written increments are the seen-set.
 
     Only the days present in the batch are read back (partition pruning on
-    ``dt``)."""
+    ``dt``); every ``compact_every`` batches the increments are folded into a
+    snapshot so the read lists a bounded number of folders."""
     def run(batch_df: DataFrame, batch_id: int) -> None:
         rows, _ = dau.start_rows(batch_df)
         firsts = dau.first_launches(rows).persist()
@@ -78,13 +80,16 @@ def dau_exact_batch(spark: SparkSession, table: IncrementTable) -> Callable[[Dat
         new = firsts.join(seen.select(*dau.DAU_KEY), dau.DAU_KEY, "left_anti")
         table.write(new.select(*dau.DAU_COLUMNS), batch_id)
         firsts.unpersist()
+        if compact_every and batch_id > 0 and batch_id % compact_every == 0:
+            table.compact(upto=batch_id)
     return run
 
 
 def start_dau_exact(spark: SparkSession, msgs: DataFrame, root: str, checkpoint: str,
-                    trigger: dict | None = None):
+                    trigger: dict | None = None, compact_every: int = 720):
     table = IncrementTable(spark, root, DAU_SCHEMA, partition_by=["dt"])
-    w = msgs.writeStream.foreachBatch(dau_exact_batch(spark, table)).option("checkpointLocation", checkpoint)
+    w = (msgs.writeStream.foreachBatch(dau_exact_batch(spark, table, compact_every))
+         .option("checkpointLocation", checkpoint))
     return _start(w, trigger)
 
 

@@ -110,11 +110,26 @@ class IncrementTable:
         except Exception:
             return None
 
+    def _increments_between(self, lo: int, hi: int) -> DataFrame | None:
+        """Increments with lo < batch_id < hi, listing only those folders (a
+        brace glob), so the listing stays bounded however long the history."""
+        ids = ",".join(str(i) for i in range(lo + 1, hi))
+        if not ids:
+            return None
+        try:
+            return (self.spark.read.schema(self._read_schema).option("basePath", self.root)
+                    .parquet(os.path.join(self.root, f"batch_id={{{ids}}}")))
+        except Exception:  # none of those batches wrote an increment
+            return None
+
     def read(self, before: int | None = None) -> DataFrame:
         """All rows written below batch ``before``, with their ``batch_id``:
         the newest snapshot below ``before`` plus the increments after it."""
-        inc = self._increments()
         upto = self._snapshot_before(before)
+        if upto is not None and before is not None:
+            inc = self._increments_between(upto, before)
+        else:
+            inc = self._increments()
         lo = F.lit(True) if upto is None else F.col("batch_id") > upto
         hi = F.lit(True) if before is None else F.col("batch_id") < before
         parts = []
