@@ -36,8 +36,8 @@ def run(q, timeout=300):
 
 def start_log_files(spark, sf, scratch, n_days=5):
     msgs = M.start_log_messages(spark, sf, with_batch=True)
-    frame = msgs.withColumn("split", F.floor((F.col("batch_id") - F.min("batch_id").over(
-        __import__("pyspark.sql", fromlist=["Window"]).Window.partitionBy())) / n_days))
+    first_day = msgs.agg(F.min("batch_id")).first()[0]
+    frame = msgs.withColumn("split", F.floor((F.col("batch_id") - first_day) / n_days))
     path = os.path.join(scratch, "start_msgs")
     n = write_splits(frame, "split", path)
     return path, n
