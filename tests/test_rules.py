@@ -1,7 +1,6 @@
 """Rule tests on tiny hand-made messages, one per quirk of SURVEY §2.10."""
 import json
 
-import pytest
 from pyspark.sql import functions as F
 
 from tideline.functions import schemas as S
