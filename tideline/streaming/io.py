@@ -25,8 +25,7 @@ def kafka_stream(spark: SparkSession, bootstrap: str, topic: str,
     r = (spark.readStream.format("kafka")
          .option("kafka.bootstrap.servers", bootstrap)
          .option("subscribe", topic)
-         .option("startingOffsets", starting_offsets)
-         .option("failOnDataLoss", "false"))
+         .option("startingOffsets", starting_offsets))  # failOnDataLoss stays true: never skip lost offsets
     if min_partitions:
         r = r.option("minPartitions", str(min_partitions))
     return r.load().select("topic", "partition", "offset",
