@@ -52,6 +52,9 @@ def main(argv=None) -> None:
             q = jobs.start_dau_exact(spark, msgs, a.out, ck, trig)
         else:
             from tideline.streaming.dau_state import dau_ttl_stream
+            # transformWithState needs the RocksDB state store (set before the query starts).
+            spark.conf.set("spark.sql.streaming.stateStore.providerClass",
+                           "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
             q = (dau_ttl_stream(msgs).writeStream.format("parquet").option("path", a.out)
                  .option("checkpointLocation", ck).partitionBy("dt")
                  .trigger(**trig).start())
