@@ -229,3 +229,40 @@ def test_increment_table_reads_around_missing_batches(spark, scratch):
     assert got[2] == got[3] == [("1", 10), ("2", 20)]
     assert got[4] == got[6] == [("1", 10), ("2", 20), ("3", 30)]
     assert got[7] == [("1", 11), ("2", 20), ("3", 30)]
+
+
+def test_late_event_dropped_by_watermark_kept_by_exact_form(spark, scratch):
+    """Events 19 days late.  Spark drops late rows against the watermark
+    of the previous micro-batch, so they arrive two batches after the
+    high-water event here."""
+    import json
+    day = 1704067200000  # 2024-01-01 UTC
+
+    def start(mid, ts):
+        return json.dumps({"common": {"mid": mid, "uid": "1", "ar": "2", "ch": "c", "vc": "3"}, "ts": ts})
+
+    path = os.path.join(scratch, "late_msgs")
+    batches = [[("m1", day + 86400000)], [("m2", day + 20 * 86400000)], [("m9", day + 20 * 86400000)],
+               [("m5", day + 86400000), ("m1", day + 86400000 + 7200000)]]  # new device late; late duplicate
+    off = 0
+    for rows in batches:
+        data = []
+        for mid, ts in rows:
+            data.append(("t", 0, off, None, start(mid, ts)))
+            off += 1
+        spark.createDataFrame(data, S.MESSAGE).coalesce(1).write.mode("append").parquet(path)
+
+    out_w = os.path.join(scratch, "late_wm")
+    q = jobs.start_dau_watermark(message_file_stream(spark, path), out_w, os.path.join(scratch, "ck_lw"),
+                                 AVAILABLE_NOW)
+    run(q)
+    dropped = sum((p.get("stateOperators") or [{}])[0].get("numRowsDroppedByWatermark", 0)
+                  for p in q.recentProgress)
+    got_w = sorted((str(r.dt), r.mid) for r in spark.read.parquet(out_w).collect())
+    out_x = os.path.join(scratch, "late_x")
+    run(jobs.start_dau_exact(spark, message_file_stream(spark, path), out_x, os.path.join(scratch, "ck_lx"),
+                             AVAILABLE_NOW))
+    got_x = sorted((r.dt, r.mid) for r in IncrementTable(spark, out_x, S.DAU_INFO, ["dt"]).read().collect())
+    assert got_w == [("2024-01-02", "m1"), ("2024-01-21", "m2"), ("2024-01-21", "m9")]
+    assert dropped == 2
+    assert got_x == [("2024-01-02", "m1"), ("2024-01-02", "m5"), ("2024-01-21", "m2"), ("2024-01-21", "m9")]
