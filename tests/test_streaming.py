@@ -266,3 +266,31 @@ def test_late_event_dropped_by_watermark_kept_by_exact_form(spark, scratch):
     assert got_w == [("2024-01-02", "m1"), ("2024-01-21", "m2"), ("2024-01-21", "m9")]
     assert dropped == 2
     assert got_x == [("2024-01-02", "m1"), ("2024-01-02", "m5"), ("2024-01-21", "m2"), ("2024-01-21", "m9")]
+
+
+def test_order_stream_stop_and_restart_gives_same_tables(spark, scratch):
+    rows = M.order_info_rows(spark, SF_SMALL)
+    msgs = M.order_messages(spark, SF_SMALL, rows=rows).join(
+        rows.select(F.col("id").cast("string").alias("key"), F.substring("create_time", 1, 4).alias("yr")), "key")
+    years = sorted(r[0] for r in msgs.select("yr").distinct().collect())
+    path = os.path.join(scratch, "order_msgs")
+    prov, users = os.path.join(scratch, "prov"), os.path.join(scratch, "users")
+    M.province_rows(spark, SF_SMALL, missing_region=P.MISSING_REGION).write.parquet(prov)
+    M.user_rows(spark, SF_SMALL, missing_segment=P.MISSING_SEGMENT).write.parquet(users)
+    root, ck = os.path.join(scratch, "out"), os.path.join(scratch, "ck")
+
+    def append(ys):
+        for y in ys:
+            msgs.where(F.col("yr") == y).select(*MESSAGE_COLUMNS).coalesce(1).write.mode("append").parquet(path)
+
+    def start():
+        return jobs.start_orders(spark, message_file_stream(spark, path), root, ck, prov, users,
+                                 AVAILABLE_NOW, as_of=P.AS_OF, compact_every=3)
+
+    half = len(years) // 2
+    append(years[:half])
+    run(start())  # stops once the first files are done
+    append(years[half:])
+    run(start())  # restarts from the checkpoint and its state tables
+    out = IncrementTable(spark, f"{root}/order_wide", S.ORDER_INFO).read()
+    assert _wide_rows(out) == _wide_rows(QUERIES["order_wide"](spark, SF_SMALL))
