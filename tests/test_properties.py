@@ -100,3 +100,28 @@ def test_object_router_matches_python_rule(spark, envs):
                   and ((t == "order_info" and ty == "insert") or t in listed))
     assert sorted((r.topic, r.key) for r in routed.collect()) == want
     assert rejects.count() == sum(1 for _, ty, d in envs if d is None or ty is None)
+
+
+# (partition, offset); a batch covers consecutive offsets, as a topic delivers them.
+msgs_in_batches = st.lists(st.tuples(st.integers(0, 2), st.integers(0, 30)),
+                           min_size=1, max_size=20, unique_by=lambda t: t).map(
+    lambda xs: [(p, o, o // 7) for p, o in xs])
+old_ledger = st.dictionaries(st.integers(0, 3), st.integers(0, 40), max_size=4)
+
+
+@SETTINGS
+@given(msgs=msgs_in_batches, old=old_ledger)
+def test_ledger_is_max_until_and_never_moves_back(spark, msgs, old):
+    from tideline.operators import offsets
+    df = spark.createDataFrame([("t", p, o, None, "v", b) for p, o, b in msgs],
+                               "topic string, partition int, offset long, key string, value string, batch_id int")
+    ranges = offsets.offset_ranges(df)
+    fresh = {r.partition: r.until_offset for r in offsets.ledger_after(ranges, "g").collect()}
+    want = {}
+    for p, o, b in msgs:
+        want[p] = max(want.get(p, 0), o + 1)
+    assert fresh == want
+    existing = spark.createDataFrame([("g", "t", p, u) for p, u in old.items()], S.OFFSET_LEDGER)
+    merged = {r.partition: r.until_offset for r in offsets.ledger_after(ranges, "g", existing=existing).collect()}
+    for p in set(old) | set(want):
+        assert merged[p] == max(old.get(p, 0), want.get(p, 0))
