@@ -4,30 +4,75 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tideline.llm import exact_dedup, jaccard_join, mixing
+from tideline.llm import (bpe, exact_dedup, fingerprint, html_extract, jaccard_join, language_id, license_scan, mixing,
+                          substring_dedup, toxicity)
 from tideline.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_toxicity(spark, sf):
+    scored = toxicity.toxicity(read(spark, sf, "documents"), read(spark, sf, "labels"))
+    return scored.select("doc_id", "held_out", "score", "predicted", "evidence")
+
+
 def op2_exact_dedup(spark, sf):
     return exact_dedup.exact_dedup(read(spark, sf, "documents"))
 
 
+def op3_html_extraction(spark, sf):
+    return html_extract.extract(read(spark, sf, "pages")).select("page_id", "url", "text", "n_chars")
+
+
+def op4_fingerprints(spark, sf):
+    return fingerprint.fingerprints(read(spark, sf, "documents"))
+
+
 def op5_ngram_jaccard_join(spark, sf):
     return jaccard_join.near_duplicates(read(spark, sf, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
+def op6_byte_bpe(spark, sf):
+    tokens = bpe.encode(read(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"),
+                        public_tokenizers.PATTERN, ["doc_id"], with_bytes=True)
+    return tokens.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")).cast("binary"), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def op7_source_mixing(spark, sf):
     return mixing.mix_report(read(spark, sf, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op8_license_scan(spark, sf):
+    return license_scan.scan(read(spark, sf, "documents"))
+
+
+def op9_substring_dedup(spark, sf):
+    cut = substring_dedup.substring_dedup(read(spark, sf, "documents"), kept_as=lambda t: F.sha2(t.cast("binary"), 256))
+    return cut.select("doc_id", "n_words", "n_removed", F.col("kept").alias("kept_sha256"))
+
+
+def op10_language_id(spark, sf):
+    return language_id.identify(read(spark, sf, "documents"))
+
+
 QUERIES: dict[str, Query] = {
+    "op1_toxicity": op1_toxicity,
     "op2_exact_dedup": op2_exact_dedup,
+    "op3_html_extraction": op3_html_extraction,
+    "op4_fingerprints": op4_fingerprints,
     "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
+    "op6_byte_bpe": op6_byte_bpe,
     "op7_source_mixing": op7_source_mixing,
+    "op8_license_scan": op8_license_scan,
+    "op9_substring_dedup": op9_substring_dedup,
+    "op10_language_id": op10_language_id,
 }
 
 ORACLE_SQL = {
