@@ -93,6 +93,16 @@ def rare_words(t: dict, idf: dict[str, float]) -> list[tuple[str, int]]:
     return [(t["phrase"][i], i) for i in order[:2]]
 
 
+def starts(w: Column, t: dict, rare: list[tuple[str, int]]) -> Column:
+    """Where the key phrase of a template starts in the words ``w``: postings of its
+    two rare words that agree on the place, verified word for word.  ``_p`` holds the
+    places of indexed words."""
+    (one, a), (two, b) = rare[0], rare[-1]
+    return F.filter(F.transform("_p", lambda p: p - a), lambda s: (
+        (s >= 0) & (F.get(w, s + a) == one) & (F.get(w, s + b) == two)
+        & (F.slice(w, F.greatest(s, F.lit(0)) + 1, len(t["phrase"])) == strings(t["phrase"]))))
+
+
 def scan(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, n_words, n_base, first_word, last_word,
     base_labels, labels, score, matches (label and word place of each)."""
@@ -108,11 +118,7 @@ def scan(docs: DataFrame) -> DataFrame:
         .withColumn("_p", F.filter(F.transform("_w", lambda w, i: F.when(F.array_contains(keys, w), i)), lambda i: i.isNotNull()))
     w = F.col("_w")
     for i, t in enumerate(found):
-        (one, a), (two, b) = rare[i][0], rare[i][-1]
-        phrase, n = strings(t["phrase"]), len(t["phrase"])
-        start = F.transform("_p", lambda p, a=a: p - a)
-        rows = rows.withColumn(f"_s{i}", F.filter(start, lambda s, one=one, two=two, a=a, b=b, phrase=phrase, n=n: (
-            (s >= 0) & (F.get(w, s + a) == one) & (F.get(w, s + b) == two) & (F.slice(w, F.greatest(s, F.lit(0)) + 1, n) == phrase))))
+        rows = rows.withColumn(f"_s{i}", starts(w, t, rare[i]))
     base = [i for i, t in enumerate(found) if t["base"]]
     places = F.concat(*[F.col(f"_s{i}") for i in base])
     label = lambda which: F.array_join(F.array_sort(F.array_distinct(F.filter(F.array(*[
@@ -129,8 +135,11 @@ def scan(docs: DataFrame) -> DataFrame:
             (F.when(F.get(w, F.when(s >= at - j, s + (j - at))) == x, F.lit(idf[x] / total)).otherwise(F.lit(0.0)) for j, x in enumerate(t["words"])), F.lit(0.0)))
         return F.coalesce(F.array_max(held), F.lit(0.0))
 
-    matches = F.concat(*[F.transform(f"_s{i}", lambda s, i=i: F.struct(F.lit(found[i]["label"]).alias("label"), s.cast("long").alias("word"),
-                                                                       F.lit(found[i]["base"]).alias("base"))) for i in range(len(found))])
+    def match(i: int) -> Column:
+        return F.transform(f"_s{i}", lambda s: F.struct(F.lit(found[i]["label"]).alias("label"), s.cast("long").alias("word"),
+                                                        F.lit(found[i]["base"]).alias("base")))
+
+    matches = F.concat(*[match(i) for i in range(len(found))])
     return rows.select(
         "doc_id", "n_words", F.size(places).cast("long").alias("n_base"),
         F.array_min(places).cast("long").alias("first_word"), F.array_max(places).cast("long").alias("last_word"),
