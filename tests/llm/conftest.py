@@ -1,0 +1,27 @@
+import os
+import sys
+
+HERE = os.path.dirname(os.path.abspath(__file__))
+sys.path[:0] = [HERE, os.path.dirname(HERE), os.path.dirname(os.path.dirname(HERE))]
+
+import pytest  # noqa: E402
+from pyspark.sql import types as T  # noqa: E402
+
+DOC = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()),
+                    T.StructField("lang", T.StringType()), T.StructField("source", T.StringType()),
+                    T.StructField("n_chars", T.LongType())])
+
+
+@pytest.fixture()
+def docs_of(spark):
+    """Documents of (doc_id, text[, lang[, source]]), over a few partitions; ``extra`` adds
+    columns whose names the operators also use."""
+    def make(rows, extra=False, parts=3):
+        rows = [tuple(r) + (None,) * (4 - len(r)) for r in rows]
+        df = spark.createDataFrame([r + (len(r[1]) if r[1] is not None else None,) for r in rows], DOC).repartition(parts)
+        if extra:
+            from pyspark.sql import functions as F
+            for name in ("score", "kept", "size", "rank", "n", "gid", "sig", "ids", "path", "component", "_tl_rid"):
+                df = df.withColumn(name, F.lit("x"))
+        return df
+    return make

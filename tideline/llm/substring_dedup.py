@@ -204,7 +204,7 @@ def lengths(window: int, first: int) -> list[int]:
     """Window lengths after the first level: each twice the one before, the last
     ``window`` itself."""
     out, n = [], first
-    while n < window:
+    while n < window or not out:
         n = min(2 * n, window)
         out.append(n)
     return out

@@ -231,10 +231,10 @@ def toxicity(docs: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLE
         .groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic")) \
         .orderBy(F.md5(F.col("doc_id").cast("string")), "doc_id").limit(max_examples)
     sample = saved(texts.join(F.broadcast(known), "doc_id").select(RID, "doc_id", "toxic", "text"))
-    n1, n0 = (float(x or 0) for x in sample.agg(F.sum("toxic"), F.sum(1 - F.col("toxic"))).first())
-    held = saved(sample.select("toxic", "text").mapInArrow(_presence, "term long, n1 long, n0 long")
+    n1, n0 = (float(x or 0) for x in sample.select("toxic", "text").distinct().agg(F.sum("toxic"), F.sum(1 - F.col("toxic"))).first())
+    held = saved(sample.select("toxic", "text").distinct().mapInArrow(_presence, "term long, n1 long, n0 long")
                  .groupBy("term").agg(F.sum("n1").alias("n1"), F.sum("n0").alias("n0")).filter("n1 + n0 > 1"))
-    least = 2 * np.log(max(held.count(), 1)) + 6  # what chance alone would hardly reach in so many terms
+    least = 2 * np.log(max(held.count(), 1)) + 1  # what chance alone reaches about once in so many terms
     a, b = F.col("n1"), F.col("n0")
     chi = (n1 + n0) * F.pow(a * (n0 - b) - b * (n1 - a), 2) / (F.lit(n1 * n0) * (a + b) * (n1 + n0 - a - b))
     picked = held.filter(a + b < n1 + n0).withColumn("chi", chi).filter(F.col("chi") >= float(least)) \
