@@ -1,6 +1,6 @@
 """Run the streaming apps against Kafka topics.
 
-    python -m tideline.apps dau    --bootstrap H:9092 --out /warehouse/dau [--form watermark|exact|ttl]
+    python -m tideline.apps dau    --bootstrap H:9092 --out /warehouse/dau [--form exact|watermark|ttl]
     python -m tideline.apps orders --bootstrap H:9092 --out /warehouse/orders \\
                                    --provinces /warehouse/dim/province --users /warehouse/dim/user
     python -m tideline.apps cdc    --bootstrap H:9092 --out /warehouse/ods [--dialect object|array]
@@ -17,13 +17,13 @@ import argparse
 from tideline.session import build_session, scratch_path
 from tideline.sources import messages as M
 from tideline.streaming import jobs
-from tideline.streaming.io import kafka_stream
+from tideline.streaming.io import console_sink, kafka_batch_writer, kafka_stream
 
 TOPICS = {"dau": M.START_TOPIC, "orders": M.ORDER_TOPIC, "dim": M.PROVINCE_TOPIC,
           "cdc:object": M.CDC_OBJECT_TOPIC, "cdc:array": M.CDC_ARRAY_TOPIC}
 
 
-def main(argv=None) -> None:
+def parser() -> argparse.ArgumentParser:
     ap = argparse.ArgumentParser(prog="tideline.apps")
     ap.add_argument("app", choices=["dau", "orders", "cdc", "dim"])
     ap.add_argument("--bootstrap", required=True)
@@ -32,46 +32,67 @@ def main(argv=None) -> None:
     ap.add_argument("--topic")
     ap.add_argument("--starting-offsets", default="latest")
     ap.add_argument("--trigger-seconds", type=int, default=5)
-    ap.add_argument("--form", choices=["watermark", "exact", "ttl"], default="watermark")
+    ap.add_argument("--group-id", help="consumer group of the source")
+    ap.add_argument("--as-of", help="orders: ages as of this day (default: the day a batch runs)")
+    ap.add_argument("--gender-rule", choices=["standard", "swapped"], default="standard")
+    ap.add_argument("--rejects", help="folder for messages that can't be used (default: <out>_rejects)")
+    ap.add_argument("--print", action="store_true", dest="show", help="print the decoded messages instead of running the app")
+    ap.add_argument("--form", choices=["watermark", "exact", "ttl"], default="exact",
+                    help="dau: exact keeps late events, the other two forget them after 7 days")
     ap.add_argument("--dialect", choices=["object", "array"], default="object")
     ap.add_argument("--provinces")
     ap.add_argument("--users")
     ap.add_argument("--publish", action="store_true",
                     help="orders: also send wide orders to DW_ORDER_INFO; cdc: write to the ODS_T_* topics")
-    a = ap.parse_args(argv)
+    return ap
 
-    spark = build_session(app_name=f"tideline-{a.app}")
-    key = f"cdc:{a.dialect}" if a.app == "cdc" else a.app
-    msgs = kafka_stream(spark, a.bootstrap, a.topic or TOPICS[key], a.starting_offsets)
-    ck = a.checkpoint or scratch_path(spark, f"{a.app}-{a.form if a.app == 'dau' else a.dialect}")
-    trig = {"processingTime": f"{a.trigger_seconds} seconds"}
+
+def saved_rows(output: str, batch_id: int, rows: int) -> None:
+    """A3: report how many rows a batch saved."""
+    print(f"{output}: batch {batch_id} saved {rows} rows", flush=True)
+
+
+def start(a: argparse.Namespace, spark, msgs, checkpoint: str) -> list:
+    """The app's queries over ``msgs``."""
+    trig = {"processingTime": f"{a.trigger_seconds} seconds"} if a.trigger_seconds else {"availableNow": True}
+    rejects = a.rejects or a.out.rstrip("/") + "_rejects"
+    if a.show:
+        return [console_sink(msgs, checkpoint, trig)]
     if a.app == "dau":
         if a.form == "watermark":
-            q = jobs.start_dau_watermark(msgs, a.out, ck, trig)
-        elif a.form == "exact":
-            q = jobs.start_dau_exact(spark, msgs, a.out, ck, trig)
-        else:
-            from tideline.streaming.dau_state import dau_ttl_stream
-            # transformWithState needs the RocksDB state store (set before the query starts).
-            spark.conf.set("spark.sql.streaming.stateStore.providerClass",
-                           "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
-            q = (dau_ttl_stream(msgs).writeStream.format("parquet").option("path", a.out)
-                 .option("checkpointLocation", ck).partitionBy("dt")
-                 .trigger(**trig).start())
-    elif a.app == "orders":
-        if not (a.provinces and a.users):
-            ap.error("orders needs --provinces and --users")
+            return [jobs.start_dau_watermark(msgs, a.out, checkpoint, trig)]
+        if a.form == "exact":
+            return [jobs.start_dau_exact(spark, msgs, a.out, checkpoint, trig, rejects=rejects, saved=saved_rows)]
+        from tideline.streaming.dau_state import dau_ttl_stream
+        # transformWithState needs the RocksDB state store (set before the query starts).
+        spark.conf.set("spark.sql.streaming.stateStore.providerClass",
+                       "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+        return [dau_ttl_stream(msgs).writeStream.format("parquet").option("path", a.out)
+                .option("checkpointLocation", checkpoint).partitionBy("dt").trigger(**trig).start()]
+    if a.app == "orders":
         extra = {}
         if a.publish:
-            from tideline.streaming.io import kafka_batch_writer
             extra["sink"] = jobs.publish_wide_orders(kafka_batch_writer(a.bootstrap), M.WIDE_ORDER_TOPIC)
-        q = jobs.start_orders(spark, msgs, a.out, ck, a.provinces, a.users, trig, **extra)
-    elif a.app == "cdc":
-        q = jobs.start_cdc_route(msgs, a.out, ck, a.dialect, trig,
-                                 kafka_bootstrap=a.bootstrap if a.publish else None)
-    else:
-        q = jobs.start_dim(spark, msgs, a.out, ck, trig)
-    q.awaitTermination()
+        return [jobs.start_orders(spark, msgs, a.out, checkpoint, a.provinces, a.users, trig, as_of=a.as_of,
+                                  gender_rule=a.gender_rule, saved=saved_rows, **extra)]
+    if a.app == "cdc":
+        return [jobs.start_cdc_route(msgs, a.out, checkpoint, a.dialect, trig, kafka_bootstrap=a.bootstrap if a.publish else None),
+                jobs.start_cdc_rejects(msgs, rejects, checkpoint + "-rejects", a.dialect, trig)]
+    return [jobs.start_dim(spark, msgs, a.out, checkpoint, trig, rejects=rejects)]
+
+
+def main(argv=None) -> None:
+    ap = parser()
+    a = ap.parse_args(argv)
+    if a.app == "orders" and not (a.provinces and a.users):
+        ap.error("orders needs --provinces and --users")
+
+    spark = build_session(app_name=f"tideline-{a.app}")
+    key = f"cdc:{a.dialect}" if a.app == "cdc" else a.app
+    msgs = kafka_stream(spark, a.bootstrap, a.topic or TOPICS[key], a.starting_offsets, group_id=a.group_id)
+    ck = a.checkpoint or scratch_path(spark, f"{a.app}-{a.form if a.app == 'dau' else a.dialect}")
+    start(a, spark, msgs, ck)
+    spark.streams.awaitAnyTermination()
 
 
 if __name__ == "__main__":

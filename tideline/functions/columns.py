@@ -15,8 +15,6 @@ MALE_LABEL = "男"
 FEMALE_LABEL = "女"
 # ---------------------------------------------------------------------------
 
-DEFAULT_AS_OF = "2024-01-30"
-
 
 def c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
@@ -34,11 +32,6 @@ def millis_format(ts_ms, fmt: str) -> Column:
     return F.date_format(F.timestamp_millis(c(ts_ms)), fmt)
 
 
-def day_key(ts_ms) -> Column:
-    """yyyyMMdd day of an epoch-millis column (the dedup state key's day)."""
-    return millis_format(ts_ms, "yyyyMMdd")
-
-
 def split_part(s, sep: str, i: int) -> Column:
     """i-th piece of ``s`` split on a literal separator; null (never an error)
     when the piece does not exist."""
@@ -59,12 +52,13 @@ def hour_of_datetime(s) -> Column:
     return split_part(split_part(s, " ", 1), ":", 0)
 
 
-def age_years(birthday, as_of: str = DEFAULT_AS_OF) -> Column:
-    """Completed years between ``birthday`` and ``as_of``; null when the birthday
+def age_years(birthday, as_of=None) -> Column:
+    """Completed years between ``birthday`` and ``as_of`` (a date, a column, or None
+    for the day the query runs); null when the birthday
     is null or not a date.  Year difference, less one before the birthday in
     the as-of year (no months_between: its month-end rule differs elsewhere)."""
     b = F.try_to_date(c(birthday).cast("string"))
-    a = F.to_date(F.lit(as_of))
+    a = F.current_date() if as_of is None else F.to_date(c(as_of) if isinstance(as_of, Column) else F.lit(as_of))
     before = (F.month(a) * 100 + F.dayofmonth(a)) < (F.month(b) * 100 + F.dayofmonth(b))
     return F.year(a) - F.year(b) - F.when(before, 1).otherwise(0)
 
@@ -91,14 +85,6 @@ def gender_label(gender, rule: str = "standard") -> Column:
     return F.when(g == "F", FEMALE_LABEL).when(g == "M", MALE_LABEL)
 
 
-# Word tokens for search: lower-case, split on any run of non letters/digits.
-TOKEN_SPLIT = r"[^\p{L}\p{N}]+"
-
-
-def word_tokens(text) -> Column:
-    return F.split(F.lower(c(text)), TOKEN_SPLIT)
-
-
 def topic_for_table(table) -> Column:
     """Routing rule: ``ODS_T_`` + upper-cased table name."""
     return F.concat(F.lit("ODS_T_"), F.upper(c(table)))

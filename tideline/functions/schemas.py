@@ -17,6 +17,7 @@ START_LOG = _struct(("common", COMMON), ("ts", L))
 DAU_INFO = _struct(("mid", S), ("uid", S), ("ar", S), ("ch", S), ("vc", S),
                    ("dt", S), ("hr", S), ("mi", S), ("ts", L))
 
+# The wire field names of order messages.
 # Order as it arrives on the order topic ("feight_fee" is the wire spelling).
 ORDER_SOURCE_FIELDS = [
     ("id", L), ("province_id", L), ("order_status", S), ("user_id", L),
@@ -43,8 +44,12 @@ BASE_PROVINCE = _struct(("id", L), ("name", S), ("region_id", S), ("area_code",
 USER_INFO = _struct(("id", L), ("name", S), ("birthday", S), ("gender", S))
 
 # Change-data-capture envelopes: object payload (one row) or array payload (rows).
-CDC_OBJECT = _struct(("table", S), ("type", S), ("data", T.MapType(S, S)))
-CDC_ARRAY = _struct(("table", S), ("type", S), ("data", T.ArrayType(T.MapType(S, S))))
+# A payload stays JSON text, so it is passed on with its types.
+CDC_OBJECT = _struct(("table", S), ("type", S), ("data", S))
+CDC_ARRAY = _struct(("table", S), ("type", S), ("data", T.ArrayType(S)))
+
+# A message that no job could use, with the reason.
+REJECT = _struct(("topic", S), ("partition", I), ("offset", L), ("value", S), ("reason", S))
 
 # A topic message after the value bytes are decoded to text.
 MESSAGE = _struct(("topic", S), ("partition", I), ("offset", L), ("key", S), ("value", S))

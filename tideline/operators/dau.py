@@ -27,8 +27,8 @@ def with_day_parts(parsed: DataFrame) -> DataFrame:
 
 def start_rows(msgs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(valid start-log rows with day parts, rejects)."""
-    good, bad = split_valid(parse_start_log(msgs), F.col("_valid"))
-    return with_day_parts(good.drop("_valid")), bad.drop("_valid")
+    good, bad = split_valid(parse_start_log(msgs))
+    return with_day_parts(good), bad
 
 
 def first_launches(rows: DataFrame) -> DataFrame:

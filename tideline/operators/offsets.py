@@ -10,7 +10,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tideline.operators.joins import bounded_broadcast
 from tideline.operators.rank import last_per_key
 
 LEDGER_KEY = ["group_id", "topic", "partition"]
@@ -49,10 +48,10 @@ def resume_rows(msgs: DataFrame, ledger: DataFrame, group_id: str, missing: str
     A partition with a ledger entry resumes at its until-offset; one without
     starts at the earliest offset, or reads nothing when ``missing='latest'``
     (the reference default for a group without saved offsets).  The ledger has
-    one row per topic partition, so it is broadcast behind a size check.
+    one row per topic partition, so AQE broadcasts it once it has measured it.
     """
-    led = bounded_broadcast(ledger.where(F.col("group_id") == group_id)
-                                  .select("topic", "partition", F.col("until_offset").alias("_start")))
+    led = ledger.where(F.col("group_id") == group_id) \
+        .select("topic", "partition", F.col("until_offset").alias("_start"))
     j = msgs.join(led, ["topic", "partition"], "left")
     if missing == "latest":
         cond = F.col("_start").isNotNull() & (F.col("offset") >= F.col("_start"))

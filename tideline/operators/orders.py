@@ -6,8 +6,9 @@ orders by user into one window.  The earliest order of each user is found by
 an aggregate (combined map-side, one row per user per map task), and the
 flag goes back onto the order rows by a join on the message coordinates
 (topic, partition, offset), which are unique and evenly spread.  The only
-user-keyed join of full order rows is the dimension join, where AQE splits a
-hot user's partition (left outer joins split their left side).
+user-keyed join of full order rows is the one that attaches what is known per
+user.  Its right side has an exchange of its own, so AQE sees two plain shuffles
+and splits a hot user's partition (left outer joins split their left side).
 """
 
 from __future__ import annotations
@@ -15,9 +16,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tideline.functions.columns import age_group, age_years, gender_label, DEFAULT_AS_OF
+from tideline.functions.columns import age_group, age_years, gender_label
 from tideline.functions.schemas import ORDER_INFO_COLUMNS
-from tideline.operators.joins import bounded_broadcast
 from tideline.operators.parse import COORDS, parse_orders, split_valid
 from tideline.operators.upsert import keyed_upsert
 
@@ -29,8 +29,7 @@ W_COLS = ["w_topic", "w_partition", "w_offset"]
 
 def order_rows(msgs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(valid typed order rows with create_date / create_hour, rejects)."""
-    good, bad = split_valid(parse_orders(msgs), F.col("_valid"))
-    return good.drop("_valid"), bad.drop("_valid")
+    return split_valid(parse_orders(msgs))
 
 
 def _state(state: DataFrame) -> DataFrame:
@@ -110,35 +109,48 @@ def upsert_state(state: DataFrame, flagged: DataFrame) -> DataFrame:
 
 
 # ------------------------------------------------------------- enrichment
+def one_per_key(rows: DataFrame, key: str) -> DataFrame:
+    """One row per key of a dimension; of several the largest by its other columns."""
+    rest = [c for c in rows.columns if c != key]
+    return rows.groupBy(key).agg(F.max(F.struct(*rest)).alias("_row")).select(key, "_row.*")
+
+
+def own_exchange(rows: DataFrame) -> DataFrame:
+    """Put an exchange under a join side that ends in an aggregate or a join, so that
+    the join reads two plain shuffles, which is what AQE can split."""
+    return rows.hint("rebalance")
+
+
 def province_attrs(provinces: DataFrame) -> DataFrame:
     return provinces.select(F.col("id").alias("_pid"), F.col("name").alias("province_name"),
                             F.col("area_code").alias("province_area_code"))
 
 
 def enrich_province(orders: DataFrame, provinces: DataFrame) -> DataFrame:
-    """Left join to the province dimension (broadcast behind a row-count
-    check; the dimension is re-read by the caller for every batch, T3)."""
-    p = bounded_broadcast(province_attrs(provinces))
+    """Left join to the province dimension, one row per province (Spark
+    broadcasts it when it is small; the caller re-reads it for every batch, T3)."""
+    p = one_per_key(province_attrs(provinces), "_pid")
     return orders.join(p, orders.province_id == F.col("_pid"), "left").drop("_pid")
 
 
-def user_attrs(users: DataFrame, as_of: str = DEFAULT_AS_OF, gender_rule: str = "standard") -> DataFrame:
-    """P13-P15 per user: gender label and age group."""
-    return users.select(F.col("id").alias("user_id"),
+def user_attrs(users: DataFrame, as_of=None, gender_rule: str = "standard") -> DataFrame:
+    """P13-P15, one row per user: gender label and age group as of a day (today when
+    none is given)."""
+    return one_per_key(users.select("id", "birthday", "gender"), "id").select(F.col("id").alias("user_id"),
                         gender_label("gender", gender_rule).alias("user_gender"),
                         age_group(age_years("birthday", as_of)).alias("user_age_group"))
 
 
-def enrich_user(orders: DataFrame, users: DataFrame, as_of: str = DEFAULT_AS_OF,
+def enrich_user(orders: DataFrame, users: DataFrame, as_of=None,
                 gender_rule: str = "standard") -> DataFrame:
     """Left join to the user dimension.  Not forced to broadcast: the
     user dimension grows with the business; AQE picks the strategy and splits
     a hot user's partition."""
-    return orders.join(user_attrs(users, as_of, gender_rule), "user_id", "left")
+    return orders.join(own_exchange(user_attrs(users, as_of, gender_rule)), "user_id", "left")
 
 
 def order_wide(orders: DataFrame, provinces: DataFrame, users: DataFrame,
-               state: DataFrame | None = None, as_of: str = DEFAULT_AS_OF,
+               state: DataFrame | None = None, as_of=None,
                gender_rule: str = "standard") -> DataFrame:
     """T2 + J2 + J3: every OrderInfo field.
 
@@ -147,7 +159,7 @@ def order_wide(orders: DataFrame, provinces: DataFrame, users: DataFrame,
     """
     per_user = batch_winners(orders, state).join(user_attrs(users, as_of, gender_rule),
                                                  "user_id", "left")
-    o = enrich_province(orders, provinces).join(per_user, "user_id", "left")
+    o = enrich_province(orders, provinces).join(own_exchange(per_user), "user_id", "left")
     hit = F.lit(True)
     for cname in COORDS:
         hit = hit & (F.col(cname) == F.col(f"w_{cname}"))

@@ -9,12 +9,13 @@ from pyspark.sql import functions as F
 
 from tideline.functions.columns import c
 
-_NOT_WORD = r"[^\p{L}\p{N}]"
+# A Han character is a token of its own; other tokens are runs of letters and digits.
+_EDGE = r"[^\p{L}\p{N}]|\p{IsHan}"
 
 
 def _terms(query: str) -> list[str]:
     import regex
-    return sorted({t for t in regex.split(r"[^\p{L}\p{N}]+", query.lower()) if t})
+    return sorted(set(regex.findall(r"\p{Han}|[[\p{L}\p{N}]--\p{Han}]+", query.lower(), flags=regex.V1)))
 
 
 def matches_any_term(text, query: str) -> F.Column:
@@ -26,8 +27,10 @@ def matches_any_term(text, query: str) -> F.Column:
     terms = _terms(query)
     if not terms:
         return F.lit(False)
-    alt = "|".join(terms)
-    pattern = f"(^|{_NOT_WORD})({alt})({_NOT_WORD}|$)"
+    import regex
+    han = "".join(t for t in terms if regex.fullmatch(r"\p{Han}", t))
+    words = "|".join(t for t in terms if t not in han)
+    pattern = "|".join(p for p in (f"[{han}]" if han else "", f"(^|{_EDGE})({words})({_EDGE}|$)" if words else "") if p)
     low = F.lower(c(text))
     # A plain substring test first (cheap byte search); the regex confirms
     # whole-word matches only on texts that contain some term.
@@ -40,9 +43,9 @@ def matches_any_term(text, query: str) -> F.Column:
 def term_match_search(docs: DataFrame, query: str, text_col: str = "name",
                       score_col: str = "score", id_col: str = "id", limit: int = 10) -> DataFrame:
     """Documents matching ``query`` on ``text_col``, ascending by score
-    (ties by id), top ``limit``."""
+    (ties by id, null scores last), top ``limit``."""
     hits = docs.where(matches_any_term(text_col, query))
-    return hits.orderBy(F.col(score_col).asc(), F.col(id_col).asc()).limit(limit)
+    return hits.orderBy(F.col(score_col).asc_nulls_last(), F.col(id_col).asc()).limit(limit)
 
 
 def nested_match(array_col, field: str, query: str) -> F.Column:

@@ -10,17 +10,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from tideline.operators.rank import last_per_key
+from tideline.session import keep
 
 
 def keyed_upsert(existing: DataFrame, updates: DataFrame, keys, order=None) -> DataFrame:
     """Rows of ``existing`` whose key is not in ``updates``, plus ``updates``.
 
-    ``order``: when given, ``updates`` may hold a key more than once and the
-    last row by ``order`` wins (a bulk write applies actions in order).
-    Keys must be unique in ``existing``, which holds when it was written by
-    this function.
+    ``updates`` may hold a key more than once: the last row by ``order`` wins (a
+    bulk write applies actions in order), or without an order the largest by its
+    other columns.  The result has one row per key when ``existing`` has, which
+    holds when it was written by this function.  The updates are evaluated once and
+    kept, because both the anti join and the union read them.
     """
     keys = list(keys)
-    latest = last_per_key(updates, keys, order) if order else updates
+    latest = keep(last_per_key(updates, keys, order or [c for c in existing.columns if c not in keys]))
     kept = existing.join(latest.select(*keys), keys, "left_anti")
     return kept.unionByName(latest.select(*existing.columns))

@@ -140,35 +140,61 @@ def _word_regex(query: str) -> str:
     return r"(^|[^\p{L}\p{N}])(" + "|".join(terms) + r")([^\p{L}\p{N}]|$)"
 
 
+PAYLOAD = {"id": "BIGINT", "province_id": "BIGINT", "order_status": "VARCHAR", "user_id": "BIGINT", "final_total_amount": "DOUBLE",
+           "benefit_reduce_amount": "DOUBLE", "original_total_amount": "DOUBLE", "feight_fee": "DOUBLE", "expire_time": "VARCHAR",
+           "create_time": "VARCHAR", "operate_time": "VARCHAR", "name": "VARCHAR", "region_id": "VARCHAR", "area_code": "VARCHAR",
+           "birthday": "VARCHAR", "gender": "VARCHAR", "order_id": "BIGINT", "sku_id": "BIGINT", "sku_num": "DOUBLE",
+           "order_price": "DOUBLE", "category": "VARCHAR", "price": "DOUBLE"}
+
+
+def _payload(**have: str) -> str:
+    return ", ".join(f"CAST({have.get(f, 'NULL')} AS {t}) AS {f}" for f, t in PAYLOAD.items())
+
+
+def _same(*names: str) -> dict[str, str]:
+    return {n: n for n in names}
+
+
+ORDER_FIELDS = _same(*[c.strip() for c in ORDER_SRC.split(",")])
+
+
 def _cdc_object_sql() -> str:
     types = "['insert','update','delete','bootstrap-insert']"
+
+    def routed(topic: str, n_fields: str, source: str, **have: str) -> str:
+        return (f"SELECT '{topic}' AS topic, CAST({have['id']} AS VARCHAR) AS key, {types}[{have['id']} % 4 + 1] AS op_type, "
+                f"{n_fields} AS n_fields, {_payload(**have)} FROM {source} WHERE {have['id']} % 4 <> 2")
+
+    part = {"id": "p_partkey"}
     return _with(_order_info(), PROVINCES, USERS, """
 detail AS (
-  SELECT l_orderkey * 10 + l_linenumber AS id, strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') AS create_time
-  FROM lineitem)""") + f"""
-SELECT 'ODS_T_ORDER_INFO' AS topic, CAST(id AS VARCHAR) AS key, 'insert' AS op_type, 11 AS n_fields,
-       CAST(NULL AS VARCHAR) AS name, create_time
-FROM oi WHERE id % 4 = 0
-UNION ALL
-SELECT 'ODS_T_BASE_PROVINCE', CAST(id AS VARCHAR), {types}[id % 4 + 1], 4, name, NULL
-FROM prov WHERE id % 4 <> 2
-UNION ALL
-SELECT 'ODS_T_USER_INFO', CAST(id AS VARCHAR), {types}[id % 4 + 1],
-       CASE WHEN gender IS NULL THEN 3 ELSE 4 END, name, NULL
-FROM users WHERE id % 4 <> 2
-UNION ALL
-SELECT 'ODS_T_ORDER_DETAIL', CAST(id AS VARCHAR), {types}[id % 4 + 1], 6, NULL, create_time
-FROM detail WHERE id % 4 <> 2"""
+  SELECT l_orderkey * 10 + l_linenumber AS id, l_orderkey AS order_id, l_partkey AS sku_id, l_quantity AS sku_num,
+         l_extendedprice AS order_price, strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') AS create_time
+  FROM lineitem)""") + "\nUNION ALL\n".join([
+        f"SELECT 'ODS_T_ORDER_INFO' AS topic, CAST(id AS VARCHAR) AS key, 'insert' AS op_type, "
+        f"CASE WHEN province_id IS NULL THEN 10 ELSE 11 END AS n_fields, {_payload(**ORDER_FIELDS)} FROM oi WHERE id % 4 = 0",
+        routed("ODS_T_BASE_PROVINCE", "4", "prov", **_same("id", "name", "region_id", "area_code")),
+        routed("ODS_T_USER_INFO", "CASE WHEN gender IS NULL THEN 3 ELSE 4 END", "users", **_same("id", "name", "birthday", "gender")),
+        routed("ODS_T_ORDER_DETAIL", "6", "detail", **_same("id", "order_id", "sku_id", "sku_num", "order_price", "create_time")),
+        routed("ODS_T_SPU_INFO", "3", "part", **part, name="p_name", category="p_type"),
+        routed("ODS_T_SKU_INFO", "3", "part", **part, name="p_name", price="p_retailprice"),
+        routed("ODS_T_BASE_CATEGORY3", "2", "part", **part, name="p_type"),
+        routed("ODS_T_BASE_TRADEMARK", "2", "part", **part, name="p_brand")])
 
 
 def _cdc_array_sql() -> str:
     return _with(_order_info()) + f"""
 SELECT 'ODS_T_ORDER_INFO' AS topic, CAST(id AS VARCHAR) AS key,
        ['INSERT','UPDATE','DELETE'][({_days('substr(create_time, 1, 10)')} + id // 1024) % 3 + 1] AS op_type,
-       11 AS n_fields, CAST(NULL AS VARCHAR) AS name, create_time
+       CASE WHEN province_id IS NULL THEN 10 ELSE 11 END AS n_fields, {_payload(**ORDER_FIELDS)}
 FROM oi"""
 
 
+def _chain(sql: str) -> str:
+    """The same SQL over the orders that the router passes on (inserts)."""
+    return sql.replace("FROM orders o LEFT JOIN", "FROM (SELECT * FROM orders WHERE o_orderkey % 4 = 0) o LEFT JOIN")
+
+
 def oracle_sql() -> dict[str, str]:
     cut = P.DAU_SEEN_CUT
     q: dict[str, str] = {}
@@ -195,6 +221,31 @@ UNION ALL SELECT {DAU_COLS} FROM f2"""
 SELECT dt, count(*) AS rows_before, count(DISTINCT mid) AS rows_after FROM start_log GROUP BY dt"""
     q["cdc_route_object"] = _cdc_object_sql()
     q["cdc_route_array"] = _cdc_array_sql()
+    q["cdc_rejects"] = f"""
+SELECT 'ODS_DB_OBJECT' AS topic, 5 AS "partition", CAST(n_nationkey AS BIGINT) * 2 + 1 AS "offset",
+       '{{"table":"base_province","type":"' || ['insert','update','delete','bootstrap-insert'][(n_nationkey * 2 + 1) % 4 + 1]
+         || '","data":null}}' AS value, 'no data' AS reason FROM nation
+UNION ALL
+SELECT 'ODS_DB_ARRAY', 4, CAST(r_regionkey AS BIGINT) * 3 + i,
+       '{{"table":"order_info","type":"INSERT","data":' || CASE i WHEN 1 THEN 'null' ELSE '[null]' END || '}}',
+       CASE i WHEN 1 THEN 'no data' ELSE 'null element' END
+FROM region, (VALUES (1), (2)) v(i)"""
+    q["start_log_rejects"] = """
+SELECT 'START_LOG' AS topic, CAST(event_id % 4 AS INTEGER) AS "partition", event_id // 4 AS "offset",
+       CASE WHEN event_type = 'purchase' THEN 'no ts' ELSE 'no mid' END AS reason,
+       CAST(CASE event_type WHEN 'error' THEN 12
+            WHEN 'signup' THEN length('{"common":{"ch":"signup"},"ts":' || CAST(epoch_us(ts) // 1000 AS VARCHAR) || '}')
+            ELSE length('{"common":{"mid":"mid_' || CAST(user_id AS VARCHAR) || '","ch":"purchase"}}') END AS INTEGER) AS value_chars
+FROM events WHERE event_type IN ('error', 'signup', 'purchase')"""
+    q["order_rejects"] = """
+SELECT 'ODS_T_ORDER_INFO' AS topic, CAST(o_orderkey % 4 AS INTEGER) AS "partition", o_orderkey // 4 AS "offset",
+       CASE WHEN o_orderstatus = 'P' THEN 'no create_time' ELSE 'no user_id' END AS reason, CAST(o_orderkey AS VARCHAR) AS id
+FROM orders WHERE o_orderstatus IN ('P', 'O')"""
+    q["cdc_order_chain"] = _chain(_with(_order_info(), PROVINCES, USERS, WIDE) + f" SELECT {WIDE_COLS} FROM wide")
+    q["cdc_province_chain"] = _with(PROVINCES) + """
+SELECT id, name, region_id, area_code FROM prov WHERE id % 4 <> 2
+UNION ALL
+SELECT id, lower(name) || ' v2', region_id, CAST(id + 200 AS VARCHAR) FROM prov WHERE id % 4 = 2 AND n_regionkey IN (0, 2)"""
     q["order_parse"] = _with(_order_info()) + f" SELECT {ORDER_SRC}, create_date, create_hour FROM oid"
     q["state_lookup"] = _with(_order_info(), SEED) + f"""
 SELECT user_id, if_consumed, first_order_id FROM seed
@@ -259,9 +310,16 @@ SELECT o.id, o.user_id, u.user_gender_swapped AS user_gender, u.user_age_group
 FROM oi o LEFT JOIN user_attrs u ON o.user_id = u.user_id"""
     q["order_wide"] = _with(_order_info(), PROVINCES, USERS, WIDE) + f" SELECT {WIDE_COLS} FROM wide"
     q["dw_order_messages"] = _with(_order_info(), PROVINCES, USERS, WIDE) + """
-SELECT 'DW_ORDER_INFO' AS topic, CAST(id AS VARCHAR) AS key, id, user_id, if_first_order, province_name,
-       province_area_code, user_gender, user_age_group, create_date, create_hour, final_total_amount
-FROM wide"""
+SELECT 'DW_ORDER_INFO' AS topic, CAST(id AS VARCHAR) AS key, """ + WIDE_COLS + " FROM wide"
+    q["order_wide_repeated_dims"] = _with(_order_info(), PROVINCES, USERS, WIDE, f"""
+prov_all AS (
+  SELECT id, name AS n, area_code AS a FROM prov_loaded
+  UNION ALL SELECT id, lower(name) || ' v2', CAST(id + 200 AS VARCHAR) FROM prov WHERE n_regionkey IN (0, 2)),
+prov_one AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY n DESC, a DESC) AS rn FROM prov_all) WHERE rn = 1)""") + """
+SELECT w.* EXCLUDE (province_name, province_area_code, user_age_group), p.n AS province_name, p.a AS province_area_code,
+       CASE WHEN l.id IS NOT NULL THEN '20岁及以下' END AS user_age_group
+FROM wide w LEFT JOIN prov_one p ON w.province_id = p.id LEFT JOIN users_loaded l ON w.user_id = l.id"""
     q["order_upsert"] = _with(_order_info(), PROVINCES, USERS, WIDE) + f"""
 SELECT id, province_id,
        CASE WHEN order_status = '{P.UPDATED_STATUS}' THEN '{P.NEW_STATUS}' ELSE order_status END AS order_status,

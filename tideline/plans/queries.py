@@ -16,7 +16,7 @@ from tideline.operators import cdc, dau, offsets, orders, search
 from tideline.operators.parse import parse_province, parse_start_log, split_valid
 from tideline.operators.upsert import keyed_upsert
 from tideline.plans import params as P
-from tideline.session import materialize, prepare
+from tideline.session import keep, prepare
 from tideline.sources import messages as M
 from tideline.sources.tables import read_table, spread
 
@@ -26,7 +26,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 # ------------------------------------------------------------------ start log
 def q_start_log_parse(spark, sf):
     prepare(spark)
-    good, _ = split_valid(parse_start_log(M.start_log_messages(spark, sf)), F.col("_valid"))
+    good, _ = split_valid(parse_start_log(M.start_log_messages(spark, sf)))
     return good.select("topic", "partition", "offset", "mid", "uid", "ar", "ch", "vc", "ts")
 
 
@@ -62,10 +62,16 @@ def q_dau_filter_counts(spark, sf):
 
 
 # ------------------------------------------------------------------------ CDC
+PAYLOAD_FIELDS = ("id BIGINT, province_id BIGINT, order_status STRING, user_id BIGINT, final_total_amount DOUBLE, "
+                  "benefit_reduce_amount DOUBLE, original_total_amount DOUBLE, feight_fee DOUBLE, expire_time STRING, "
+                  "create_time STRING, operate_time STRING, name STRING, region_id STRING, area_code STRING, birthday STRING, "
+                  "gender STRING, order_id BIGINT, sku_id BIGINT, sku_num DOUBLE, order_price DOUBLE, category STRING, price DOUBLE")
+
+
 def _route_out(routed: DataFrame) -> DataFrame:
-    return routed.select("topic", "key", "op_type", F.size("data").alias("n_fields"),
-                         F.col("data").getItem("name").alias("name"),
-                         F.col("data").getItem("create_time").alias("create_time"))
+    """The routed messages with every field of their value, by its JSON type."""
+    return routed.select("topic", "key", "op_type", F.col("data").alias("value")).select("topic", "key", "op_type", F.size(F.json_object_keys("value")).alias("n_fields"),
+                       F.inline(F.array(F.from_json("value", PAYLOAD_FIELDS))))
 
 
 def q_cdc_route_object(spark, sf):
@@ -80,14 +86,54 @@ def q_cdc_route_array(spark, sf):
     return _route_out(routed)
 
 
+def q_cdc_rejects(spark, sf):
+    prepare(spark)
+    _, one = cdc.route_object(M.cdc_object_messages(spark, sf))
+    _, two = cdc.route_array(M.cdc_array_messages(spark, sf))
+    return one.unionByName(two)
+
+
+def q_start_log_rejects(spark, sf):
+    prepare(spark)
+    _, bad = split_valid(parse_start_log(M.broken_start_logs(spark, sf)))
+    return bad.select("topic", "partition", "offset", "reason", F.length("value").alias("value_chars"))
+
+
+def q_order_rejects(spark, sf):
+    prepare(spark)
+    _, bad = orders.order_rows(M.broken_orders(spark, sf))
+    return bad.select("topic", "partition", "offset", "reason", F.get_json_object("value", "$.id").alias("id"))
+
+
+def _routed(spark, sf, topic):
+    """What a consumer of one per-table topic reads after the CDC router."""
+    routed, _ = cdc.route_object(M.cdc_object_messages(spark, sf))
+    return cdc.to_topic_messages(routed).where(F.col("topic") == topic)
+
+
+def q_cdc_order_chain(spark, sf):
+    """Captured order rows, routed, parsed and widened."""
+    prepare(spark)
+    good, _ = orders.order_rows(_routed(spark, sf, M.ORDER_TOPIC))
+    return orders.order_wide(keep(good), _provinces(spark, sf), _users(spark, sf), as_of=P.AS_OF)
+
+
+def q_cdc_province_chain(spark, sf):
+    """Captured province rows, routed, parsed and upserted."""
+    prepare(spark)
+    good, _ = split_valid(parse_province(_routed(spark, sf, M.PROVINCE_TOPIC)))
+    return keyed_upsert(M.province_rows_v2(spark, sf), good, ["id"], order=["offset"])
+
+
 # --------------------------------------------------------------------- orders
 ORDER_SOURCE_OUT = [n for n, _ in S.ORDER_SOURCE_FIELDS]
 
 
-def _orders(spark, sf, midnight=False, since=None, before=None):
+def _orders(spark, sf, midnight=False, since=None, before=None, kept=True):
+    """Typed orders, parsed once: ``kept`` for queries that read them twice."""
     rows = M.order_info_rows(spark, sf, midnight, created_since=since, created_before=before)
     good, _ = orders.order_rows(M.order_messages(spark, sf, rows=rows))
-    return good
+    return keep(good) if kept else good
 
 
 def _after_cut(spark, sf):
@@ -95,14 +141,14 @@ def _after_cut(spark, sf):
 
 
 def _seed(spark, sf):
-    """The user state as stored before the batch: materialized once, like
-    the state table a stream job reads."""
-    return materialize(M.user_state_seed(spark, sf, P.STATE_CUT))
+    """The user state as stored before the batch: kept, like the state table that
+    a stream job reads."""
+    return keep(M.user_state_seed(spark, sf, P.STATE_CUT))
 
 
 def q_order_parse(spark, sf):
     prepare(spark)
-    return _orders(spark, sf).select(*ORDER_SOURCE_OUT, "create_date", "create_hour")
+    return _orders(spark, sf, kept=False).select(*ORDER_SOURCE_OUT, "create_date", "create_hour")
 
 
 def q_state_lookup(spark, sf):
@@ -134,7 +180,7 @@ def q_order_first_two_batches(spark, sf):
     prepare(spark)
     b1 = _orders(spark, sf, before=P.STATE_CUT)
     b2 = _after_cut(spark, sf)
-    f1 = materialize(orders.first_order_flags(b1))  # batch 1 feeds batch 2's state
+    f1 = keep(orders.first_order_flags(b1))  # batch 1 feeds batch 2's state
     state1 = orders.state_updates(f1)
     f2 = orders.first_order_flags(b2, state1)
     cols = ["id", "user_id", "if_first_order"]
@@ -160,7 +206,7 @@ def q_dim_upsert(spark, sf):
     existing = M.province_rows(spark, sf, missing_region=P.MISSING_REGION)
     loaded_late = M.province_rows(spark, sf).where(F.col("region_id") == str(P.MISSING_REGION))
     changes = M.province_rows_v2(spark, sf).unionByName(loaded_late)
-    good, _ = split_valid(parse_province(M.province_messages(changes)), F.col("_valid"))
+    good, _ = split_valid(parse_province(M.province_messages(changes.unionByName(changes))))  # delivered twice
     return keyed_upsert(existing, good, ["id"], order=["offset"])
 
 
@@ -174,7 +220,8 @@ def q_user_dim_upsert(spark, sf):
                   .select("id", F.concat(F.upper("name"), F.lit(" (renamed)")).alias("name"),
                           "birthday", "gender"))
     inserted = seg.where(F.col("c_mktsegment") == P.MISSING_SEGMENT).select("id", "name", "birthday", "gender")
-    return keyed_upsert(existing, renamed.unionByName(inserted), ["id"])
+    changes = renamed.unionByName(inserted)
+    return keyed_upsert(existing, changes.unionByName(changes), ["id"])  # delivered twice
 
 
 def q_keyed_upsert(spark, sf):
@@ -199,19 +246,19 @@ def _users(spark, sf):
 
 def q_order_province_enrich(spark, sf):
     prepare(spark)
-    o = orders.enrich_province(_orders(spark, sf), _provinces(spark, sf))
+    o = orders.enrich_province(_orders(spark, sf, kept=False), _provinces(spark, sf))
     return o.select("id", "province_id", "province_name", "province_area_code")
 
 
 def q_order_user_enrich(spark, sf):
     prepare(spark)
-    o = orders.enrich_user(_orders(spark, sf), _users(spark, sf), P.AS_OF)
+    o = orders.enrich_user(_orders(spark, sf, kept=False), _users(spark, sf), P.AS_OF)
     return o.select("id", "user_id", "user_gender", "user_age_group")
 
 
 def q_order_user_enrich_swapped(spark, sf):
     prepare(spark)
-    o = orders.enrich_user(_orders(spark, sf), _users(spark, sf), P.AS_OF, gender_rule="swapped")
+    o = orders.enrich_user(_orders(spark, sf, kept=False), _users(spark, sf), P.AS_OF, gender_rule="swapped")
     return o.select("id", "user_id", "user_gender", "user_age_group")
 
 
@@ -229,22 +276,28 @@ def q_dw_order_messages(spark, sf):
     prepare(spark)
     msgs = orders.wide_order_messages(_wide(spark, sf), M.WIDE_ORDER_TOPIC)
     v = F.inline(F.array(F.from_json("value", S.ORDER_INFO)))
-    return msgs.select("topic", "key", v).select(
-        "topic", "key", "id", "user_id", "if_first_order", "province_name",
-        "province_area_code", "user_gender", "user_age_group", "create_date",
-        "create_hour", "final_total_amount")
+    return msgs.select("topic", "key", v).select("topic", "key", *S.ORDER_INFO_COLUMNS)
+
+
+def q_order_wide_repeated_dims(spark, sf):
+    """Dimensions that hold a key more than once do not multiply orders."""
+    prepare(spark)
+    prov = _provinces(spark, sf).unionByName(M.province_rows_v2(spark, sf)).unionByName(_provinces(spark, sf))
+    users = _users(spark, sf).unionByName(_users(spark, sf).withColumn("birthday", F.lit("2010-06-30")))
+    return orders.order_wide(_orders(spark, sf), prov, users, as_of=P.AS_OF)
 
 
 def q_order_upsert(spark, sf):
     prepare(spark)
-    wide1 = materialize(_wide(spark, sf))  # batch 1 feeds batch 2's state
+    wide1 = keep(_wide(spark, sf))  # batch 1 feeds batch 2's state
     state1 = orders.state_updates(wide1)
     rows = M.order_info_rows(spark, sf)
     changed = (rows.where(F.col("order_status") == P.UPDATED_STATUS)
                    .withColumn("order_status", F.lit(P.NEW_STATUS)))
-    o2, _ = orders.order_rows(M.order_messages(spark, sf, rows=changed))
-    wide2 = orders.order_wide(o2, _provinces(spark, sf), _users(spark, sf), state=state1, as_of=P.AS_OF)
-    return keyed_upsert(wide1, wide2, ["id"])
+    again = M.order_messages(spark, sf, rows=changed)
+    o2, _ = orders.order_rows(again.unionByName(again.withColumn("offset", F.col("offset") + (1 << 40))))  # delivered twice
+    wide2 = orders.order_wide(keep(o2), _provinces(spark, sf), _users(spark, sf), state=state1, as_of=P.AS_OF)
+    return keyed_upsert(wide1, wide2, ["id"], order=["if_first_order"])
 
 
 # -------------------------------------------------------------------- offsets
@@ -298,6 +351,11 @@ QUERIES: dict[str, Query] = {
     "dau_filter_counts": q_dau_filter_counts,
     "cdc_route_object": q_cdc_route_object,
     "cdc_route_array": q_cdc_route_array,
+    "cdc_rejects": q_cdc_rejects,
+    "start_log_rejects": q_start_log_rejects,
+    "order_rejects": q_order_rejects,
+    "cdc_order_chain": q_cdc_order_chain,
+    "cdc_province_chain": q_cdc_province_chain,
     "order_parse": q_order_parse,
     "state_lookup": q_state_lookup,
     "order_state_flag": q_order_state_flag,
@@ -313,6 +371,7 @@ QUERIES: dict[str, Query] = {
     "order_user_enrich": q_order_user_enrich,
     "order_user_enrich_swapped": q_order_user_enrich_swapped,
     "order_wide": q_order_wide,
+    "order_wide_repeated_dims": q_order_wide_repeated_dims,
     "dw_order_messages": q_dw_order_messages,
     "order_upsert": q_order_upsert,
     "offset_ranges": q_offset_ranges,

@@ -42,8 +42,28 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     return spark
 
 
+# Frames kept by the query that runs now, per application.
+_KEPT: dict[str, list] = {}
+
+
+def keep(df):
+    """Persist ``df`` (memory, then disk) for a query that reads it from several
+    places, so its source is scanned and parsed once.  It is released when the
+    next query prepares, or by ``release``; a lost executor only means that its
+    part is computed again."""
+    _KEPT.setdefault(df.sparkSession.sparkContext.applicationId, []).append(df.persist())
+    return df
+
+
+def release(spark: SparkSession) -> None:
+    for df in _KEPT.pop(spark.sparkContext.applicationId, []):
+        df.unpersist()
+
+
 def prepare(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings a query needs on a session someone else built."""
+    """Apply the runtime settings a query needs on a session someone else built,
+    and release what the query before kept."""
+    release(spark)
     for k, v in REQUIRED_CONF.items():
         if spark.conf.get(k, None) != v:
             spark.conf.set(k, v)
@@ -90,7 +110,7 @@ def cluster_conf(shuffle_bytes: float, total_cores: int, target_partition_mb: in
     two waves of tasks); AQE then coalesces small ones and splits skewed ones.
     """
     target = target_partition_mb * 1024 * 1024
-    n = max(2 * total_cores, min(200_000, int(shuffle_bytes // target) + 1))
+    n = max(2 * total_cores, int(shuffle_bytes // target) + 1)
     return {
         "spark.sql.shuffle.partitions": str(n),
         "spark.sql.files.maxPartitionBytes": str(target),

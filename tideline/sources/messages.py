@@ -74,6 +74,18 @@ def start_log_messages(spark: SparkSession, sf_dir: str, where=None,
                      F.lit(None).cast("string").alias("key"), value.alias("value"), *extra)
 
 
+def broken_start_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Start-log messages of which some event types are damaged: ``error`` is cut off,
+    ``signup`` has no device, ``purchase`` no time."""
+    ev = spread(read_table(spark, sf_dir, "events", ["event_id", "ts", "user_id", "event_type"]), "event_id")
+    mid = F.when(F.col("event_type") != "signup", F.concat(F.lit("mid_"), F.col("user_id").cast("string")))
+    ts = F.when(F.col("event_type") != "purchase", epoch_millis("ts"))
+    value = F.to_json(F.struct(F.struct(mid.alias("mid"), F.col("event_type").alias("ch")).alias("common"), ts.alias("ts")))
+    value = F.when(F.col("event_type") == "error", F.substring(value, 1, 12)).otherwise(value)
+    return ev.select(F.lit(START_TOPIC).alias("topic"), *_coords("event_id"),
+                     F.lit(None).cast("string").alias("key"), value.alias("value"))
+
+
 # -------------------------------------------------------------------- orders
 def order_info_rows(spark: SparkSession, sf_dir: str, midnight: bool = False,
                     created_since: str | None = None, created_before: str | None = None) -> DataFrame:
@@ -134,6 +146,15 @@ def order_messages(spark: SparkSession, sf_dir: str, midnight: bool = False,
                     F.to_json(F.struct(*ORDER_PAYLOAD)).alias("value"))
 
 
+def broken_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order messages of which some states are damaged: ``P`` has no create time,
+    ``O`` no user."""
+    r = order_info_rows(spark, sf_dir)
+    r = r.withColumn("create_time", F.when(F.col("order_status") != "P", F.col("create_time"))) \
+         .withColumn("user_id", F.when(F.col("order_status") != "O", F.col("user_id")))
+    return order_messages(spark, sf_dir, rows=r)
+
+
 # ---------------------------------------------------------------- dimensions
 def province_rows(spark: SparkSession, sf_dir: str, missing_region: int | None = None) -> DataFrame:
     """base_province from ``nation``.  ``missing_region`` leaves that region's
@@ -208,7 +229,8 @@ def cdc_object_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Object-dialect CDC messages: one changed row per message.
 
     Tables: order_info (orders), base_province (nation), user_info (customer),
-    order_detail (lineitem), not_listed (supplier); operation type by key % 4;
+    order_detail (lineitem), spu_info, sku_info, base_category3 and base_trademark
+    (part), not_listed (supplier); operation type by key % 4;
     plus, per province, one message with an empty and one with a null payload.
     """
     def frame(rows, table, pidx, key_col, payload_cols, data_override=None):
@@ -233,6 +255,8 @@ def cdc_object_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     sup = read_table(spark, sf_dir, "supplier", ["s_suppkey", "s_name", "s_nationkey"]).select(
         F.col("s_suppkey").alias("id"), F.col("s_name").alias("name"),
         F.col("s_nationkey").alias("nation_id"))
+    part = read_table(spark, sf_dir, "part", ["p_partkey", "p_name", "p_brand", "p_type", "p_retailprice"])
+    pid = F.col("p_partkey").alias("id")
     empties = prov.select((F.col("id") * 2).alias("k2"))
     nulls = prov.select((F.col("id") * 2 + 1).alias("k2"))
     parts = [
@@ -242,6 +266,12 @@ def cdc_object_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         frame(detail, "order_detail", 3, "id",
               ["id", "order_id", "sku_id", "sku_num", "order_price", "create_time"]),
         frame(sup, "not_listed", 4, "id", ["id", "name", "nation_id"]),
+        frame(part.select(pid, F.col("p_name").alias("name"), F.col("p_type").alias("category")), "spu_info", 6, "id",
+              ["id", "name", "category"]),
+        frame(part.select(pid, F.col("p_name").alias("name"), F.col("p_retailprice").alias("price")), "sku_info", 7, "id",
+              ["id", "name", "price"]),
+        frame(part.select(pid, F.col("p_type").alias("name")), "base_category3", 8, "id", ["id", "name"]),
+        frame(part.select(pid, F.col("p_brand").alias("name")), "base_trademark", 9, "id", ["id", "name"]),
         frame(empties, "base_province", 5, "k2", None, F.lit("{}")),
         frame(nulls, "base_province", 5, "k2", None, F.lit("null")),
     ]
@@ -255,7 +285,7 @@ def cdc_array_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Array-dialect CDC messages: orders of one order date, packed in key
     chunks of at most ``ARRAY_CHUNK_KEYS`` keys and sorted by key; the
     operation type rotates per message.  Plus, per region, one message with an
-    empty array and one with a null payload."""
+    empty array, one with a null payload and one with a null element."""
     keyed = order_info_rows(spark, sf_dir)
     days = F.datediff(F.to_date(F.substring("create_time", 1, 10)), F.lit("1970-01-01").cast("date"))
     chunk = F.expr(f"id div {ARRAY_CHUNK_KEYS}")
@@ -269,8 +299,8 @@ def cdc_array_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
                   F.to_json("rows")).alias("value"))
     reg = read_table(spark, sf_dir, "region", ["r_regionkey"])
     extra = [reg.select(F.lit(CDC_ARRAY_TOPIC).alias("topic"), F.lit(TOPIC_PARTITIONS).cast("int").alias("partition"),
-                        (F.col("r_regionkey") * 2 + i).cast("long").alias("offset"),
+                        (F.col("r_regionkey") * 3 + i).cast("long").alias("offset"),
                         F.lit(None).cast("string").alias("key"),
                         _envelope(F.lit("order_info"), F.lit("INSERT"), F.lit(txt)).alias("value"))
-             for i, txt in enumerate(["[]", "null"])]
-    return msgs.unionByName(extra[0]).unionByName(extra[1])
+             for i, txt in enumerate(["[]", "null", "[null]"])]
+    return msgs.unionByName(extra[0]).unionByName(extra[1]).unionByName(extra[2])

@@ -18,33 +18,10 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, columns=None) -> Dat
     return df.select(*columns) if columns else df
 
 
-def scan_columns(spark: SparkSession, path: str, columns, where=None) -> DataFrame:
-    """A dimension scan with an explicit column list and optional predicate
-    (both pushed into the parquet reader)."""
-    df = spark.read.parquet(path).select(*columns)
-    return df.where(where) if where is not None else df
-
-
-# A source is spread to at most this many partitions, so only small inputs
-# (fewer than 32 splits, i.e. at most ~4 GB at 128 MB per split) are ever
-# reshuffled; on a large cluster a big input keeps its own scan splits.
-SPREAD_MAX_PARTITIONS = 32
-
-
 def spread(df: DataFrame, key: str, min_partitions: int | None = None) -> DataFrame:
-    """Give a small source at least ``min_partitions`` splits (default: the
-    default parallelism, capped at SPREAD_MAX_PARTITIONS), like the Kafka
-    source's ``minPartitions``.
-
-    Only a source with fewer splits than that is repartitioned, by hash of
-    ``key`` so a recomputed task sees the same rows after an executor loss; a
-    large input keeps its scan splits, no shuffle.
-    """
-    try:
-        n = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism,
-                                  SPREAD_MAX_PARTITIONS)
-        if df.rdd.getNumPartitions() >= n:
-            return df
-    except Exception:  # no RDD access (e.g. a Connect session): keep the scan as is
-        return df
-    return df.repartition(n, key)
+    """Give a source at least ``min_partitions`` splits (default: the default
+    parallelism), like the Kafka source's ``minPartitions``.  A source with fewer is
+    repartitioned by hash of ``key``, so a recomputed task sees the same rows after
+    an executor loss; any other keeps its scan splits."""
+    n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= n else df.repartition(n, key)

@@ -11,16 +11,22 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tideline.functions import schemas as S
 from tideline.operators import cdc, dau, offsets, orders
-from tideline.operators.parse import parse_province, split_valid
+from tideline.operators.parse import parse_orders, parse_province, parse_start_log, split_valid
 from tideline.operators.upsert import keyed_upsert
-from tideline.streaming.table import IncrementTable, VersionedTable
+from tideline.session import release
+from tideline.streaming.io import kafka_sink
+from tideline.streaming.table import IncrementTable, VersionedTable, current
 
 DAU_SCHEMA = S.DAU_INFO
 DEFAULT_TRIGGER = {"processingTime": "5 seconds"}  # T4
+# Days of one batch that become a pruning filter on the seen-set; a batch whose
+# clocks name more days joins on the day instead, with the same rows.
+PRUNED_DAYS = 1000
+#: ``saved(output, batch_id, rows)``: how many rows a batch saved (A3).
+Saved = Callable[[str, int, int], None]
 
 
 def _start(writer, trigger: dict | None):
@@ -40,6 +46,16 @@ def commit_offsets(ledger: VersionedTable, batch_df: DataFrame, batch_id: int, g
     ledger.commit(new, batch_id)
 
 
+def write_rejects(rejects: IncrementTable | None, bad: DataFrame, batch_id: int) -> None:
+    """Messages that a job could not use, with the reason; nothing when there are none."""
+    if rejects is not None and not bad.isEmpty():
+        rejects.write(bad, batch_id)
+
+
+def rejects_table(spark: SparkSession, root: str) -> IncrementTable:
+    return IncrementTable(spark, root, S.REJECT)
+
+
 # ------------------------------------------------------------------- DAU
 def dau_watermark(msgs: DataFrame, delay: str = "7 days") -> DataFrame:
     """T1, state-store form: keep the first (dt, mid) seen within the
@@ -61,7 +77,8 @@ def start_dau_watermark(msgs: DataFrame, root: str, checkpoint: str, trigger: di
 
 
 def dau_exact_batch(spark: SparkSession, table: IncrementTable,
-                    compact_every: int | None = None) -> Callable[[DataFrame, int], None]:
+                    compact_every: int | None = None, rejects: IncrementTable | None = None,
+                    saved: Saved | None = None) -> Callable[[DataFrame, int], None]:
     """T1, exact form: inside each micro-batch keep the first arrival per
     (dt, mid) by (ts, offset, partition), then drop keys already written by
     earlier batches (J4); the written increments are the seen-set.
@@ -70,25 +87,32 @@ def dau_exact_batch(spark: SparkSession, table: IncrementTable,
     ``dt``); every ``compact_every`` batches the increments are folded into a
     snapshot so the read lists a bounded number of folders."""
     def run(batch_df: DataFrame, batch_id: int) -> None:
-        rows, _ = dau.start_rows(batch_df)
-        firsts = dau.first_launches(rows).persist()
-        days = [r["dt"] for r in firsts.select("dt").distinct().collect()]  # days of one batch
-        if not days:  # nothing valid in this batch
-            firsts.unpersist()
-            return
-        seen = table.read(before=batch_id).where(F.col("dt").isin(days))
-        new = firsts.join(seen.select(*dau.DAU_KEY), dau.DAU_KEY, "left_anti")
-        table.write(new.select(*dau.DAU_COLUMNS), batch_id)
+        parsed = parse_start_log(batch_df).persist()
+        good, bad = split_valid(parsed)
+        firsts = dau.first_launches(dau.with_day_parts(good)).persist()
+        days = [r["dt"] for r in firsts.select("dt").distinct().limit(PRUNED_DAYS + 1).collect()]
+        if days:  # a batch without valid rows writes none
+            seen = table.read(before=batch_id).select(*dau.DAU_KEY)
+            seen = seen.where(F.col("dt").isin(days)) if len(days) <= PRUNED_DAYS else \
+                seen.join(firsts.select("dt").distinct(), "dt", "left_semi")
+            new = firsts.join(seen, dau.DAU_KEY, "left_anti").select(*dau.DAU_COLUMNS).persist()
+            table.write(new, batch_id)
+            if saved is not None:
+                saved("dau", batch_id, new.count())
+            new.unpersist()
+        write_rejects(rejects, bad, batch_id)
         firsts.unpersist()
-        if compact_every and batch_id > 0 and batch_id % compact_every == 0:
-            table.compact(upto=batch_id)
+        parsed.unpersist()
+        table.compact_if_due(batch_id, compact_every)
     return run
 
 
 def start_dau_exact(spark: SparkSession, msgs: DataFrame, root: str, checkpoint: str,
-                    trigger: dict | None = None, compact_every: int = 720):
+                    trigger: dict | None = None, compact_every: int = 720, rejects: str | None = None,
+                    saved: Saved | None = None):
     table = IncrementTable(spark, root, DAU_SCHEMA, partition_by=["dt"])
-    w = (msgs.writeStream.foreachBatch(dau_exact_batch(spark, table, compact_every))
+    bad = rejects_table(spark, rejects) if rejects else None
+    w = (msgs.writeStream.foreachBatch(dau_exact_batch(spark, table, compact_every, bad, saved))
          .option("checkpointLocation", checkpoint))
     return _start(w, trigger)
 
@@ -101,24 +125,25 @@ WIDE_SCHEMA = S.ORDER_INFO
 def order_batch(spark: SparkSession, state: IncrementTable, output: IncrementTable,
                 read_provinces: Callable[[], DataFrame], read_users: Callable[[], DataFrame],
                 rejects: IncrementTable | None = None, ledger: VersionedTable | None = None,
-                group_id: str = "base_order_info_group", as_of: str = "2024-01-30",
+                group_id: str = "wide_orders", as_of=None,
                 gender_rule: str = "standard", sink: Callable[[DataFrame, int], None] | None = None,
-                compact_every: int | None = None) -> Callable[[DataFrame, int], None]:
+                compact_every: int | None = None, saved: Saved | None = None) -> Callable[[DataFrame, int], None]:
     """T2 + T3 + T5: flag first orders against the user state, enrich with
     freshly read dimensions, write the wide orders, then the state.
 
     Order of effects (replay-safe): wide rows (overwritten per batch id) ->
     state increment (keyed by user, records first_order_id, Q5) -> offsets.
     Every ``compact_every`` batches the state history is folded into a
-    snapshot, so a batch's state read stays bounded as history grows.
+    snapshot, so a batch's state read stays bounded as history grows.  Ages are
+    as of ``as_of``, or of the day the batch runs.
     """
     def run(batch_df: DataFrame, batch_id: int) -> None:
-        batch_df = batch_df.persist()  # read the source once for all outputs
-        if batch_df.isEmpty():  # an empty batch writes nothing
-            batch_df.unpersist()
+        parsed = parse_orders(batch_df).persist()  # read and parse the source once for all outputs
+        if parsed.isEmpty():  # an empty batch writes nothing
+            parsed.unpersist()
+            state.compact_if_due(batch_id, compact_every, ["user_id"])
             return
-        good, bad = orders.order_rows(batch_df)
-        good = good.persist()
+        good, bad = split_valid(parsed)
         # Only the state rows of this batch's users, filtered on the
         # increments scan before the newest-per-user ranking.
         batch_users = good.select(F.col("user_id").cast("string").alias("user_id"))
@@ -126,26 +151,20 @@ def order_batch(spark: SparkSession, state: IncrementTable, output: IncrementTab
         wide = orders.order_wide(good, read_provinces(), read_users(), state=st,
                                  as_of=as_of, gender_rule=gender_rule).persist()
         output.write(wide, batch_id)
+        if saved is not None:
+            saved("order_wide", batch_id, wide.count())
         if sink is not None:  # e.g. Kafka: wide_order_messages(...).write.format("kafka")
             sink(wide, batch_id)
         state.write(orders.state_updates(wide), batch_id)
-        if compact_every and batch_id > 0 and batch_id % compact_every == 0:
-            state.compact(upto=batch_id, keys=["user_id"])
-        if rejects is not None:
-            rejects.write(bad.select("topic", "partition", "offset"), batch_id)
+        state.compact_if_due(batch_id, compact_every, ["user_id"])
+        write_rejects(rejects, bad, batch_id)
         if ledger is not None:
-            commit_offsets(ledger, batch_df, batch_id, group_id)
+            commit_offsets(ledger, parsed.select("topic", "partition", "offset"), batch_id, group_id)
         wide.unpersist()
-        good.unpersist()
-        batch_df.unpersist()
+        parsed.unpersist()
     return run
 
 
-REJECT_SCHEMA = T.StructType([T.StructField("topic", T.StringType()),
-                              T.StructField("partition", T.IntegerType()),
-                              T.StructField("offset", T.LongType())])
-
-
 def start_orders(spark: SparkSession, msgs: DataFrame, root: str, checkpoint: str,
                  provinces_path: str, users_path: str, trigger: dict | None = None,
                  compact_every: int = 720, **kw):
@@ -153,10 +172,10 @@ def start_orders(spark: SparkSession, msgs: DataFrame, root: str, checkpoint: st
     hour at the 5-second trigger)."""
     state = IncrementTable(spark, f"{root}/user_state", USER_STATE_SCHEMA)
     output = IncrementTable(spark, f"{root}/order_wide", WIDE_SCHEMA)
-    rejects = IncrementTable(spark, f"{root}/rejects", REJECT_SCHEMA)
+    rejects = rejects_table(spark, f"{root}/rejects")
     body = order_batch(spark, state, output,
-                       lambda: spark.read.parquet(provinces_path),
-                       lambda: spark.read.parquet(users_path), rejects=rejects,
+                       lambda: current(spark, provinces_path, S.BASE_PROVINCE),
+                       lambda: current(spark, users_path, S.USER_INFO), rejects=rejects,
                        compact_every=compact_every, **kw)
     w = msgs.writeStream.foreachBatch(body).option("checkpointLocation", checkpoint)
     return _start(w, trigger)
@@ -167,18 +186,29 @@ def start_cdc_route(msgs: DataFrame, root: str, checkpoint: str, dialect: str =
                     trigger: dict | None = None, kafka_bootstrap: str | None = None):
     """Route change rows to per-table outputs: ``topic=ODS_T_<TABLE>`` folders
     under ``root``, or the topics themselves when ``kafka_bootstrap`` is given
-    (each row goes to the topic in its own ``topic`` column).  Stateless."""
-    routed, _ = cdc.route_object(msgs) if dialect == "object" else cdc.route_array(msgs)
+    (each row goes to the topic in its own ``topic`` column).  Stateless; what
+    can't be routed goes through ``start_cdc_rejects``."""
+    routed, _ = _routed(msgs, dialect)
     out = cdc.to_topic_messages(routed)
     if kafka_bootstrap:
-        w = (out.writeStream.format("kafka").option("kafka.bootstrap.servers", kafka_bootstrap)
-             .option("checkpointLocation", checkpoint))
+        return kafka_sink(out, kafka_bootstrap, checkpoint, trigger or DEFAULT_TRIGGER)
     else:
         w = (out.writeStream.format("parquet").outputMode("append")
              .option("path", root).option("checkpointLocation", checkpoint).partitionBy("topic"))
     return _start(w, trigger)
 
 
+def _routed(msgs: DataFrame, dialect: str) -> tuple[DataFrame, DataFrame]:
+    return cdc.route_object(msgs) if dialect == "object" else cdc.route_array(msgs)
+
+
+def start_cdc_rejects(msgs: DataFrame, root: str, checkpoint: str, dialect: str = "object", trigger: dict | None = None):
+    """Append the change messages that can't be routed, with the reason, to ``root``."""
+    w = (_routed(msgs, dialect)[1].writeStream.format("parquet").outputMode("append")
+         .option("path", root).option("checkpointLocation", checkpoint))
+    return _start(w, trigger)
+
+
 def publish_wide_orders(write_messages: Callable[[DataFrame], None], topic: str = "DW_ORDER_INFO"
                         ) -> Callable[[DataFrame, int], None]:
     """K9 as an ``order_batch`` sink: key = order id, value = JSON of the
@@ -189,18 +219,22 @@ def publish_wide_orders(write_messages: Callable[[DataFrame], None], topic: str
 
 
 # -------------------------------------------------------------- dimension
-def dim_batch(table: VersionedTable) -> Callable[[DataFrame, int], None]:
+def dim_batch(table: VersionedTable, rejects: IncrementTable | None = None) -> Callable[[DataFrame, int], None]:
     """K7: upsert province rows by id; within a batch the last message wins."""
     def run(batch_df: DataFrame, batch_id: int) -> None:
-        if batch_df.isEmpty():  # F6
-            return
-        good, _ = split_valid(parse_province(batch_df), F.col("_valid"))
-        table.commit(keyed_upsert(table.read(before=batch_id), good, ["id"], order=["offset"]), batch_id)
+        parsed = parse_province(batch_df).persist()  # the source is read once
+        if not parsed.isEmpty():  # F6
+            good, bad = split_valid(parsed)
+            table.commit(keyed_upsert(table.read(before=batch_id), good, ["id"], order=["offset"]), batch_id)
+            write_rejects(rejects, bad, batch_id)
+        release(batch_df.sparkSession)
+        parsed.unpersist()
     return run
 
 
 def start_dim(spark: SparkSession, msgs: DataFrame, root: str, checkpoint: str,
-              trigger: dict | None = None):
+              trigger: dict | None = None, rejects: str | None = None):
     table = VersionedTable(spark, root, S.BASE_PROVINCE)
-    w = msgs.writeStream.foreachBatch(dim_batch(table)).option("checkpointLocation", checkpoint)
+    bad = rejects_table(spark, rejects) if rejects else None
+    w = msgs.writeStream.foreachBatch(dim_batch(table, bad)).option("checkpointLocation", checkpoint)
     return _start(w, trigger)

@@ -6,7 +6,9 @@ small commit log (itself a parquet table).  Readers take the newest committed
 version, and a batch always builds on the newest version *before* its own id,
 so a replayed batch (after a failure between the write and the checkpoint
 commit) rewrites its own version from the same input: the result is
-idempotent.  Nothing is overwritten while it may be read.
+idempotent.  A folder that was written completely is never written again, so
+nothing is overwritten while it may be read.  A folder that does not exist is an
+empty table; any other failure to read fails the batch.
 """
 
 from __future__ import annotations
@@ -20,6 +22,22 @@ from pyspark.sql import types as T
 _LOG_SCHEMA = T.StructType([T.StructField("batch_id", T.LongType(), False)])
 
 
+def _hadoop(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether the folder exists; a store that can't be asked raises."""
+    fs, p = _hadoop(spark, path)
+    return fs.exists(p)
+
+
+def complete(spark: SparkSession, path: str) -> bool:
+    """Whether a write to the folder ended."""
+    return exists(spark, os.path.join(path, "_SUCCESS"))
+
+
 class VersionedTable:
     def __init__(self, spark: SparkSession, root: str, schema: T.StructType,
                  partition_by: list[str] | None = None):
@@ -36,10 +54,9 @@ class VersionedTable:
     # -- reads
     def committed_before(self, batch_id: int | None = None) -> int | None:
         """Newest committed version id (below ``batch_id`` when given)."""
-        try:
-            log = self.spark.read.schema(_LOG_SCHEMA).parquet(self._log())
-        except Exception:  # no commit yet: the log folder does not exist
+        if not exists(self.spark, self._log()):  # no commit yet
             return None
+        log = self.spark.read.schema(_LOG_SCHEMA).parquet(self._log())
         if batch_id is not None:
             log = log.where(F.col("batch_id") < batch_id)
         row = log.agg(F.max("batch_id").alias("m")).first()
@@ -54,7 +71,11 @@ class VersionedTable:
 
     # -- writes
     def commit(self, df: DataFrame, batch_id: int) -> None:
-        """Write ``df`` as version ``batch_id`` and record the commit."""
+        """Write ``df`` as version ``batch_id`` and record the commit; a replay of a
+        committed batch changes nothing."""
+        if exists(self.spark, self._log()) and self.spark.read.schema(_LOG_SCHEMA).parquet(self._log()) \
+                .where(F.col("batch_id") == batch_id).limit(1).count():
+            return
         w = df.select(*self.schema.fieldNames()).write.mode("overwrite")
         if self.partition_by:
             w = w.partitionBy(*self.partition_by)
@@ -66,8 +87,8 @@ class VersionedTable:
 class IncrementTable:
     """An append-only table of per-batch increments: ``root/batch_id=<n>/``.
 
-    A batch's increment is overwritten when the batch is replayed, so writes
-    are idempotent.  Structured Streaming starts batch ``n`` only after batch
+    A batch's increment is written once: a replay finds it complete and leaves it,
+    or else writes it anew, so writes are idempotent.  Structured Streaming starts batch ``n`` only after batch
     ``n - 1``'s ``foreachBatch`` returned, so every increment below ``n`` is
     complete when batch ``n`` reads.  Writes cost O(batch), never O(table).
     """
@@ -78,9 +99,8 @@ class IncrementTable:
         self.partition_by = partition_by or []
         self._read_schema = T.StructType(
             list(schema.fields) + [T.StructField("batch_id", T.LongType(), True)])
-        # This object is the table's only writer, so once seen the folder
-        # exists, and the snapshot list changes only through compact().
-        self._exists = False
+        # This object is the table's only writer: the snapshot list changes only
+        # through compact().
         self._snapshots: list[int] | None = None
 
     # -- compaction: snapshots live under "_snapshots" (a "_" folder is not
@@ -90,25 +110,17 @@ class IncrementTable:
 
     def _snapshot_before(self, before: int | None) -> int | None:
         if self._snapshots is None:
-            try:
-                log = self.spark.read.schema(_LOG_SCHEMA).parquet(os.path.join(self.root, "_snapshots_log"))
-                # The log has one row per compaction: a small, bounded list.
-                self._snapshots = sorted({r["batch_id"] for r in log.distinct().collect()})
-            except Exception:
-                self._snapshots = []
+            path = os.path.join(self.root, "_snapshots_log")
+            # The log has one row per compaction: a small, bounded list.
+            self._snapshots = sorted({r["batch_id"] for r in self.spark.read.schema(_LOG_SCHEMA).parquet(path)
+                                      .distinct().collect()}) if exists(self.spark, path) else []
         ok = [u for u in self._snapshots if before is None or u < before]
         return ok[-1] if ok else None
 
     def _increments(self) -> DataFrame | None:
-        try:
-            df = (self.spark.read.schema(self._read_schema)
-                  .option("basePath", self.root).parquet(self.root))
-            if not self._exists:
-                df.limit(0).collect()  # fail now if the folder does not exist yet
-                self._exists = True
-            return df
-        except Exception:
+        if not exists(self.spark, self.root):
             return None
+        return self.spark.read.schema(self._read_schema).option("basePath", self.root).parquet(self.root)
 
     def _increments_between(self, lo: int, hi: int) -> DataFrame | None:
         """Increments with lo < batch_id < hi, listing only those folders (a
@@ -116,11 +128,12 @@ class IncrementTable:
         ids = ",".join(str(i) for i in range(lo + 1, hi))
         if not ids:
             return None
-        try:
-            return (self.spark.read.schema(self._read_schema).option("basePath", self.root)
-                    .parquet(os.path.join(self.root, f"batch_id={{{ids}}}")))
-        except Exception:  # none of those batches wrote an increment
+        fs, glob = _hadoop(self.spark, os.path.join(self.root, f"batch_id={{{ids}}}"))
+        there = fs.globStatus(glob)
+        if there is None or not len(there):  # none of those batches wrote an increment
             return None
+        return self.spark.read.schema(self._read_schema).option("basePath", self.root) \
+            .parquet(*[s.getPath().toString() for s in there])
 
     def read(self, before: int | None = None) -> DataFrame:
         """All rows written below batch ``before``, with their ``batch_id``:
@@ -146,6 +159,12 @@ class IncrementTable:
             out = out.unionByName(p)
         return out
 
+    def compact_if_due(self, batch_id: int, every: int | None, keys=None) -> None:
+        """Compact when ``every`` batches or more have passed since the last snapshot,
+        whether or not this batch had rows."""
+        if every and batch_id > 0 and batch_id - (self._snapshot_before(None) or 0) >= every:
+            self.compact(batch_id, keys)
+
     def compact(self, upto: int, keys=None) -> None:
         """Fold everything written up to batch ``upto`` into one snapshot
         (newest row per key when ``keys`` are given, else all rows), so later
@@ -174,8 +193,18 @@ class IncrementTable:
         return last_per_key(df, keys, ["batch_id"]).drop("batch_id")
 
     def write(self, df: DataFrame, batch_id: int) -> None:
+        path = os.path.join(self.root, f"batch_id={int(batch_id)}")
+        if complete(self.spark, path):  # a replay: the same rows are there
+            return
         w = df.select(*self.schema.fieldNames()).write.mode("overwrite")
         if self.partition_by:
             w = w.partitionBy(*self.partition_by)
-        w.parquet(os.path.join(self.root, f"batch_id={int(batch_id)}"))
-        self._exists = True
+        w.parquet(path)
+
+
+def current(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """A dimension as it stands: the newest version of a versioned table, or the rows
+    of a plain one."""
+    if exists(spark, os.path.join(path, "_commits")):
+        return VersionedTable(spark, path, schema).read()
+    return spark.read.schema(schema).parquet(path)
