@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tideline.llm.common import text_or_empty
+from tideline.llm.ship import ship
 
 #: Words that a task gathers into one output batch.
 OUT_WORDS = 200_000
@@ -185,6 +186,7 @@ def _shared(df: DataFrame, path: str):
 def encode(docs: DataFrame, path: str, pattern: str, keep: list[str], with_bytes: bool = False) -> DataFrame:
     """``keep`` columns of each row and the ids of its text; ``with_bytes`` adds the
     bytes that decoding the ids gives."""
+    ship(docs.sparkSession)
     words = F.regexp_extract_all(text_or_empty(), F.lit(unicode_pattern(pattern)), F.lit(0))
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema]
                        + ["ids array<int>"] + ["decoded binary"] * with_bytes)
@@ -193,6 +195,7 @@ def encode(docs: DataFrame, path: str, pattern: str, keep: list[str], with_bytes
 
 def decode(tokens: DataFrame, path: str, keep: list[str]) -> DataFrame:
     """``keep`` columns of each row and the bytes of its ``ids``."""
+    ship(tokens.sparkSession)
     shared = _shared(tokens, path)
 
     def rows(batches):

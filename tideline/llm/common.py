@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from tideline.llm.ship import ship
 from tideline.session import prepare, scratch_path
 
 #: Words of a contract that splits at ASCII white space.
@@ -29,6 +30,7 @@ PASS_BYTES = 2 << 20
 # ------------------------------------------------------------------ tables
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     prepare(spark)
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -49,6 +51,7 @@ def with_rid(docs: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """``docs`` with a row id that is the same in every evaluation.  A table scan
     deals its files into the same partitions each time, so the position in the
     scan serves; anything that moves rows is saved first."""
+    ship(docs.sparkSession)
     df = docs.select(*columns) if columns else docs
     if _MOVING.search(docs._jdf.queryExecution().optimizedPlan().toString()):
         df = saved(df)

@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tideline.llm.common import saved
+from tideline.llm.ship import ship
 
 # Vocabulary of markup: fixed values of HTML and of common class names.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -209,6 +210,7 @@ def host_paths(pages: DataFrame) -> DataFrame:
 
 def extract(pages: DataFrame) -> DataFrame:
     """One row per page: page_id, url, text, n_chars, path."""
+    ship(pages.sparkSession)
     host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1))
     rows = pages.select("page_id", "url", "html", host.alias("host"))
     winners = saved(host_paths(rows).select("host", "path"))

@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tideline.llm import common as C
+from tideline.llm.ship import ship
 
 BUCKETS = 1 << 15
 SMOOTHING = 0.1
@@ -169,6 +170,7 @@ def _predict(names: list[str], shared):
 def identify(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, held_out, lang_pred, score, languages (the chosen
     set with shares).  Held-out documents are not learned from."""
+    ship(docs.sparkSession)
     held = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % FOLDS == HELD_FOLD, F.lit(False))
     rows = docs.select("doc_id", "text", "lang", held.alias("held_out"))
     names, prob = learn(rows.filter("NOT held_out"))
