@@ -4,29 +4,34 @@ A document is its set of distinct 5-word shingles.  Two documents link when the
 Jaccard similarity is at least 80 %, which bounds their symmetric difference by
 d = (a + b) / 9 for sizes a and b.
 
-* Sketch.  Each shingle hash is XORed into one lane of a sketch.  Shingles that
-  both sets hold cancel, so at most d lanes differ: the number of differing lanes
-  never exceeds the symmetric difference.
+* Sketch.  Each shingle hash is XORed into one lane of a sketch, and flips one bit
+  of a bit sketch.  Shingles that both sets hold cancel, so at most d lanes differ
+  and the Hamming distance of the bits is at most the symmetric difference.
 * Size bands.  Band j holds the pairs whose smaller size lies in [A_j, A_j+1); it
   has its own d and a few more than d lanes.  A document takes part in one or two
   bands.
 * Pigeonhole.  More than d lanes of a document are filled, so a linked pair agrees
-  on a filled lane, and lanes are joined by equality.  A document whose filled
-  lanes do not exceed d (a few very small ones) also enters its shingles one by
-  one; two such documents meet there.
-* Verify.  Candidates are compared on their whole shingle sets.  In a group that
-  shares a lane, everyone is compared with the most central member first; pairs
-  that are in one component by then need no comparison, all others are compared.
+  on ``need`` filled lanes at least, and lanes are joined by equality.  A document
+  whose filled lanes do not exceed d (a few very small ones) also enters its
+  shingles one by one; two such documents meet there.
+* Verify.  A group that shares a lane has a hub, its most central member, and each
+  member is compared with the hub on whole shingle sets.  What is left are pairs of
+  a group that are not both linked to its hub.  Near the hub they are found by their
+  differences from it: x and y differ in delta(x) XOR delta(y), so a link needs
+  overlapping deltas, and an ordered prefix of each delta finds every such overlap
+  (rare shingles first).  Members far from the hub are few and are compared by the
+  Hamming bound.  Every candidate is then verified on whole sets.
 
 Defined results: null and empty texts and texts without words have an empty set and
 link with nothing; equal sets (also of repeated rows) link; a null doc_id never
 names a component unless all its ids are null; an empty table gives an empty
 result; other columns are never read.
 
-Scale: one shuffle of 16-byte (lane signature, set id) rows, about 0.45 per word.
+Scale: one shuffle of 16-byte (lane signature, set id) rows, about 0.5 per word.
 Equal sets are one id, and a task enters an id once, so a hot group of copies
 does not reach the shuffle.  A lane that a family of near copies shares is read
-as a stream by one task, a family has as many lanes as d, and they spread.
+as a stream by one task, a family has as many lanes as d, and they spread.  Work in
+a family grows with the size of its deltas, not with its pairs.
 """
 
 from __future__ import annotations
@@ -35,7 +40,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -46,6 +51,10 @@ SHINGLE = 5
 #: A link needs 100 * intersection >= PERCENT * union.
 PERCENT = 80
 BAND_GROWTH = 1.5
+#: Lanes beyond d + 1, as a share of d.
+SPARE = 5
+#: Longs of the bit sketch.
+LONGS = 16
 _LANE = np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -57,7 +66,7 @@ def bands(upto: int, percent: int = PERCENT) -> list[tuple[int, int, int, int]]:
         a = after - 1
         b = a * 100 // percent
         d = (a + b) * (100 - percent) // (100 + percent)
-        out.append((low, b, d, d + 1 + max(1, -(-d // 10))))
+        out.append((low, b, d, d + 1 + max(1, -(-d // SPARE))))
         low = after
     return out
 
@@ -113,20 +122,27 @@ def _bands_for(n: int, cache: dict) -> list:
     return cache[size]
 
 
-SET_ROWS = f"{RID} long, doc_id long, n long, h1 long, h2 long, need int"
+BITS = [f"b{i}" for i in range(LONGS)]
+SET_ROWS = f"{RID} long, doc_id long, n long, h1 long, h2 long, need int, " + ", ".join(f"{b} long" for b in BITS)
 LANE_ROWS = "sig long, h1 long"
 SHINGLE_ROWS = f"{RID} long, shingles array<long>"
 
 
+def bit_sketch(shingles: np.ndarray) -> np.ndarray:
+    """Parity of the shingles that fall on each of the sketch's bits."""
+    at = (C.mix64(shingles ^ C.STEP[10]) % np.uint64(64 * LONGS)).astype(np.int64)
+    return np.packbits((np.bincount(at, minlength=64 * LONGS) & 1).astype(np.uint8)).view(np.int64)
+
+
 def _sets(batches):
     cache: dict = {}
     for batch in batches:
-        rows = [(len(s), *set_hashes(s), lane_signatures(s, _bands_for(len(s), cache))[1] if len(s) else 0)
+        rows = [(len(s), *set_hashes(s), lane_signatures(s, _bands_for(len(s), cache))[1] if len(s) else 0, *bit_sketch(s).tolist())
                 for s in distinct_shingles(batch.column("text"))]
-        n, h1, h2, need = (list(x) for x in zip(*rows)) if rows else ([], [], [], [])
+        columns = [list(x) for x in zip(*rows)] if rows else [[]] * (4 + LONGS)
         yield pa.RecordBatch.from_arrays(
-            [batch.column(RID), batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(h1, pa.int64()),
-             pa.array(h2, pa.int64()), pa.array(need, pa.int32())], names=[RID, "doc_id", "n", "h1", "h2", "need"])
+            [batch.column(RID), batch.column("doc_id"), *[pa.array(c, pa.int32() if i == 3 else pa.int64()) for i, c in enumerate(columns)]],
+            names=[RID, "doc_id", "n", "h1", "h2", "need", *BITS])
 
 
 def _lanes(batches):
@@ -164,64 +180,141 @@ def _shingle_lists(batches):
             names=[RID, "shingles"])
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The class pairs among candidate pairs (set ids a, b) that link."""
-    left = sets.select(F.col("h1").alias("a"), F.col("cid").alias("ca"), F.col("shingles").alias("sa"))
-    right = sets.select(F.col("h1").alias("b"), F.col("cid").alias("cb"), F.col("shingles").alias("sb"))
-    both = F.size(F.array_intersect("sa", "sb"))
-    return pairs.join(left, "a").join(right, "b").select(
-        "a", "b", "ca", "cb", both.alias("both"), (F.size("sa") + F.size("sb") - both).alias("either")) \
-        .filter(F.col("both") * 100 >= F.col("either") * percent).select("a", "b", "ca", "cb")
+def _hamming(a: str, b: str) -> str:
+    return " + ".join(f"bit_count({a}.{x} ^ {b}.{x})" for x in BITS)
 
 
-def jaccard_components(docs: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
-    """(documents, links): every row with its set size, class and component (both row
-    ids); and the verified links between classes (row ids of representatives)."""
-    texts = with_rid(docs, ["doc_id", "text"])
-    sets = saved(texts.mapInArrow(_sets, SET_ROWS))
-    classes = saved(sets.filter("n > 0").groupBy("h1", "h2", "n").agg(F.min(RID).alias("cid"), F.min("need").alias("need")))
+def _deltas(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs (x, y) of class ids with what their shingle sets differ in."""
+    left = sets.select(F.col("cid").alias("x"), F.col("shingles").alias("sx"))
+    right = sets.select(F.col("cid").alias("y"), F.col("shingles").alias("sy"))
+    return pairs.join(left, "x").join(right, "y") \
+        .withColumn("delta", F.concat(F.array_except("sx", "sy"), F.array_except("sy", "sx"))).drop("sx", "sy")
+
+
+def _linked(percent: int, size_x: str = "nx", size_y: str = "ny", gap: str = "gap") -> Column:
+    """100 * intersection >= percent * union, from the sizes and the symmetric difference."""
+    return F.expr(f"100 * ({size_x} + {size_y} - {gap}) >= {percent} * ({size_x} + {size_y} + {gap})")
 
-    # members of lanes that different sets share
+
+def _shared_lanes(texts: DataFrame, classes: DataFrame) -> DataFrame:
+    """(sig, h1, g) of lanes that g different sets share, without sets that share too
+    few lanes to have a partner."""
     in_lane = Window.partitionBy("sig").orderBy("h1")
     head = F.first("h1").over(in_lane.rowsBetween(Window.unboundedPreceding, 0))
     shared = saved(
         texts.select("text").mapInArrow(_lanes, LANE_ROWS)
         .select("sig", "h1", head.alias("head"), F.lag("h1").over(in_lane).alias("prev"), F.lead("h1").over(in_lane).alias("next"))
         .filter("(h1 <> head AND h1 <> prev) OR (h1 = head AND next <> h1)").select("sig", "h1"))
-    # a partner shares at least ``need`` lanes, so whoever shares fewer has none
     need = classes.groupBy("h1").agg(F.min("need").alias("need"))
     enough = shared.groupBy("h1").agg(F.count("*").alias("n")).join(need, "h1").filter("n >= need").select("h1")
-    members = shared.join(enough, "h1", "left_semi")
-    sizes = members.groupBy("sig").agg(F.count("*").alias("g")).filter("g > 1")
-    members = saved(members.join(sizes, "sig"))
+    members = saved(shared.join(enough, "h1", "left_semi"))
+    sizes = saved(members.groupBy("sig").agg(F.count("*").alias("g")).filter("g > 1"))
+    return saved(members.join(sizes, "sig"))
+
+
+def _stars(members: DataFrame, classes: DataFrame) -> DataFrame:
+    """(x, y, nx, ny, hx, agree): class x meets hub y in ``agree`` lanes; hx is the
+    Hamming bound on their difference.  A linked pair agrees on ``need`` lanes, so a
+    member may leave hubs that hold less than half of that together."""
     central = members.groupBy("h1").agg(F.sum("g").alias("c"))
-    hubs = members.join(central, "h1").groupBy("sig").agg(F.max(F.struct("c", "h1")).getField("h1").alias("hub"))
-    first = saved(members.join(hubs, "sig").filter("h1 <> hub")
-                  .select(F.least("h1", "hub").alias("a"), F.greatest("h1", "hub").alias("b")).distinct())
-
-    # whole shingle sets of one document of each class that has a candidate
-    playing = members.select("h1").distinct().join(classes, "h1").select(F.col("cid").alias(RID), "h1")
-    whole = saved(texts.join(playing.select(RID), RID, "left_semi").select(RID, "text")
-                  .mapInArrow(_shingle_lists, SHINGLE_ROWS).join(playing, RID)
-                  .select(F.col(RID).alias("cid"), "h1", "shingles"))
-    links = saved(_verified(first, whole, percent))
-    labels = components(links, "a", "b")
-
-    named = members.select("sig", "h1").join(labels.withColumnRenamed("node", "h1"), "h1", "left") \
-        .select("sig", "h1", F.coalesce("component", "h1").alias("label"))
-    mixed = named.groupBy("sig").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x <> y").select("sig")
-    open_ = saved(named.join(mixed, "sig", "left_semi"))
-    one, two = open_.select("sig", F.col("h1").alias("a"), F.col("label").alias("la")), \
-        open_.select("sig", F.col("h1").alias("b"), F.col("label").alias("lb"))
-    rest = one.join(two, "sig").filter("a < b AND la <> lb").groupBy("a", "b").agg(F.count("*").alias("n")) \
-        .join(need.select(F.col("h1").alias("a"), F.col("need").alias("na")), "a") \
-        .join(need.select(F.col("h1").alias("b"), F.col("need").alias("nb")), "b") \
-        .filter("n >= na AND n >= nb").select("a", "b").join(first, ["a", "b"], "left_anti")
-    links = saved(links.union(_verified(rest, whole, percent)).select("ca", "cb"))
-
-    named = components(links, "ca", "cb")
-    rows = sets.join(classes.select("h1", "h2", "n", "cid"), ["h1", "h2", "n"], "left") \
-        .join(named.select(F.col("node").alias("cid"), "component"), "cid", "left") \
+    hubs = saved(members.join(central, "h1").groupBy("sig").agg(F.max(F.struct("c", "h1")).getField("h1").alias("hub")))
+    meet = saved(members.join(hubs, "sig").filter("h1 <> hub").groupBy("h1", "hub").agg(F.count("*").alias("agree")))
+    x = classes.select("h1", F.col("cid").alias("x"), F.col("n").alias("nx"), "need", F.struct(*BITS).alias("bx"))
+    y = classes.select(F.col("h1").alias("hub"), F.col("cid").alias("y"), F.col("n").alias("ny"), F.struct(*BITS).alias("by"))
+    least = Window.partitionBy("x").orderBy("agree", "hub").rowsBetween(Window.unboundedPreceding, 0)
+    return saved(meet.join(x, "h1").withColumn("given_up", F.sum("agree").over(least)).filter("given_up > (need - 1) div 2")
+                 .join(y, "hub").select("x", "y", "nx", "ny", "agree", F.expr(_hamming("bx", "by")).cast("long").alias("hx")))
+
+
+def _near_pairs(near: DataFrame) -> DataFrame:
+    """Pairs of members near one hub, not both linked to it, that may link: near holds
+    (x, y, nx, gap, linked, delta) for hub y."""
+    hub = near.groupBy("y").agg(F.min(F.when(~F.col("linked"), F.col("gap"))).alias("out"), F.min("gap").alias("least"),
+                                F.max("nx").alias("most")).filter("out IS NOT NULL")
+    alive = saved(near.join(saved(hub.select("y")), "y", "left_semi").select("x", "y", "nx", "gap", "linked", F.explode("delta").alias("t")))
+    for _ in range(3):  # a link needs shared delta shingles: drop what is held once, and members left with too few
+        often = saved(alive.groupBy("y", "t").agg(F.count("*").alias("df")).filter("df > 1"))
+        u = alive.select("x", "y", "nx", "gap", "linked", "t").join(often, ["y", "t"]) \
+            .groupBy("x", "y", "nx", "gap", "linked").agg(F.count("*").alias("u"))
+        hub = u.groupBy("y").agg(F.min(F.when(~F.col("linked"), F.col("gap"))).alias("out"), F.min("gap").alias("least"),
+                                 F.max("nx").alias("most")).filter("out IS NOT NULL")
+        bound = F.expr("least(nx div 4, (nx + most) div 9)")
+        low = F.expr("if(linked, gap + out - d, gap + greatest(least, gap - d) - d)")
+        able = saved(u.join(hub, "y").withColumn("d", bound).withColumn("low", F.greatest(low, F.lit(1))).filter("2 * u >= low")
+                     .select("x", "y", "u", F.expr("(low + 1) div 2").alias("o")))
+        alive = saved(alive.join(able.select("x", "y"), ["x", "y"], "left_semi"))
+    often = saved(alive.groupBy("y", "t").agg(F.count("*").alias("df")).filter("df > 1"))
+    rare = Window.partitionBy("x", "y").orderBy("df", "t")
+    prefix = saved(alive.join(often, ["y", "t"]).withColumn("at", F.row_number().over(rare)).join(able, ["x", "y"])
+                   .filter("at <= u - o + 1").select("x", "y", "t", "nx", "gap", "linked", "u"))
+    two = prefix.select("y", "t", *[F.col(c).alias(c + "2") for c in ("x", "nx", "gap", "linked", "u")])
+    return prefix.join(two, ["y", "t"]).filter(
+        "x < x2 AND NOT (linked AND linked2) AND 2 * least(u, u2) >= gap + gap2 - (nx + nx2) div 9").select("x", "x2").distinct()
+
+
+def _far_pairs(far: DataFrame, edge: DataFrame, classes: DataFrame) -> DataFrame:
+    """Pairs with a member far from their hub that the Hamming bound lets link."""
+    bits = classes.select(F.col("cid").alias("x"), F.col("n").alias("nx"), F.struct(*BITS).alias("bx"))
+    one = saved(far.select("x", "y").join(bits, "x"))
+    two = saved(one.union(edge.select("x", "y").join(bits, "x").select(*one.columns))) \
+        .select("y", *[F.col(c).alias(c + "2") for c in ("x", "nx", "bx")])
+    return one.join(two, "y").filter(f"x <> x2 AND least(nx, nx2) * 100 >= greatest(nx, nx2) * {PERCENT} AND "
+                                     f"{_hamming('bx', 'bx2')} <= (nx + nx2) div 9") \
+        .select(F.least("x", "x2").alias("x"), F.greatest("x", "x2").alias("x2")).distinct()
+
+
+def jaccard_components(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(documents, links): every row with its set size, class and component (both row
+    ids); and verified links between classes (row ids of representatives) that
+    connect every component."""
+    texts = with_rid(docs, ["doc_id", "text"])
+    sets = saved(texts.mapInArrow(_sets, SET_ROWS))
+    classes = saved(sets.filter("n > 0").groupBy("h1", "h2", "n").agg(
+        F.min(RID).alias("cid"), F.min("need").alias("need"), *[F.min(b).alias(b) for b in BITS]))
+    stars = _stars(_shared_lanes(texts, classes), classes)
+    # twice the largest difference that any partner allows: beyond it a member is far
+    close = "hx <= 2 * (nx div 4)"
+    playing = stars.filter(close).select(F.explode(F.array("x", "y")).alias(RID)).distinct()
+    whole = saved(texts.join(saved(playing), RID, "left_semi").select(RID, "text").mapInArrow(_shingle_lists, SHINGLE_ROWS)
+                  .withColumnRenamed(RID, "cid"))
+
+    def compared(pairs: DataFrame) -> DataFrame:
+        return saved(_deltas(pairs.select("x", "y", "nx", "ny"), whole).withColumn("gap", F.size("delta").cast("long"))
+                     .withColumn("linked", _linked(PERCENT)))
+
+    # each class with its best hub; then whatever meets in a lane and is not yet one component
+    best = F.row_number().over(Window.partitionBy("x").orderBy(F.desc("agree"), "hx", "y"))
+    chosen = saved(stars.filter(close).withColumn("at", best).filter("at = 1").drop("at"))
+    first = compared(chosen)
+    links = first.filter("linked").select("x", "y")
+    labels = components(links, "x", "y")
+    label = lambda c: labels.select(F.col("node").alias(c), F.col("component").alias("l" + c))
+    mixed = saved(stars.join(label("x"), "x", "left").join(label("y"), "y", "left")
+                  .filter("coalesce(lx, x) <> coalesce(ly, y)").select("y").distinct())
+    stars = saved(stars.join(mixed, "y", "left_semi"))
+    more = compared(stars.filter(close).join(chosen.select("x", "y"), ["x", "y"], "left_anti"))
+    near = saved(first.join(mixed, "y", "left_semi").union(more.select(*first.columns)))
+    links = saved(links.union(more.filter("linked").select("x", "y")))
+    labels = components(links, "x", "y")
+
+    inside = near.filter("gap <= 2 * (nx div 4)")
+    far = saved(near.filter("gap > 2 * (nx div 4)").select("x", "y").union(stars.filter(f"NOT ({close})").select("x", "y")))
+    pairs = saved(_near_pairs(inside).union(_far_pairs(far, inside.filter("gap >= nx div 5"), classes)).distinct()
+                  .withColumnRenamed("x2", "y"))
+    pairs = pairs.join(label("x"), "x", "left").join(label("y"), "y", "left").filter("coalesce(lx, x) <> coalesce(ly, y)").select("x", "y")
+    sizes = classes.select(F.col("cid").alias("x"), F.col("n").alias("nx"), F.struct(*BITS).alias("bx"))
+    pairs = pairs.join(sizes, "x").join(sizes.select(F.col("x").alias("y"), F.col("nx").alias("ny"), F.col("bx").alias("by")), "y") \
+        .filter(f"{_hamming('bx', 'by')} <= (nx + ny) div 9")
+    lists = pairs.select(F.explode(F.array("x", "y")).alias(RID)).distinct().join(whole.select(F.col("cid").alias(RID)), RID, "left_anti")
+    extra = saved(texts.join(saved(lists), RID, "left_semi").select(RID, "text").mapInArrow(_shingle_lists, SHINGLE_ROWS)
+                  .withColumnRenamed(RID, "cid"))
+    found = _deltas(pairs, whole.union(extra)).withColumn("gap", F.size("delta")).filter(_linked(PERCENT)).select("x", "y")
+    links = saved(links.union(found))
+
+    named = components(links, "x", "y").select(F.col("node").alias("cid"), "component")
+    rows = sets.select(RID, "doc_id", "n", "h1", "h2").join(classes.select("h1", "h2", "n", "cid"), ["h1", "h2", "n"], "left") \
+        .join(named, "cid", "left") \
         .select(RID, "doc_id", "n", F.coalesce("cid", RID).alias("cid"),
                 F.coalesce("component", "cid", RID).alias("component"))
     return saved(rows), links
