@@ -1,7 +1,7 @@
 """Toxicity by nearest labelled examples.
 
 Examples are a bounded sample of labelled training documents.  Terms are words
-and word beginnings whose presence depends on the label in that sample; their
+and word beginnings whose presence depends strongly on the label in that sample; their
 weights are TF-IDF with document frequencies of the whole corpus.  A document's
 neighbours are its ``K`` nearest examples by exact cosine, found with a block-max
 inverted index: examples lie in blocks, each term knows its largest weight in each
@@ -34,6 +34,10 @@ MAX_EXAMPLES = 20_000
 MAX_TERMS = 4_096
 K = 15
 BLOCK = 64
+#: Blocks that a search opens first; four times more at each further step.
+OPEN_BLOCKS = 16
+#: A term must be so many times likelier under one label than under the other.
+LIFT = 3.0
 TOXIC = 0.7
 FOLDS, HELD_FOLD = 3, 1
 #: Word beginnings of so many bytes are terms too.
@@ -111,33 +115,37 @@ class BlockMaxIndex:
                 self.bound[t, slot // BLOCK] = max(self.bound[t, slot // BLOCK], x)
         self.slots = [np.array([s for s, _ in x], np.int64) for x in lists]
         self.values = [np.array([v for _, v in x]) for x in lists]
-        edges = np.arange(self.blocks + 1) * BLOCK
-        self.starts = [np.searchsorted(s, edges) for s in self.slots]
 
     def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int, without: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """(examples, cosines) of the k nearest with a positive cosine, best first,
-        equal ones by example."""
+        equal ones by example.  Blocks are opened by falling bound, more at a time."""
+        none = np.zeros(0, np.int64), np.zeros(0)
         if not len(terms) or not self.blocks:
-            return np.zeros(0, np.int64), np.zeros(0)
+            return none
         upper = weights @ self.bound[terms]
-        found, cosines, floor = [], [], 0.0
-        for b in np.argsort(-upper, kind="stable"):
-            if upper[b] <= 0 or upper[b] < floor - 1e-9:
+        order = np.argsort(-upper, kind="stable")
+        found, cosines, floor, at, step = [none[0]], [none[1]], 0.0, 0, OPEN_BLOCKS
+        while at < len(order):
+            chunk = order[at:at + step]
+            chunk = chunk[(upper[chunk] > 0) & (upper[chunk] >= floor - 1e-9)]
+            if not len(chunk):
                 break
-            score = np.zeros(BLOCK)
+            place = np.full(self.blocks, -1)
+            place[chunk] = np.arange(len(chunk))
+            score = np.zeros(len(chunk) * BLOCK)
             for t, w in zip(terms, weights):
-                lo, hi = self.starts[t][b], self.starts[t][b + 1]
-                score[self.slots[t][lo:hi] - b * BLOCK] += w * self.values[t][lo:hi]
-            at = np.flatnonzero(score)
-            e = self.example[b * BLOCK + at]
-            at, e = at[e != without], e[e != without]
-            found.append(e)
-            cosines.append(score[at])
+                slots = self.slots[t]
+                here = place[slots // BLOCK]
+                hit = here >= 0
+                score[here[hit] * BLOCK + slots[hit] % BLOCK] += w * self.values[t][hit]
+            got = np.flatnonzero(score)
+            e = self.example[chunk[got // BLOCK] * BLOCK + got % BLOCK]
+            found.append(e[e != without])
+            cosines.append(score[got][e != without])
             every = np.concatenate(cosines)
             if len(every) >= k:
                 floor = np.partition(every, len(every) - k)[len(every) - k]
-        if not found:
-            return np.zeros(0, np.int64), np.zeros(0)
+            at, step = at + step, step * 4
         e, c = np.concatenate(found), np.round(np.concatenate(cosines), 12)
         best = np.lexsort((e, -c))[:k]
         return e[best], np.minimum(c[best], 1.0)
@@ -238,6 +246,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLE
     a, b = F.col("n1"), F.col("n0")
     chi = (n1 + n0) * F.pow(a * (n0 - b) - b * (n1 - a), 2) / (F.lit(n1 * n0) * (a + b) * (n1 + n0 - a - b))
     picked = held.filter(a + b < n1 + n0).withColumn("chi", chi).filter(F.col("chi") >= float(least)) \
+        .filter(F.abs(F.log(((a + 0.5) / (n1 + 1)) / ((b + 0.5) / (n0 + 1)))) >= float(np.log(LIFT))) \
         .orderBy(F.desc("chi"), "term").limit(MAX_TERMS).select("term").toPandas()["term"].to_numpy(np.int64) if n1 and n0 else np.zeros(0, np.int64)
     vocabulary = np.sort(picked.view(np.uint64))
 
