@@ -17,8 +17,9 @@ comes after all others, rows with equal doc_id follow each other; a single docum
 is its own next; an empty table gives an empty result.
 
 Scale: the texts move once (both joins by row id share the exchange) and heads of
-texts once more; digests are regrouped by row id once, and from there cells are
-summed in place.  Only DataFrame functions run.
+texts once more; cells are then summed where the rows are.  Only the digests of
+versions that must be sketched again move a second time.  Only DataFrame functions
+run.
 """
 
 from __future__ import annotations
@@ -50,20 +51,20 @@ def _places(digest: str) -> list[str]:
     return [f"pmod(xxhash64({digest}, {j}), {TABLE})" for j in range(HASHES)]
 
 
-def _sums(sign: str, when: str = "true", tag: str = "") -> list[Column]:
-    """The cells of a sketch as aggregates over rows (d, chk, p0..p2)."""
+def _sums() -> list[Column]:
+    """The cells of a sketch as aggregates over rows (d, side, chk, p0..p2); side 0 is no digest."""
     out = []
     for j in range(HASHES):
         for c in range(TABLE):
-            here, i = f"{when} AND p{j} = {c}", j * TABLE + c
-            out += [F.expr(f"coalesce(sum(if({here}, {sign}, 0)), 0)").alias(f"n{tag}{i}"),
-                    F.expr(f"bit_xor(if({here}, d, 0))").alias(f"k{tag}{i}"),
-                    F.expr(f"bit_xor(if({here}, chk, 0))").alias(f"h{tag}{i}")]
+            here, i = f"side <> 0 AND p{j} = {c}", j * TABLE + c
+            out += [F.expr(f"coalesce(sum(if({here}, side, 0L)), 0L)").alias(f"n{i}"),
+                    F.expr(f"bit_xor(if({here}, d, 0L))").alias(f"k{i}"),
+                    F.expr(f"bit_xor(if({here}, chk, 0L))").alias(f"h{i}")]
     return out
 
 
-def _cells(tag: str = "") -> str:
-    return "array(" + ", ".join(f"struct(n{tag}{i} AS n, k{tag}{i} AS k, h{tag}{i} AS h)" for i in range(CELLS)) + ")"
+def _cells() -> str:
+    return "array(" + ", ".join(f"struct(n{i} AS n, k{i} AS k, h{i} AS h)" for i in range(CELLS)) + ")"
 
 
 def _placed(rows: DataFrame) -> DataFrame:
@@ -75,12 +76,18 @@ def sketch_text(cells: str) -> Column:
     return F.expr(f"array_join(transform({cells}, c -> concat_ws('.', hex(c.n), hex(c.k), hex(c.h))), ' ')")
 
 
-def sketches(rows: DataFrame) -> DataFrame:
-    """Fixed-size sketches of the digests in ``a`` and ``e`` of each row id."""
-    long = rows.select(RID, F.explode(F.expr("concat(transform(a, x -> struct(0 AS v, x AS d)), transform(e, x -> struct(1 AS v, x AS d)))")).alias("x")) \
-        .select(RID, "x.v", "x.d")
-    return _placed(long).groupBy(RID).agg(*_sums("1L", "v = 0", "a"), *_sums("1L", "v = 1", "e")) \
-        .select(RID, sketch_text(_cells("a")).alias("fingerprint"), sketch_text(_cells("e")).alias("edited_fingerprint"))
+def _buckets(total: str, factor: int = 1) -> str:
+    """How many buckets a pair with so many digests on both sides is sketched with."""
+    return f"CAST(greatest(1, pow(2, ceil(log2(greatest({total}, 1) / {LOAD}D)))) AS BIGINT) * {factor}L"
+
+
+def _summed(long: DataFrame, *keys: str) -> DataFrame:
+    """Subtracted sketches: the cells of each key and bucket from rows (keys, b: number
+    of buckets, side, d)."""
+    return _placed(long.withColumn("bucket", F.expr("pmod(xxhash64(d, 7), b)"))).groupBy(RID, *keys, "bucket").agg(*_sums())
+
+
+_CLEAN = "forall(s.cells, c -> c.n = 0 AND c.k = 0 AND c.h = 0)"
 
 
 def _peeled() -> Column:
@@ -97,24 +104,19 @@ def _peeled() -> Column:
         (s, r) -> element_at(transform(array({pure}), pure -> if(size(pure) = 0, s, {step})), 1))""")
 
 
-def differences(pairs: DataFrame, with_digests: bool = False) -> DataFrame:
+def differences(pairs: DataFrame, with_digests: bool = False, factor: int = 1) -> DataFrame:
     """For rows (row id, pair, a, o: digest lists of two versions) the number of
     differing digests, and on request the digests with their side (1: only in a,
     -1: only in o), recovered from subtracted sketches."""
-    todo, done, factor = pairs.withColumn("total", F.size("a") + F.size("o")), None, 1
+    todo, done = pairs.withColumn("total", F.size("a") + F.size("o")), None
     while True:
-        buckets = F.expr(f"CAST(greatest(1, pow(2, ceil(log2(greatest(total, 1) / {LOAD}D)))) AS BIGINT) * {factor}")
-        long = todo.repartition(RID).select(RID, "pair", buckets.alias("b"), F.explode_outer(F.expr(
+        long = todo.repartition(RID).select(RID, "pair", F.expr(_buckets("total", factor)).alias("b"), F.explode_outer(F.expr(
             "concat(transform(a, x -> struct(1L AS side, x AS d)), transform(o, x -> struct(-1L AS side, x AS d)))")).alias("x")) \
             .select(RID, "pair", "b", F.coalesce("x.side", F.lit(0)).alias("side"), F.coalesce("x.d", F.lit(0)).alias("d"))
-        long = long.withColumn("bucket", F.expr("pmod(xxhash64(d, 7), b)"))
-        real = "side <> 0"
-        peeled = _placed(long).groupBy(RID, "pair", "bucket").agg(*_sums("side", real)).select(RID, "pair", _peeled().alias("s"))
-        clean = F.expr("forall(s.cells, c -> c.n = 0 AND c.k = 0 AND c.h = 0)")
-        per = [F.sum(F.size("s.found")).cast("long").alias("differing"), F.min(clean).alias("decoded")]
+        per = [F.sum(F.size("s.found")).cast("long").alias("differing"), F.min(F.expr(_CLEAN)).alias("decoded")]
         if with_digests:
             per.append(F.flatten(F.collect_list("s.found")).alias("digests"))
-        got = saved(peeled.groupBy(RID, "pair").agg(*per))
+        got = saved(_summed(long, "pair").select(RID, "pair", _peeled().alias("s")).groupBy(RID, "pair").agg(*per))
         ready = got.filter("decoded").drop("decoded")
         done = ready if done is None else done.union(ready)
         failed = got.filter("NOT decoded").select(RID, "pair")
@@ -137,20 +139,42 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     ranked = saved(global_rank(sizes, ["no_id", "doc_id", RID]))
     total = ranked.count()
     after = ranked.select(((F.col("rank") - 1 + total) % max(total, 1)).alias("rank"), F.col(RID).alias("next"))
-    pairs = ranked.join(after, "rank").select(F.col(RID).alias("own"), "next", F.floor(F.col("n_chars") / 4).cast("int").alias("cut"))
-    heads = texts.join(pairs, texts[RID] == pairs["next"]).select(
-        F.col("own").alias(RID), "cut", F.expr("substring(text, 1, cut)").alias("head"), digests(F.col("text")).alias("b"))
-    both = texts.join(heads, RID).withColumn("n_chars", F.char_length("text").cast("long")) \
-        .withColumn("edited", F.expr("concat(substring(text, 1, CAST(n_chars AS INT) - cut), head)"))
-    rows = saved(both.select(RID, "doc_id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
-                             digests(F.col("text")).alias("a"), digests(F.col("edited")).alias("e"), "b"))
-    versions = rows.select(RID, F.explode(F.expr("array(struct(0 AS pair, a, e AS o), struct(1 AS pair, a, b AS o))")).alias("x")) \
-        .select(RID, "x.pair", "x.a", "x.o")
-    gone = differences(versions).groupBy(RID).agg(F.sum(F.expr("if(pair = 0, differing, 0)")).alias("de"),
-                                                  F.sum(F.expr("if(pair = 1, differing, 0)")).alias("dn"))
+    pairs = ranked.join(after, "rank").select(F.col(RID).alias("own"), "doc_id", "next", F.floor(F.col("n_chars") / 4).cast("int").alias("cut"))
+    # both joins read the same exchange of (row id, text)
+    whole = texts.select(RID, "text")
+    heads = whole.join(pairs, whole[RID] == pairs["next"]).select(
+        F.col("own").alias(RID), "doc_id", "cut", F.expr("substring(text, 1, cut)").alias("head"), digests(F.col("text")).alias("b"))
+    rows = whole.join(heads, RID).withColumn("n_chars", F.char_length("text").cast("long")) \
+        .withColumn("edited", F.expr("concat(substring(text, 1, CAST(n_chars AS INT) - cut), head)")) \
+        .select(RID, "doc_id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+                digests(F.col("text")).alias("a"), digests(F.col("edited")).alias("e"), "b")
+    # kinds 0 and 1: the fingerprints; 2: edited text against own; 3: next document against own
+    entry = "transform({0}, x -> struct({1} AS kind, {2}L AS side, {3} AS b, x AS d))"
+    entries = ", ".join(entry.format(*x) for x in [
+        ("a", 0, 1, "1L"), ("e", 1, 1, "1L"), ("a", 2, 1, "be"), ("e", 2, -1, "be"), ("a", 3, 1, "bn"), ("b", 3, -1, "bn")])
+    long = rows.select(RID, "a", "e", "b", F.expr(_buckets("size(a) + size(e)")).alias("be"), F.expr(_buckets("size(a) + size(b)")).alias("bn")) \
+        .select(RID, F.explode(F.expr(f"concat({entries})")).alias("x")).select(RID, "x.*")
+    per = _summed(long, "kind").select(
+        RID, "kind", F.when(F.col("kind") < 2, sketch_text(_cells())).alias("print"), F.when(F.col("kind") >= 2, _peeled()).alias("s")) \
+        .groupBy(RID).agg(
+            F.max(F.expr("if(kind = 0, print, NULL)")).alias("fingerprint"), F.max(F.expr("if(kind = 1, print, NULL)")).alias("edited_fingerprint"),
+            *[F.sum(F.expr(f"if(kind = {k}, size(s.found), 0)")).cast("long").alias(f"d{k}") for k in (2, 3)],
+            *[F.min(F.expr(f"if(kind = {k}, {_CLEAN}, true)")).alias(f"ok{k}") for k in (2, 3)])
     empty = sketch_text("array_repeat(named_struct('n', 0L, 'k', 0L, 'h', 0L), %d)" % CELLS)
-    narrow = rows.select(RID, "doc_id", "n_chars", "edited_sha256", F.size("a").alias("na"), F.size("e").alias("ne"), F.size("b").alias("nb"))
-    return narrow.join(gone, RID).join(sketches(rows.select(RID, "a", "e").repartition(RID)), RID, "left").select(
-        "doc_id", "n_chars", "edited_sha256", F.coalesce("fingerprint", empty).alias("fingerprint"),
-        F.coalesce("edited_fingerprint", empty).alias("edited_fingerprint"),
-        likeness("na", "ne", "de").alias("near_edited"), likeness("na", "nb", "dn").alias("near_next"))
+    ok = lambda k: F.coalesce(f"ok{k}", F.lit(True))
+    again = ~(ok(2) & ok(3))
+    first = saved(rows.join(per, RID, "left").select(
+        RID, "doc_id", "n_chars", "edited_sha256", F.size("a").alias("na"), F.size("e").alias("ne"), F.size("b").alias("nb"),
+        F.coalesce("fingerprint", empty).alias("fingerprint"), F.coalesce("edited_fingerprint", empty).alias("edited_fingerprint"),
+        F.coalesce("d2", F.lit(0)).alias("d2"), F.coalesce("d3", F.lit(0)).alias("d3"), ok(2).alias("ok2"), ok(3).alias("ok3"),
+        *[F.when(again, F.col(c)).alias(c) for c in ("a", "e", "b")]))
+    # sketches that kept cells are made anew, larger
+    failed = first.filter("NOT (ok2 AND ok3)")
+    if failed.limit(1).count():
+        versions = failed.select(RID, F.explode(F.expr(
+            "filter(array(struct(2 AS pair, a, e AS o, ok2 AS ok), struct(3 AS pair, a, b AS o, ok3 AS ok)), x -> NOT x.ok)")).alias("x")) \
+            .select(RID, "x.pair", "x.a", "x.o")
+        gone = differences(versions, factor=4).groupBy(RID).agg(*[F.max(F.expr(f"if(pair = {k}, differing, NULL)")).alias(f"r{k}") for k in (2, 3)])
+        first = first.join(gone, RID, "left").withColumn("d2", F.coalesce("r2", "d2")).withColumn("d3", F.coalesce("r3", "d3"))
+    return first.select("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
+                        likeness("na", "ne", "d2").alias("near_edited"), likeness("na", "nb", "d3").alias("near_next"))
