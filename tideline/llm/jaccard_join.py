@@ -233,10 +233,10 @@ def _near_pairs(near: DataFrame) -> DataFrame:
     hub = near.groupBy("y").agg(F.min(F.when(~F.col("linked"), F.col("gap"))).alias("out"), F.min("gap").alias("least"),
                                 F.max("nx").alias("most")).filter("out IS NOT NULL")
     alive = saved(near.join(saved(hub.select("y")), "y", "left_semi").select("x", "y", "nx", "gap", "linked", F.explode("delta").alias("t")))
-    for _ in range(3):  # a link needs shared delta shingles: drop what is held once, and members left with too few
+    for _ in range(2):  # a link needs shared delta shingles: drop what is held once, and members left with too few
         often = saved(alive.groupBy("y", "t").agg(F.count("*").alias("df")).filter("df > 1"))
-        u = alive.select("x", "y", "nx", "gap", "linked", "t").join(often, ["y", "t"]) \
-            .groupBy("x", "y", "nx", "gap", "linked").agg(F.count("*").alias("u"))
+        alive = saved(alive.join(often, ["y", "t"]).drop("df"))
+        u = alive.groupBy("x", "y", "nx", "gap", "linked").agg(F.count("*").alias("u"))
         hub = u.groupBy("y").agg(F.min(F.when(~F.col("linked"), F.col("gap"))).alias("out"), F.min("gap").alias("least"),
                                  F.max("nx").alias("most")).filter("out IS NOT NULL")
         bound = F.expr("least(nx div 4, (nx + most) div 9)")
