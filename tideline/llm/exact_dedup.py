@@ -40,7 +40,8 @@ def radix_groups(docs: DataFrame, first_digit: int = FIRST_DIGIT, growth: int =
     texts = with_rid(docs, ["doc_id", "text"]).select(
         RID, "doc_id", folded(text_or_empty()).cast("binary").alias("bytes"))
     digit = F.substring("bytes", 1, first_digit)
-    shared = texts.groupBy(digit.alias("digit")).agg(F.count("*").alias("n")).filter("n > 1")
+    # saved tables as join sides: a hot digit or group is then a plain shuffle, which AQE splits
+    shared = saved(texts.groupBy(digit.alias("digit")).agg(F.count("*").alias("n")).filter("n > 1"))
     level = saved(texts.withColumn("digit", digit).join(shared, "digit", "left").select(
         RID, "doc_id", F.sha2("bytes", 256).alias("text_sha256"), F.lit(0).cast("long").alias("gid"),
         F.when(F.col("n").isNotNull(), F.col("bytes")).alias("rest")))
@@ -50,7 +51,7 @@ def radix_groups(docs: DataFrame, first_digit: int = FIRST_DIGIT, growth: int =
     while True:
         active = level.filter("rest IS NOT NULL").select(RID, "doc_id", "gid", "rest") \
             .withColumn("digit", F.substring("rest", 1, width))
-        groups = active.groupBy("gid", "digit").agg(F.count("*").alias("n"), F.min(RID).alias("new")).filter("n > 1")
+        groups = saved(active.groupBy("gid", "digit").agg(F.count("*").alias("n"), F.min(RID).alias("new")).filter("n > 1"))
         level = saved(active.join(groups, ["gid", "digit"]).select(
             RID, "doc_id", F.col("new").alias("gid"),
             F.when(F.length("digit") == width, F.expr(f"substring(rest, {width + 1})")).alias("rest")))
@@ -61,10 +62,10 @@ def radix_groups(docs: DataFrame, first_digit: int = FIRST_DIGIT, growth: int =
     equal = ended[0]
     for more in ended[1:]:
         equal = equal.union(more)
-    sizes = equal.groupBy("gid").agg(F.count("*").alias("group_size"), F.min("doc_id").alias("keep_id"))
+    sizes = saved(equal.groupBy("gid").agg(F.count("*").alias("group_size"), F.min("doc_id").alias("keep_id")))
     stays = equal.join(sizes, "gid").filter(F.col("doc_id").eqNullSafe(F.col("keep_id"))) \
         .groupBy("gid").agg(F.min(RID).alias("keep_rid"))
-    copies = equal.join(sizes.join(stays, "gid"), "gid").select(
+    copies = equal.join(saved(sizes.join(stays, "gid")), "gid").select(
         RID, "keep_id", "group_size", (F.col(RID) == F.col("keep_rid")).alias("kept"))
     return rows, copies
 
