@@ -324,7 +324,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, n_component
     (rows of the component)."""
     rows, _ = jaccard_components(docs)
-    named = rows.groupBy("component").agg(F.min("doc_id").alias("component_id"), F.count("*").alias("n_component"))
+    # a saved join side leaves two plain shuffles, of which AQE splits a hot component
+    named = saved(rows.groupBy("component").agg(F.min("doc_id").alias("component_id"), F.count("*").alias("n_component")))
     return rows.join(named, "component").select(
         "doc_id", F.col("n").alias("n_shingles"), "component_id", "n_component")
 
@@ -335,8 +336,8 @@ def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     docs = docs if RID not in docs.columns else docs.withColumnRenamed(RID, RID + "_in")
     whole = with_rid(docs)
     rows, _ = jaccard_components(whole.drop(RID))
-    low = rows.groupBy("component").agg(F.min("doc_id").alias("low"), F.count("*").alias("g")).filter("g > 1")
+    low = saved(rows.groupBy("component").agg(F.min("doc_id").alias("low"), F.count("*").alias("g")).filter("g > 1"))
     group = rows.join(low, "component")
-    stays = group.filter(F.col("doc_id").eqNullSafe(F.col("low"))).groupBy("component").agg(F.min(RID).alias("stay"))
+    stays = saved(group.filter(F.col("doc_id").eqNullSafe(F.col("low"))).groupBy("component").agg(F.min(RID).alias("stay")))
     gone = group.join(stays, "component").filter(F.col(RID) != F.col("stay")).select(RID)
     return whole.join(gone, RID, "left_anti").drop(RID)
