@@ -411,3 +411,12 @@ def test_components_reach_across_a_long_chain(spark):
     edges = spark.createDataFrame([(ids[i], ids[i + 1]) for i in range(n - 1) if i != 150], "a long, b long")
     got = {r.node: r.component for r in common.components(edges).collect()}
     assert {got[ids[i]] for i in range(151)} == {min(ids[:151])} and {got[ids[i]] for i in range(151, n)} == {min(ids[151:])}
+
+
+def test_toxicity_weak_terms_are_evidence(spark, docs_of):
+    """A term twice as likely under one label finds neighbours too."""
+    name = lambda i: "".join(chr(97 + int(c)) for c in str(i))
+    rows = [(i, ("often " if i // 2 % 3 < 1 + i % 2 else "") + f"x{name(i)}") for i in range(1200)]
+    lab = spark.createDataFrame([(i, 1, i % 2) for i, _ in rows], "doc_id long, quality int, toxic int")
+    got = toxicity.toxicity(docs_of(rows + [(5000, "often")]), lab).filter("doc_id = 5000").collect()
+    assert len(got[0].evidence) == 3
