@@ -420,3 +420,15 @@ def test_toxicity_weak_terms_are_evidence(spark, docs_of):
     lab = spark.createDataFrame([(i, 1, i % 2) for i, _ in rows], "doc_id long, quality int, toxic int")
     got = toxicity.toxicity(docs_of(rows + [(5000, "often")]), lab).filter("doc_id = 5000").collect()
     assert len(got[0].evidence) == 3
+
+
+def test_toxicity_keeps_every_term_of_the_examples(spark, docs_of):
+    """Words that have nothing to do with the label lead to examples, too."""
+    rng = random.Random(4)
+    rows = [(i, " ".join(words(rng, 40))) for i in range(300)]
+    held = next(i for i in range(1000, 2000) if zlib.crc32(str(i).encode()) % 3 == 1)
+    seen = next(i for i in range(300) if zlib.crc32(str(i).encode()) % 3 != 1)
+    lab = spark.createDataFrame([(i, 1, int(i == seen)) for i, _ in rows], "doc_id long, quality int, toxic int")
+    got = {r.doc_id: r for r in toxicity.toxicity(docs_of(rows + [(held, rows[seen][1])]), lab).collect()}
+    assert all(len(r.evidence) == 3 for r in got.values())
+    assert got[held].evidence[0].doc_id == seen and got[held].evidence[0].cosine == 1.0 and got[held].evidence[0].toxic == 1

@@ -1,27 +1,33 @@
 """Toxicity by nearest labelled examples.
 
-Examples are a bounded sample of labelled training documents.  Terms are words
-and word beginnings whose presence depends on the label in that sample; their
-weights are TF-IDF with document frequencies of the whole corpus.  A document's
-neighbours are its ``K`` nearest examples by exact cosine, found with a block-max
-inverted index: examples lie in blocks, each term knows its largest weight in each
-block, and a block is opened only if the sum of those bounds reaches the K-th best
-cosine so far.  Neighbours vote by closeness; the votes are calibrated on the
-examples themselves, each scored without itself.
-
-Defined results: a null or empty text, and a text without any of the terms, gets
-the rate of toxic examples among examples without terms; without labelled
+Examples are a bounded sample of labelled training documents.  Terms are all words
+and word beginnings of the examples; their weights are TF-IDF with document
+frequencies of the whole corpus, times a factor that grows with the term's chi-square
+against the label and is 1 for a term that has nothing to do with it.  A document's
+neighbours are its ``K`` nearest examples by exact cosine, found with an inverted
+index: terms that many examples hold are a dense matrix, multiplied for many
+documents at once; what the other terms can add to an example is bounded by the
+lengths of both, and only if that leaves too many examples their postings are added.
+What may be among the nearest is then computed exactly.  Neighbours vote by closeness;
+the votes are calibrated on the examples themselves, each scored without itself.
+
+Defined results: a null or empty text, and a text without any of the examples' terms,
+gets the rate of toxic examples among examples without terms; without labelled
 examples every score is 0.5; several labels of a doc_id count as toxic if one is;
 a null label or doc_id is not learned from and a null doc_id is not held out;
-equal cosines are ordered by example; repeated rows are scored alike.
+equal cosines are ordered by example; repeated rows are scored alike.  A term that no
+example holds has no weight.
 
-Scale: the sample (``MAX_EXAMPLES`` labels, the first by hash) and the terms
-(``MAX_TERMS``) bound everything that is broadcast.  The corpus is read once:
-tasks turn each text into counts of those terms, nothing else of it moves.
+Scale: the sample (``MAX_EXAMPLES`` labels, the first by hash) bounds everything that
+is broadcast.  The corpus is read twice, for document frequencies (one row per term
+and task moves) and for scores; nothing else of it moves.
 """
 
 from __future__ import annotations
 
+import ctypes
+import hashlib
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -31,11 +37,13 @@ from tideline.llm import common as C
 from tideline.llm.common import RID, saved, with_rid
 
 MAX_EXAMPLES = 20_000
-MAX_TERMS = 4_096
 K = 15
-BLOCK = 64
-#: Blocks that a search opens first; four times more at each further step.
-OPEN_BLOCKS = 16
+#: Terms that a larger share of the examples holds are columns of the dense matrix.
+WIDE = 0.06
+#: Documents that meet the dense matrix at once.
+TOGETHER = 256
+#: Beyond any rounding error of single-precision sums of at most 1.
+SLACK = 1e-4
 TOXIC = 0.7
 FOLDS, HELD_FOLD = 3, 1
 #: Word beginnings of so many bytes are terms too.
@@ -77,76 +85,151 @@ def _counts(vocabulary: np.ndarray, extra: list[str]):
     """Per document the numbers (places in the sorted vocabulary) and counts of its terms."""
     def rows(batches):
         for batch in batches:
-            ids, counts, at = [], [], [0]
             for i, n, row, term in _terms(batch.column("text")):
+                at, ids, counts = np.zeros(n + 1, np.int32), np.zeros(0, np.int32), np.zeros(0, np.int32)
                 if len(vocabulary):
                     place = np.minimum(np.searchsorted(vocabulary, term), len(vocabulary) - 1)
                     hit = vocabulary[place] == term
                     key, c = np.unique(row[hit] * len(vocabulary) + place[hit], return_counts=True)
-                    r = key // len(vocabulary)
-                    ids.append(key % len(vocabulary))
-                    counts.append(c)
-                    at.extend((at[-1] + np.searchsorted(r, np.arange(1, n + 1))).tolist())
-                else:
-                    at.extend([0] * n)
-            join = lambda x: np.concatenate(x).astype(np.int32) if x else np.zeros(0, np.int32)
-            offsets = pa.array(at, pa.int32())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(c) for c in extra] + [pa.ListArray.from_arrays(offsets, pa.array(join(ids))),
-                                                    pa.ListArray.from_arrays(offsets, pa.array(join(counts)))],
-                names=[*extra, "ids", "counts"])
+                    at[1:] = np.searchsorted(key // len(vocabulary), np.arange(1, n + 1))
+                    ids, counts = (key % len(vocabulary)).astype(np.int32), c.astype(np.int32)
+                offsets = pa.array(at)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(c).slice(i, n) for c in extra] + [pa.ListArray.from_arrays(offsets, pa.array(ids)),
+                                                                    pa.ListArray.from_arrays(offsets, pa.array(counts))],
+                    names=[*extra, "ids", "counts"])
+    return rows
+
+
+def _document_counts(shared):
+    """(term number, documents that hold it) of each task."""
+    def rows(batches):
+        vocabulary = shared.value
+        total = np.zeros(len(vocabulary), np.int64)
+        for batch in _counts(vocabulary, [])(batches):
+            total += np.bincount(batch.column("ids").values.to_numpy(), minlength=len(vocabulary))
+        held = np.flatnonzero(total)
+        for i in range(0, len(held), 100_000):
+            part = held[i:i + 100_000]
+            yield pa.RecordBatch.from_arrays([pa.array(part.astype(np.int32)), pa.array(total[part])], names=["id", "n"])
     return rows
 
 
+def one_thread() -> None:
+    """A task has one core: numpy's OpenBLAS, if it is that, shall not spin on others."""
+    try:
+        with open("/proc/self/maps") as maps:
+            for path in {line.split(maxsplit=5)[5].strip() for line in maps if "openblas" in line}:
+                lib = ctypes.CDLL(path)
+                for name in ("scipy_openblas_set_num_threads64_", "openblas_set_num_threads64_", "openblas_set_num_threads"):
+                    if hasattr(lib, name):
+                        getattr(lib, name)(1)
+    except OSError:
+        pass
+
+
+def _kth(scores: np.ndarray, k: int) -> float:
+    return float(np.partition(scores, len(scores) - k)[len(scores) - k]) if len(scores) > k else 0.0
+
+
 class BlockMaxIndex:
-    """Exact top-k by cosine over weighted example vectors."""
-
-    def __init__(self, vectors: list[tuple[np.ndarray, np.ndarray]], n_terms: int):
-        order = sorted(range(len(vectors)), key=lambda e: (tuple(vectors[e][0]), e))  # alike examples share blocks
-        self.example = np.array(order, np.int64)
-        self.blocks = -(-len(order) // BLOCK)
-        self.bound = np.zeros((n_terms, max(self.blocks, 1)), np.float64)
-        lists: list[list] = [[] for _ in range(n_terms)]
-        for slot, e in enumerate(order):
-            for t, x in zip(*vectors[e]):
-                lists[t].append((slot, x))
-                self.bound[t, slot // BLOCK] = max(self.bound[t, slot // BLOCK], x)
-        self.slots = [np.array([s for s, _ in x], np.int64) for x in lists]
-        self.values = [np.array([v for _, v in x]) for x in lists]
+    """Exact top-k by cosine over weighted example vectors.  Each example is a block
+    of its own, bounded by its dense part and the length of the rest."""
+
+    def __init__(self, vectors, n_terms: int):
+        parts = [(np.asarray(ids, np.int32), np.asarray(w, np.float64)) for ids, w in vectors]
+        none = np.zeros(0, np.int32), np.zeros(0)
+        self.fill(np.concatenate(([0], np.cumsum([len(ids) for ids, _ in parts], dtype=np.int64))),
+                  np.concatenate([none[0], *(ids for ids, _ in parts)]), np.concatenate([none[1], *(w for _, w in parts)]), np.ones(len(parts)), n_terms)
+
+    def fill(self, at: np.ndarray, ids: np.ndarray, values, unit: np.ndarray, n_terms: int):
+        """Example e has the terms ids[at[e]:at[e + 1]]; ``values[places] / unit[e]`` are their weights."""
+        self.at, self.ids, self.values, self.unit = at, ids, values, unit
+        n = self.n = len(at) - 1
+        held = np.bincount(ids, minlength=n_terms)
+        wide = np.flatnonzero(held > WIDE * n)
+        self.column = np.full(n_terms, -1, np.int32)
+        self.column[wide] = np.arange(len(wide))
+        held[wide] = 0
+        self.starts = np.concatenate(([0], np.cumsum(held)))
+        self.wide = np.zeros((len(wide), n), np.float32)
+        self.length = np.zeros(n, np.float32)
+        term, slots, weights = (np.zeros(self.starts[-1], t) for t in (np.int32, np.int32, np.float32))
+        done = 0
+        for i in range(0, n, 512):  # few at a time, for memory
+            j = min(i + 512, n)
+            place = np.arange(at[i], at[j])
+            slot, column = np.repeat(np.arange(i, j), np.diff(at[i:j + 1])), self.column[ids[at[i]:at[j]]]
+            v = values[place] / unit[slot]
+            self.wide[column[column >= 0], slot[column >= 0]] = v[column >= 0]
+            rest = column < 0
+            self.length[i:j] = np.sqrt(np.bincount(slot[rest] - i, v[rest] ** 2, minlength=j - i))
+            to = slice(done, done + int(rest.sum()))
+            term[to], slots[to], weights[to], done = ids[place[rest]], slot[rest], v[rest], to.stop
+        order = np.argsort(term, kind="stable")
+        self.slots, self.weights = slots[order], weights[order]
 
     def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int, without: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """(examples, cosines) of the k nearest with a positive cosine, best first,
-        equal ones by example.  Blocks are opened by falling bound, more at a time."""
-        none = np.zeros(0, np.int64), np.zeros(0)
-        if not len(terms) or not self.blocks:
-            return none
-        upper = weights @ self.bound[terms]
-        order = np.argsort(-upper, kind="stable")
-        found, cosines, floor, at, step = [none[0]], [none[1]], 0.0, 0, OPEN_BLOCKS
-        while at < len(order):
-            chunk = order[at:at + step]
-            chunk = chunk[(upper[chunk] > 0) & (upper[chunk] >= floor - 1e-9)]
-            if not len(chunk):
-                break
-            place = np.full(self.blocks, -1)
-            place[chunk] = np.arange(len(chunk))
-            score = np.zeros(len(chunk) * BLOCK)
-            for t, w in zip(terms, weights):
-                slots = self.slots[t]
-                here = place[slots // BLOCK]
-                hit = here >= 0
-                score[here[hit] * BLOCK + slots[hit] % BLOCK] += w * self.values[t][hit]
-            got = np.flatnonzero(score)
-            e = self.example[chunk[got // BLOCK] * BLOCK + got % BLOCK]
-            found.append(e[e != without])
-            cosines.append(score[got][e != without])
-            every = np.concatenate(cosines)
-            if len(every) >= k:
-                floor = np.partition(every, len(every) - k)[len(every) - k]
-            at, step = at + step, step * 4
-        e, c = np.concatenate(found), np.round(np.concatenate(cosines), 12)
-        best = np.lexsort((e, -c))[:k]
-        return e[best], np.minimum(c[best], 1.0)
+        equal ones by example."""
+        return next(self.nearest_each([(terms, weights)], k, [without]))
+
+    def nearest_each(self, queries: list[tuple[np.ndarray, np.ndarray]], k: int, without: list[int]):
+        """``nearest`` of each query."""
+        self.query = np.zeros(len(self.column))
+        for i in range(0, len(queries), TOGETHER):
+            some = queries[i:i + TOGETHER]
+            rows = np.zeros((len(some), len(self.wide)), np.float32)
+            for row, (terms, weights) in zip(rows, some):
+                column = self.column[terms]
+                row[column[column >= 0]] = weights[column >= 0]
+            dense = rows @ self.wide
+            for (terms, weights), part, skip in zip(some, dense, without[i:i + TOGETHER]):
+                yield self._nearest(terms, weights, part, k, skip)
+
+    def _nearest(self, terms, weights, part, k, without):
+        if not len(terms) or not self.n:
+            return np.zeros(0, np.int64), np.zeros(0)
+        rest = self.column[terms] < 0
+        more, w = terms[rest], weights[rest]
+        if without >= 0:
+            part[without] = -1
+        found = np.flatnonzero(part + np.float32(np.sqrt((w * w).sum())) * self.length >= _kth(part, k) - SLACK)
+        if len(found) > 4 * k:
+            a, b = self.starts[more], self.starts[more + 1]
+            held = np.flatnonzero(b > a)
+            if len(held):
+                spans = [slice(x, y) for x, y in zip(a[held].tolist(), b[held].tolist())]
+                part = part + np.bincount(np.concatenate([self.slots[x] for x in spans]),
+                                          np.concatenate([self.weights[x] for x in spans]) * np.repeat(w[held], b[held] - a[held]), self.n)
+                if without >= 0:
+                    part[without] = -1
+            found = np.flatnonzero((part > 0) & (part >= _kth(part, k) - SLACK))
+        found = found[(found != without) & (self.at[found + 1] > self.at[found])]
+        if not len(found):
+            return np.zeros(0, np.int64), np.zeros(0)
+        size = self.at[found + 1] - self.at[found]
+        first = np.cumsum(size) - size
+        place = np.repeat(self.at[found] - first, size) + np.arange(size.sum())
+        self.query[terms] = weights
+        c = np.round(np.add.reduceat(self.query[self.ids[place]] * self.values[place], first) / self.unit[found], 12)
+        self.query[terms] = 0
+        found, c = found[c > 0], c[c > 0]
+        best = np.lexsort((found, -c))[:k]
+        return found[best], np.minimum(c[best], 1.0)
+
+
+class Weights:
+    """TF-IDF weights by place, from the counts when they are asked for: counts are small."""
+
+    def __init__(self, ids: np.ndarray, counts: np.ndarray, idf: np.ndarray):
+        self.ids, self.counts, self.idf = ids, counts, idf
+        self.tf = 1 + np.log(np.arange(1, 1 << 12, dtype=np.float64))
+
+    def __getitem__(self, places):
+        c = self.counts[places]
+        tf = self.tf[c - 1] if c.max(initial=0) <= len(self.tf) else 1 + np.log(c.astype(np.float64))
+        return tf * self.idf[self.ids[places]]
 
 
 def weigh(ids, counts, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -157,26 +240,43 @@ def weigh(ids, counts, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Model:
-    """What tasks receive: bounded by MAX_EXAMPLES and MAX_TERMS."""
-
-    def __init__(self, examples: list, idf: np.ndarray):
-        self.idf = idf
-        self.doc = np.array([e["doc_id"] for e in examples], np.int64)
-        self.toxic = np.array([e["toxic"] for e in examples], np.float64)
-        vectors = [weigh(e["ids"], e["counts"], idf) for e in examples]
-        empty = np.array([not len(v[0]) for v in vectors], bool)
+    """What tasks receive: the examples' terms and counts, bounded by MAX_EXAMPLES.
+    Each worker builds its index once."""
+
+    def __init__(self, examples: pa.Table, vocabulary: np.ndarray, weight: np.ndarray):
+        self.vocabulary, self.weight = vocabulary, weight
+        self.doc = examples["doc_id"].to_numpy().astype(np.int64)
+        self.toxic = examples["toxic"].to_numpy().astype(np.float64)
+        lists = [examples[c].combine_chunks() for c in ("ids", "counts")] if len(self.doc) else []
+        self.at = np.concatenate(([0], np.cumsum(lists[0].value_lengths().to_numpy(), dtype=np.int64))) if lists else np.zeros(1, np.int64)
+        self.ids, self.counts = (x.flatten().to_numpy() for x in lists) if lists else (np.zeros(0, np.int32),) * 2
+        empty = np.diff(self.at) == 0
         self.rate = (self.toxic.sum() + 0.5) / (len(self.toxic) + 1)
         self.rate_empty = (self.toxic[empty].sum() + self.rate) / (empty.sum() + 1)
-        self.index = BlockMaxIndex(vectors, len(idf))
-        self.grid = self.fit = None
-
-    def vote(self, ids, counts, without: int = -1):
-        """(share of votes for toxic, evidence)"""
-        e, c = self.index.nearest(*weigh(ids, counts, self.idf), K, without)
-        if not len(e):
-            return self.rate_empty, []
-        w = 1 / (1.05 - c)  # the closer, the more
-        return float((w @ self.toxic[e] + self.rate) / (w.sum() + 1)), list(zip(e.tolist(), c.tolist()))
+        self.grid = self.fit = self._index = None
+
+    def example(self, e: int) -> tuple[np.ndarray, np.ndarray]:
+        return self.ids[self.at[e]:self.at[e + 1]], self.counts[self.at[e]:self.at[e + 1]]
+
+    @property
+    def index(self) -> BlockMaxIndex:
+        if self._index is None:
+            one_thread()
+            self._index = BlockMaxIndex.__new__(BlockMaxIndex)
+            values = Weights(self.ids, self.counts, self.weight)
+            norms = (np.sqrt((values[np.arange(a, b)] ** 2).sum()) for a, b in zip(self.at[:-1], self.at[1:]))
+            self._index.fill(self.at, self.ids, values, np.fromiter(norms, np.float64, len(self.doc)), len(self.weight))
+        return self._index
+
+    def votes(self, documents: list, without: list[int] | None = None):
+        """(share of votes for toxic, evidence) of each (ids, counts)"""
+        near = self.index.nearest_each([weigh(*d, self.weight) for d in documents], K, without or [-1] * len(documents))
+        for e, c in near:
+            if not len(e):
+                yield self.rate_empty, []
+                continue
+            w = 1 / (1.05 - c)  # the closer, the more
+            yield float((w @ self.toxic[e] + self.rate) / (w.sum() + 1)), list(zip(e.tolist(), c.tolist()))
 
     def calibrate(self, bins):
         """Rising fit of the toxic rate to the vote (pool adjacent violators) from (vote, examples, toxic)."""
@@ -189,48 +289,67 @@ class Model:
         self.grid = np.array([p[0] / p[1] for p in pools])
         self.fit = np.array([(p[2] + self.rate) / (p[1] + 1) for p in pools])
 
-    def score(self, vote: float) -> float:
-        if self.grid is None or not len(self.grid):
-            return float(vote)
-        # a hundredth of the vote itself keeps the order within a pool
-        return float(np.clip(0.99 * np.interp(vote, self.grid, self.fit) + 0.01 * vote, 0, 1))
+
+def curve(grid, fit, vote: float) -> float:
+    """The calibrated score of a vote."""
+    if grid is None or not len(grid):
+        return float(vote)
+    # a hundredth of the vote itself keeps the order within a pool
+    return float(np.clip(0.99 * np.interp(vote, grid, fit) + 0.01 * vote, 0, 1))
 
 
 def _self_votes(shared):
     def rows(batches):
+        model = shared.value
         for batch in batches:
-            out = [shared.value.vote(r["ids"], r["counts"], r["example"])[0] for r in batch.to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.float64()), batch.column("toxic")], names=["vote", "toxic"])
+            examples = batch.column("id").to_pylist()
+            for i in range(0, len(examples), TOGETHER):
+                some = examples[i:i + TOGETHER]
+                votes = [v for v, _ in model.votes([model.example(e) for e in some], some)]
+                yield pa.RecordBatch.from_arrays([pa.array(votes, pa.float64()), pa.array(model.toxic[some].astype(np.int32))],
+                                                 names=["vote", "toxic"])
     return rows
 
 
-def _score(shared, extra: list[str]):
+def _score(shared, grid, fit, extra: list[str]):
     evidence = pa.list_(pa.struct([("doc_id", pa.int64()), ("toxic", pa.int32()), ("cosine", pa.float64())]))
 
     def rows(batches):
         model = shared.value
         known: dict = {}
-        for batch in batches:
+        for batch in _counts(model.vocabulary, extra)(batches):
+            at = batch.column("ids").offsets.to_numpy()
+            ids, counts = batch.column("ids").values.to_numpy(), batch.column("counts").values.to_numpy()
             scores, proofs = [], []
-            for ids, counts in zip(batch.column("ids").to_pylist(), batch.column("counts").to_pylist()):
-                key = (tuple(ids), tuple(counts))
-                if key not in known:
-                    if len(known) >= 50_000:
-                        known.clear()
-                    vote, near = model.vote(ids, counts)
-                    known[key] = model.score(vote), [
+            for i in range(0, batch.num_rows, TOGETHER):
+                documents = [(ids[a:b], counts[a:b]) for a, b in zip(at[i:i + TOGETHER], at[i + 1:i + TOGETHER + 1])]
+                keys = [hashlib.blake2b(a.tobytes() + b.tobytes(), digest_size=16).digest() for a, b in documents]
+                if len(known) >= 20_000:
+                    known.clear()
+                new = {k: d for k, d in zip(keys, documents) if k not in known}
+                for k, (vote, near) in zip(new, model.votes(list(new.values()))):
+                    known[k] = curve(grid, fit, vote), [
                         {"doc_id": int(model.doc[e]), "toxic": int(model.toxic[e]), "cosine": c} for e, c in near[:3]]
-                s, p = known[key]
-                scores.append(s)
-                proofs.append(p)
+                scores.extend(known[k][0] for k in keys)
+                proofs.extend(known[k][1] for k in keys)
             yield pa.RecordBatch.from_arrays([batch.column(c) for c in extra] + [pa.array(scores, pa.float64()), pa.array(proofs, evidence)],
                                              names=[*extra, "score", "evidence"])
     return rows
 
 
+def term_factors(held, n1: float, n0: float) -> np.ndarray:
+    """1 for a term that is as frequent under both labels, more by its chi-square in
+    units of what chance alone reaches about once in so many terms."""
+    a, b = held["n1"].to_numpy().astype(np.float64), held["n0"].to_numpy().astype(np.float64)
+    beside = n1 * n0 * (a + b) * (n1 + n0 - a - b)
+    chi = np.divide((n1 + n0) * (a * (n0 - b) - b * (n1 - a)) ** 2, beside, out=np.zeros(len(a)), where=beside > 0)
+    return 1 + chi / (2 * np.log(max(len(a), 1)) + 1)
+
+
 def toxicity(docs: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLES) -> DataFrame:
     """One row per document: row id, doc_id, held_out, score, predicted, evidence (the
     three nearest examples).  Held-out documents are not learned from."""
+    spark = docs.sparkSession
     fold = lambda c: F.coalesce(F.crc32(F.col(c).cast("string")) % FOLDS == HELD_FOLD, F.lit(False))
     texts = with_rid(docs, ["doc_id", "text"]).withColumn("held_out", fold("doc_id"))
     known = labels.filter("toxic IS NOT NULL AND doc_id IS NOT NULL").filter(~fold("doc_id")) \
@@ -238,38 +357,36 @@ def toxicity(docs: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLE
         .orderBy(F.md5(F.col("doc_id").cast("string")), "doc_id").limit(max_examples)
     sample = saved(texts.join(F.broadcast(known), "doc_id").select(RID, "doc_id", "toxic", "text"))
     n1, n0 = (float(x or 0) for x in sample.select("toxic", "text").distinct().agg(F.sum("toxic"), F.sum(1 - F.col("toxic"))).first())
-    held = saved(sample.select("toxic", "text").distinct().mapInArrow(_presence, "term long, n1 long, n0 long")
-                 .groupBy("term").agg(F.sum("n1").alias("n1"), F.sum("n0").alias("n0")).filter("n1 + n0 > 1"))
-    least = 2 * np.log(max(held.count(), 1)) + 1  # what chance alone reaches about once in so many terms
-    a, b = F.col("n1"), F.col("n0")
-    chi = (n1 + n0) * F.pow(a * (n0 - b) - b * (n1 - a), 2) / (F.lit(n1 * n0) * (a + b) * (n1 + n0 - a - b))
-    picked = held.filter(a + b < n1 + n0).withColumn("chi", chi).filter(F.col("chi") >= float(least)) \
-        .orderBy(F.desc("chi"), "term").limit(MAX_TERMS).select("term").toPandas()["term"].to_numpy(np.int64) if n1 and n0 else np.zeros(0, np.int64)
-    vocabulary = np.sort(picked.view(np.uint64))
-
-    extra = [RID, "doc_id", "held_out"]
-    vectors = saved(texts.select(*extra, "text").mapInArrow(
-        _counts(vocabulary, extra), f"{RID} long, doc_id long, held_out boolean, ids array<int>, counts array<int>"))
-    df = vectors.select(F.explode("ids").alias("id")).groupBy("id").count().toPandas()
-    n_docs = vectors.count()
-    idf = np.full(len(vocabulary), np.log(1.0 + n_docs) + 1)
-    idf[df["id"].to_numpy(int)] = np.log((1.0 + n_docs) / (1.0 + df["count"].to_numpy())) + 1
-
-    rows = sample.select(RID, "doc_id", "toxic", "text").mapInArrow(
-        _counts(vocabulary, [RID, "doc_id", "toxic"]), f"{RID} long, doc_id long, toxic int, ids array<int>, counts array<int>")
-    examples = sorted((r.asDict() for r in rows.collect()), key=lambda r: (r["doc_id"], r[RID]))
-    model = Model(examples, idf)
-    spark = docs.sparkSession
+    held = sample.select("toxic", "text").distinct().mapInArrow(_presence, "term long, n1 long, n0 long") \
+        .groupBy("term").agg(F.sum("n1").alias("n1"), F.sum("n0").alias("n0")).toArrow()
+    terms = held["term"].to_numpy().view(np.uint64)
+    order = np.argsort(terms)
+    vocabulary, factors = terms[order], term_factors(held, n1, n0)[order]
+    shared_terms = spark.sparkContext.broadcast(vocabulary)
+
+    df = texts.select("text").mapInArrow(_document_counts(shared_terms), "id int, n long").groupBy("id").agg(F.sum("n").alias("n")).toArrow()
+    n_docs = texts.count()
+    weight = np.full(len(vocabulary), np.log(1.0 + n_docs) + 1)
+    weight[df["id"].to_numpy()] = np.log((1.0 + n_docs) / (1.0 + df["n"].to_numpy())) + 1
+    weight *= factors
+
+    def counted(batches):
+        return _counts(shared_terms.value, [RID, "doc_id", "toxic"])(batches)
+
+    examples = sample.select(RID, "doc_id", "toxic", "text").mapInArrow(
+        counted, f"{RID} long, doc_id long, toxic int, ids array<int>, counts array<int>").toArrow() \
+        .sort_by([("doc_id", "ascending"), (RID, "ascending")])
+    model = Model(examples, vocabulary, weight)
     shared = spark.sparkContext.broadcast(model)
-    if examples:
-        numbered = spark.createDataFrame([(e, r["toxic"], r["ids"], r["counts"]) for e, r in enumerate(examples)],
-                                         "example long, toxic int, ids array<int>, counts array<int>")
-        bins = numbered.mapInArrow(_self_votes(shared), "vote double, toxic int") \
+    n = len(examples)
+    if n:
+        bins = spark.range(0, n, 1, -(-n // 256)).mapInArrow(_self_votes(shared), "vote double, toxic int") \
             .groupBy(F.floor(F.col("vote") * BINS)).agg(F.avg("vote"), F.count("*"), F.sum("toxic")).collect()
         model.calibrate([tuple(r)[1:] for r in bins])
-        shared = spark.sparkContext.broadcast(model)
-    return vectors.mapInArrow(_score(shared, extra), f"{RID} long, doc_id long, held_out boolean, score double, "
-                                                     "evidence array<struct<doc_id:long,toxic:int,cosine:double>>") \
+    extra = [RID, "doc_id", "held_out"]
+    return texts.select(*extra, "text").mapInArrow(
+        _score(shared, model.grid, model.fit, extra), f"{RID} long, doc_id long, held_out boolean, score double, "
+                                                      "evidence array<struct<doc_id:long,toxic:int,cosine:double>>") \
         .withColumn("predicted", (F.col("score") >= TOXIC).cast("int"))
 
 
