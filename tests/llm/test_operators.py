@@ -432,3 +432,33 @@ def test_toxicity_keeps_every_term_of_the_examples(spark, docs_of):
     got = {r.doc_id: r for r in toxicity.toxicity(docs_of(rows + [(held, rows[seen][1])]), lab).collect()}
     assert all(len(r.evidence) == 3 for r in got.values())
     assert got[held].evidence[0].doc_id == seen and got[held].evidence[0].cosine == 1.0 and got[held].evidence[0].toxic == 1
+
+
+def test_jaccard_join_lists_every_link(spark, docs_of):
+    """All pairs by brute force, in families whose members differ a little or a lot."""
+    rng, rows = random.Random(21), []
+    for family in range(6):
+        base = [f"f{family}w{i}" for i in range(rng.choice([30, 90, 200]))]
+        for _ in range(25):
+            w = list(base)
+            for _ in range(rng.choice([0, 1, 1, 2, 3, 5])):
+                w[rng.randrange(len(w))] = rng.choice(["alpha", "beta", f"n{rng.randrange(10**6)}"])
+            rows.append((len(rows), " ".join(w)))
+    rows += [(900, ""), (901, None), (902, "one two"), (903, "One  two")]
+    docs, links = jaccard_join.near_duplicate_links(docs_of(rows))
+    sets, first = {}, {}
+    for d, text in rows:
+        w = (text or "").lower().split()
+        sets[d] = frozenset(tuple(w[i:i + 5]) for i in range(max(len(w) - 4, min(len(w), 1))))
+        first.setdefault(sets[d], d)
+    docs = docs.collect()
+    alike = {}
+    for r in docs:
+        alike.setdefault(r.class_id, set()).add(r.doc_id)
+    assert alike.pop(None) == {900, 901}
+    assert sorted(map(sorted, alike.values())) == sorted(sorted(d for d in sets if sets[d] == s) for s in first if s)
+    name = {c: min(members) for c, members in alike.items()}
+    got = sorted(tuple(sorted((name[r.class_a], name[r.class_b]))) for r in links.collect())
+    reps = sorted(d for s, d in first.items() if s)
+    want = [(a, b) for i, a in enumerate(reps) for b in reps[i + 1:] if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
+    assert len(want) > 300 and got == want

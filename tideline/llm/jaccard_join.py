@@ -253,6 +253,12 @@ def _near_pairs(near: DataFrame) -> DataFrame:
         "x < x2 AND NOT (linked AND linked2) AND 2 * least(u, u2) >= gap + gap2 - (nx + nx2) div 9").select("x", "x2").distinct()
 
 
+def _sure_pairs(near: DataFrame) -> DataFrame:
+    """Pairs of members so near one hub that they link whether or not their deltas overlap."""
+    two = near.select("y", *[F.col(c).alias(c + "2") for c in ("x", "nx", "gap")])
+    return near.join(two, "y").filter("x < x2 AND 9 * (gap + gap2) <= nx + nx2").select("x", F.col("x2").alias("y")).distinct()
+
+
 def _far_pairs(far: DataFrame, edge: DataFrame, classes: DataFrame) -> DataFrame:
     """Pairs with a member far from their hub that the Hamming bound lets link."""
     bits = classes.select(F.col("cid").alias("x"), F.col("n").alias("nx"), F.struct(*BITS).alias("bx"))
@@ -264,10 +270,10 @@ def _far_pairs(far: DataFrame, edge: DataFrame, classes: DataFrame) -> DataFrame
         .select(F.least("x", "x2").alias("x"), F.greatest("x", "x2").alias("x2")).distinct()
 
 
-def jaccard_components(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+def jaccard_components(docs: DataFrame, every_link: bool = False) -> tuple[DataFrame, DataFrame]:
     """(documents, links): every row with its set size, class and component (both row
     ids); and verified links between classes (row ids of representatives) that
-    connect every component."""
+    connect every component, or with ``every_link`` all links there are."""
     texts = with_rid(docs, ["doc_id", "text"])
     sets = saved(texts.mapInArrow(_sets, SET_ROWS))
     classes = saved(sets.filter("n > 0").groupBy("h1", "h2", "n").agg(
@@ -290,19 +296,22 @@ def jaccard_components(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     links = first.filter("linked").select("x", "y")
     labels = components(links, "x", "y")
     label = lambda c: labels.select(F.col("node").alias(c), F.col("component").alias("l" + c))
-    mixed = saved(stars.join(label("x"), "x", "left").join(label("y"), "y", "left")
-                  .filter("coalesce(lx, x) <> coalesce(ly, y)").select("y").distinct())
+    mixed = stars if every_link else stars.join(label("x"), "x", "left").join(label("y"), "y", "left") \
+        .filter("coalesce(lx, x) <> coalesce(ly, y)")
+    mixed = saved(mixed.select("y").distinct())
     stars = saved(stars.join(mixed, "y", "left_semi"))
     more = compared(stars.filter(close).join(chosen.select("x", "y"), ["x", "y"], "left_anti"))
     near = saved(first.join(mixed, "y", "left_semi").union(more.select(*first.columns)))
     links = saved(links.union(more.filter("linked").select("x", "y")))
-    labels = components(links, "x", "y")
+    labels = components(links, "x", "y") if not every_link else labels
 
     inside = near.filter("gap <= 2 * (nx div 4)")
     far = saved(near.filter("gap > 2 * (nx div 4)").select("x", "y").union(stars.filter(f"NOT ({close})").select("x", "y")))
-    pairs = saved(_near_pairs(inside).union(_far_pairs(far, inside.filter("gap >= nx div 5"), classes)).distinct()
+    open_pairs = inside.withColumn("linked", F.lit(False)) if every_link else inside
+    pairs = saved(_near_pairs(open_pairs).union(_far_pairs(far, inside.filter("gap >= nx div 5"), classes)).distinct()
                   .withColumnRenamed("x2", "y"))
-    pairs = pairs.join(label("x"), "x", "left").join(label("y"), "y", "left").filter("coalesce(lx, x) <> coalesce(ly, y)").select("x", "y")
+    if not every_link:
+        pairs = pairs.join(label("x"), "x", "left").join(label("y"), "y", "left").filter("coalesce(lx, x) <> coalesce(ly, y)").select("x", "y")
     sizes = classes.select(F.col("cid").alias("x"), F.col("n").alias("nx"), F.struct(*BITS).alias("bx"))
     pairs = pairs.join(sizes, "x").join(sizes.select(F.col("x").alias("y"), F.col("nx").alias("ny"), F.col("bx").alias("by")), "y") \
         .filter(f"{_hamming('bx', 'by')} <= (nx + ny) div 9")
@@ -310,7 +319,11 @@ def jaccard_components(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     extra = saved(texts.join(saved(lists), RID, "left_semi").select(RID, "text").mapInArrow(_shingle_lists, SHINGLE_ROWS)
                   .withColumnRenamed(RID, "cid"))
     found = _deltas(pairs, whole.union(extra)).withColumn("gap", F.size("delta")).filter(_linked(PERCENT)).select("x", "y")
-    links = saved(links.union(found))
+    if every_link:
+        links = links.union(_sure_pairs(inside)).union(found)
+        links = saved(links.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct())
+    else:
+        links = saved(links.union(found))
 
     named = components(links, "x", "y").select(F.col("node").alias("cid"), "component")
     rows = sets.select(RID, "doc_id", "n", "h1", "h2").join(classes.select("h1", "h2", "n", "cid"), ["h1", "h2", "n"], "left") \
@@ -320,6 +333,17 @@ def jaccard_components(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     return saved(rows), links
 
 
+def near_duplicate_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The join itself: (documents, links).  Each row has its row id, doc_id, n_shingles and
+    class_id, the row id of the first document with an equal set (null for an empty one);
+    rows of a class link with each other.  ``links`` has every linked pair of different
+    classes once, class_a < class_b.  Its size is that of the answer, so it grows with the
+    square of a family of different near copies."""
+    rows, links = jaccard_components(docs, every_link=True)
+    return (rows.select(RID, "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("cid")).alias("class_id")),
+            links.select(F.col("x").alias("class_a"), F.col("y").alias("class_b")))
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, n_component
     (rows of the component)."""
