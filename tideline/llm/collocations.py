@@ -32,6 +32,7 @@ from __future__ import annotations
 
 from bisect import bisect_left
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -58,9 +59,8 @@ _BREAK[list(b".,;:!?\x0a\x0b\x0c\x0d")] = True
 _WORD = ~_BREAK
 _WORD[[0x20, 0x09]] = False
 
-MACHINE = "words array<binary>, one array<int>, fan array<int>, two array<int>, target array<int>, out array<int>, three array<int>, weight array<long>"
-SHARD = f"lang string, {MACHINE}, heads array<array<binary>>"
-CUT = f"lang string, part int, {MACHINE}"
+SHARD = "lang string, machine binary, heads array<array<binary>>"
+CUT = "lang string, part int, machine binary"
 COUNTED = "lang string, words array<binary>, n long"
 
 
@@ -68,12 +68,16 @@ COUNTED = "lang string, words array<binary>, n long"
 class Paths:
     """Sorted distinct paths: words in byte order, codes from 1 (0: the path ended), counts."""
 
-    def __init__(self, words: list[bytes], c1, c2, c3, n):
+    def __init__(self, words: pa.Array, c1, c2, c3, n):
         self.words, self.c1, self.c2, self.c3, self.n = words, c1, c2, c3, n
 
     def __len__(self):
         return len(self.n)
 
+    @cached_property
+    def names(self) -> list[bytes]:
+        return self.words.to_pylist()
+
     def between(self, lo: int, hi: int) -> Paths:
         """A run of the paths, with the words that it needs."""
         c1, c2, c3 = self.c1[lo:hi], self.c2[lo:hi], self.c3[lo:hi]
@@ -82,27 +86,26 @@ class Paths:
             used[c] = True
         used[0] = True
         code = np.cumsum(used) - 1
-        keep = np.flatnonzero(used)[1:] - 1
-        return Paths([self.words[i] for i in keep], code[c1], code[c2], code[c3], self.n[lo:hi])
+        return Paths(self.words.take(pa.array(np.flatnonzero(used)[1:] - 1)), code[c1], code[c2], code[c3], self.n[lo:hi])
 
     def head(self, i: int) -> list[bytes]:
-        return [self.words[c - 1] for c in (int(self.c1[i]), int(self.c2[i]), int(self.c3[i])) if c]
+        return [self.words[c - 1].as_py() for c in (int(self.c1[i]), int(self.c2[i]), int(self.c3[i])) if c]
 
     def find(self, path: list[bytes]) -> int:
         """Where a path stands, or would stand."""
         lo, hi = 0, len(self)
         for k, c in enumerate((self.c1, self.c2, self.c3)):
             word = path[k] if k < len(path) else None
-            at = bisect_left(self.words, word) if word is not None else -1
+            at = bisect_left(self.names, word) if word is not None else -1
             code = at + 1
             lo, last = lo + int(np.searchsorted(c[lo:hi], code)), lo + int(np.searchsorted(c[lo:hi], code, "right"))
-            if word is not None and (at >= len(self.words) or self.words[at] != word):
+            if word is not None and (at >= len(self.names) or self.names[at] != word):
                 return lo
             hi = last
         return lo
 
 
-def summed(words: list[bytes], c1, c2, c3, n=None) -> Paths:
+def summed(words: pa.Array, c1, c2, c3, n=None) -> Paths:
     """Paths in order, equal ones as one with their counts summed."""
     v = len(words) + 1
     if v ** 3 < 1 << 63:
@@ -122,13 +125,13 @@ def summed(words: list[bytes], c1, c2, c3, n=None) -> Paths:
     return Paths(words, c1[at], c2[at], c3[at], np.asarray(n, np.int64))
 
 
-def coded(values: pa.Array) -> tuple[list[bytes], np.ndarray]:
+def coded(values: pa.Array) -> tuple[pa.Array, np.ndarray]:
     """(words in byte order, code of each value from 1)."""
     d = values.dictionary_encode()
     order = pc.array_sort_indices(d.dictionary)
     rank = np.empty(len(order), np.int64)
     rank[order.to_numpy()] = np.arange(1, len(order) + 1)
-    return d.dictionary.take(order).to_pylist(), rank[d.indices.to_numpy()] if len(values) else np.zeros(0, np.int64)
+    return d.dictionary.take(order), rank[d.indices.to_numpy()] if len(values) else np.zeros(0, np.int64)
 
 
 def built(p: Paths) -> dict:
@@ -143,16 +146,16 @@ def built(p: Paths) -> dict:
     size = np.diff(np.append(at, len(p)))
     target = np.empty(len(at), np.int64)
     single = size == 1
-    arcs = np.stack([p.c3[at[single]], p.n[at[single]]], 1).astype(np.int64) if single.any() else np.zeros((0, 2), np.int64)
-    states, inverse = np.unique(arcs, axis=0, return_inverse=True) if len(arcs) else (arcs, np.zeros(0, np.int64))
-    target[single] = inverse.reshape(-1)
-    out, three, weight = [np.ones(len(states), np.int64)], [states[:, 0]], [states[:, 1]]
+    # a state of one arc is its label and weight
+    only, inverse = np.unique(p.n[at[single]] * (len(p.words) + 1) + p.c3[at[single]], return_inverse=True)
+    target[single] = inverse
+    out, three, weight = [np.ones(len(only), np.int64)], [only % (len(p.words) + 1)], [only // (len(p.words) + 1)]
     register, many = {}, np.flatnonzero(~single)
     for k, i, j in zip(many.tolist(), at[many].tolist(), (at[many] + size[many]).tolist()):
         state = (p.c3[i:j].tobytes(), p.n[i:j].tobytes())
         known = register.get(state)
         if known is None:
-            known = register[state] = len(states) + len(register)
+            known = register[state] = len(only) + len(register)
             out.append([j - i])
             three.append(p.c3[i:j])
             weight.append(p.n[i:j])
@@ -163,6 +166,30 @@ def built(p: Paths) -> dict:
             "out": np.concatenate(out), "three": np.concatenate(three), "weight": np.concatenate(weight)}
 
 
+ARCS = ("one", "fan", "two", "target", "out", "three", "weight")
+
+
+def packed(m: dict) -> bytes:
+    """A transducer as compressed bytes: sizes, words (none holds a blank), arcs byte by byte."""
+    words = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(m["words"])], pa.int32()), m["words"]), b" ")[0].as_py() \
+        if len(m["words"]) else b""
+    planes = [np.asarray(m[f], np.int64).view(np.uint8).reshape(-1, 8).T.tobytes() for f in ARCS]
+    sizes = np.array([len(m["words"]), len(words), *[len(m[f]) for f in ARCS]], np.int64)
+    body = words + b"".join(planes)
+    return sizes.tobytes() + pa.compress(body, codec="zstd", asbytes=True)
+
+
+def unpacked(data: bytes) -> dict:
+    k = 8 * (2 + len(ARCS))
+    n_words, n_bytes, *sizes = np.frombuffer(data[:k], np.int64).tolist()
+    body = pa.decompress(data[k:], n_bytes + 8 * sum(sizes), codec="zstd", asbytes=True)
+    m = {"words": pa.array(body[:n_bytes].split(b" ") if n_words else [], pa.binary())}
+    for f, n in zip(ARCS, sizes):
+        m[f] = np.frombuffer(body, np.uint8, 8 * n, n_bytes).reshape(8, n).T.copy().view(np.int64).reshape(-1)
+        n_bytes += 8 * n
+    return m
+
+
 def expanded(m: dict) -> tuple[np.ndarray, ...]:
     """The paths of a transducer: codes of the three words and weight."""
     out, target = m["out"], m["target"]
@@ -175,7 +202,7 @@ def expanded(m: dict) -> tuple[np.ndarray, ...]:
 
 def united(machines: list[dict]) -> Paths:
     """The union of transducers: weights of equal paths are summed."""
-    lists = [pa.array(m["words"], pa.binary()) for m in machines]
+    lists = [m["words"] for m in machines]
     words, code = coded(pa.concat_arrays(lists) if lists else pa.array([], pa.binary()))
     parts, base = [], 0
     for m, w in zip(machines, lists):
@@ -212,6 +239,7 @@ def _shard(data: np.ndarray, offsets: np.ndarray, langs: np.ndarray, names: list
     kind = pa.binary() if at.dtype == np.int32 else pa.large_binary()
     values = pa.Array.from_buffers(kind, len(starts), [None, pa.py_buffer(at), pa.py_buffer(C.LOWER[data[_WORD[data]]])])
     words, code = coded(values)
+    words = words.cast(pa.binary())
     piece = np.cumsum(_BREAK[data])[starts]
     on = np.zeros(len(starts) + 2, bool)
     on[:len(starts) - 1] = (rows[1:] == rows[:-1]) & (piece[1:] == piece[:-1])
@@ -233,26 +261,15 @@ def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for bytes_, at, rows in _segments(data, offsets):
                 for lang, p in _shard(bytes_, at, codes[i:j][rows], names):
                     heads = [p.head(k) for k in range(HEAD // 2, len(p), HEAD)]
-                    yield _emit(_SHARD_ARROW, lang=lang, heads=heads, **built(p))
+                    yield _emit(_SHARD_ARROW, lang=lang, heads=heads, machine=packed(built(p)))
 
 
 def _emit(schema: pa.Schema, **row) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([row[f.name]], f.type) for f in schema], schema=schema)
 
 
-_INTS, _WORDS = pa.list_(pa.int32()), pa.list_(pa.binary())
-_MACHINE_ARROW = [("words", _WORDS), ("one", _INTS), ("fan", _INTS), ("two", _INTS), ("target", _INTS), ("out", _INTS),
-                  ("three", _INTS), ("weight", pa.list_(pa.int64()))]
-_SHARD_ARROW = pa.schema([("lang", pa.string()), *_MACHINE_ARROW, ("heads", pa.list_(_WORDS))])
-_CUT_ARROW = pa.schema([("lang", pa.string()), ("part", pa.int32()), *_MACHINE_ARROW])
-
-
-def _machine(batch: pa.RecordBatch | pa.Table, row: int) -> dict:
-    out = {}
-    for f in ("words", "one", "fan", "two", "target", "out", "three", "weight"):
-        values = batch.column(f)[row].values
-        out[f] = values if f == "words" else values.to_numpy().astype(np.int64)
-    return out
+_SHARD_ARROW = pa.schema([("lang", pa.string()), ("machine", pa.binary()), ("heads", pa.list_(pa.list_(pa.binary())))])
+_CUT_ARROW = pa.schema([("lang", pa.string()), ("part", pa.int32()), ("machine", pa.binary())])
 
 
 # --------------------------------------------------------------------- union
@@ -263,19 +280,19 @@ def _cutter(bounds: dict[str, list[tuple[int, list[bytes]]]], firsts: dict[str,
         for batch in batches:
             for r in range(batch.num_rows):
                 lang = batch.column("lang")[r].as_py()
-                m = _machine(batch, r)
-                p = Paths(m["words"].to_pylist(), *expanded(m))
+                m = unpacked(batch.column("machine")[r].as_py())
+                p = Paths(m["words"], *expanded(m))
                 mine = bounds.get(lang, [])
                 at = [0, *[p.find(b) for b in mine], len(p)]
                 for k, (lo, hi) in enumerate(zip(at, at[1:])):
                     if hi > lo:
-                        yield _emit(_CUT_ARROW, lang=lang, part=firsts[lang] + k, **built(p.between(lo, hi)))
+                        yield _emit(_CUT_ARROW, lang=lang, part=firsts[lang] + k, machine=packed(built(p.between(lo, hi))))
     return cut
 
 
 def _unite(least: int):
     def unite(table: pa.Table) -> pa.Table:
-        p = united([_machine(table, r) for r in range(table.num_rows)])
+        p = united([unpacked(x.as_py()) for x in table.column("machine")])
         rows, n = [[]], [int(p.n.sum())]
         for k in (1, 2, 3):
             cs = [p.c1, p.c2, p.c3][:k]
@@ -290,7 +307,7 @@ def _unite(least: int):
                 want[[0, -1]] = True
             want &= cs[-1][at] > 0
             for i, c in zip(at[want].tolist(), count[want].tolist()):
-                rows.append([p.words[x[i] - 1] for x in cs])
+                rows.append([p.names[x[i] - 1] for x in cs])
                 n.append(c)
         lang = table.column("lang")[0].as_py()
         return pa.table({"lang": pa.array([lang] * len(n), pa.string()), "words": pa.array(rows, pa.list_(pa.binary())),
