@@ -4,9 +4,11 @@ inside Arrow tasks."""
 
 from __future__ import annotations
 
+import atexit
 import re
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import lru_cache
 
 import numpy as np
@@ -34,15 +36,69 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def saved(df: DataFrame) -> DataFrame:
+# Folders of ``saved`` tables: those of the open scope, and all others of this process.
+_FOLDERS: list[list[str]] = [[]]
+
+
+def _delete(jvm, conf, paths: list[str]) -> None:
+    for p in paths:
+        folder = jvm.org.apache.hadoop.fs.Path(p)
+        folder.getFileSystem(conf).delete(folder, True)
+    paths.clear()
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession):
+    """Removes the tables that ``saved`` writes inside, also on failure: write the results
+    that read them before it ends.  Outside any scope they stay until Python exits."""
+    _FOLDERS.append([])
+    try:
+        yield
+    finally:
+        _delete(spark._jvm, spark._jsc.hadoopConfiguration(), _FOLDERS.pop())
+
+
+def _delete_at_exit(jvm, conf) -> None:
+    try:
+        for paths in _FOLDERS:
+            _delete(jvm, conf, paths)
+    except Exception:  # the JVM has gone first: the folders stay
+        pass
+
+
+def saved(df: DataFrame, *partition_by: str) -> DataFrame:
     """The rows of ``df`` written as a table below the shared checkpoint folder
     and read again: a lineage cut that outlives any executor."""
     spark = df.sparkSession
     path = scratch_path(spark, f"tideline-llm-{uuid.uuid4().hex}")
-    df.write.parquet(path)
+    if not any(_FOLDERS):
+        atexit.unregister(_delete_at_exit)
+        atexit.register(_delete_at_exit, spark._jvm, spark._jsc.hadoopConfiguration())
+    _FOLDERS[-1].append(path)
+    df.write.partitionBy(*partition_by).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Bits of a map-side bitmap at the most (16 MB).
+MOST_BITS = 1 << 27
+
+
+def met_map_side(rows: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """``rows`` without most of those whose ``key`` is not in ``keys``: a bitmap of key hashes
+    (64 bits a key, ``MOST_BITS`` at the most) is broadcast, so rows leave before a
+    shuffle.  Some that don't belong stay; a join must follow."""
+    bits = 1 << 15
+    n = keys.count()
+    while bits < MOST_BITS and bits < 64 * n:
+        bits <<= 1
+    slot = F.pmod(F.xxhash64(key), F.lit(bits))
+    held = F.expr("bitmap_construct_agg(_tl_slot % 32768)").alias("_tl_map")
+    maps = keys.select(slot.alias("_tl_slot")).groupBy(F.expr("_tl_slot div 32768").alias("_tl_bucket")).agg(held)
+    byte = F.expr("cast(conv(hex(substring(_tl_map, cast(_tl_slot % 32768 div 8 + 1 as int), 1)), 16, 10) as int)")
+    met = rows.withColumn("_tl_slot", slot).withColumn("_tl_bucket", F.expr("_tl_slot div 32768")).join(F.broadcast(maps), "_tl_bucket")
+    return met.filter(F.getbit(byte, (F.col("_tl_slot") % 8).cast("int")) == 1).drop("_tl_slot", "_tl_bucket", "_tl_map")
+
+
 _MOVING = re.compile(r"\b(Join|Aggregate|Repartition\w*|Sort|Window|Limit|Sample|Union|Distinct|"
                      r"Deduplicate|Generate|MapIn\w+|Rebalance\w*|LogicalRDD)\b")
 

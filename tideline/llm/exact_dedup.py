@@ -12,10 +12,12 @@ equal texts the smallest doc_id stays, a null doc_id after all others, and of
 rows with equal doc_id one; an empty table gives an empty result; other columns
 are never read.
 
-Scale: the first level counts digits with map-side combining and moves each
-text once; texts whose first bytes are unique leave there.  A hot digit (a
-shared first line, a group of copies) is one row in the counts, and the join
-back is a plain sort-merge join whose skewed partitions AQE splits.
+Scale: the first level moves only the first bytes of each text.  A text goes on
+only when another shares them: those texts are picked out map-side by a bitmap of
+fixed size and by row id, cut once into the digits of all levels, and each level
+reads its own digit alone.  A hot digit (a shared first line, a group of copies) is
+one row in the counts, and the join back is a plain sort-merge join of two saved
+tables, whose skewed partitions AQE splits.
 """
 
 from __future__ import annotations
@@ -23,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tideline.llm.common import RID, SPACE, saved, text_or_empty, with_rid
+from tideline.llm.common import RID, SPACE, met_map_side, saved, text_or_empty, with_rid
 
 FIRST_DIGIT = 64
 GROWTH = 4
@@ -34,31 +36,41 @@ def folded(text: Column) -> Column:
     return F.regexp_replace(text, SPACE, " ")
 
 
+def _digits(texts: DataFrame, first_digit: int, growth: int) -> DataFrame:
+    """Texts (row id, bytes, size) cut into the digits after the first: row id, level, digit."""
+    starts, widths = [first_digit], []
+    while starts[-1] < 1 << 31:
+        widths.append(first_digit * growth ** len(starts))
+        starts.append(starts[-1] + widths[-1])
+    start, width = (F.array(*[F.lit(x) for x in v]) for v in (starts[:-1], widths))
+    levels = F.filter(F.sequence(F.lit(0), F.lit(len(widths) - 1)), lambda k: F.get(start, k) < F.col("size"))
+    return texts.select(RID, "bytes", F.explode(levels).alias("level")).select(
+        RID, "level", F.substring("bytes", (F.get(start, F.col("level")) + 1).cast("int"), F.get(width, F.col("level")).cast("int")).alias("digit"))
+
+
 def radix_groups(docs: DataFrame, first_digit: int = FIRST_DIGIT, growth: int = GROWTH) -> tuple[DataFrame, DataFrame]:
     """(rows, copies): every row with its id, doc_id and SHA-256; and for rows with
     an equal text elsewhere their group, its size and the row that stays."""
     texts = with_rid(docs, ["doc_id", "text"]).select(
         RID, "doc_id", folded(text_or_empty()).cast("binary").alias("bytes"))
-    digit = F.substring("bytes", 1, first_digit)
+    heads = saved(texts.select(RID, "doc_id", F.sha2("bytes", 256).alias("text_sha256"), F.octet_length("bytes").cast("long").alias("size"),
+                               F.substring("bytes", 1, first_digit).alias("digit")))
+    rows = heads.select(RID, "doc_id", "text_sha256")
     # saved tables as join sides: a hot digit or group is then a plain shuffle, which AQE splits
-    shared = saved(texts.groupBy(digit.alias("digit")).agg(F.count("*").alias("n")).filter("n > 1"))
-    level = saved(texts.withColumn("digit", digit).join(shared, "digit", "left").select(
-        RID, "doc_id", F.sha2("bytes", 256).alias("text_sha256"), F.lit(0).cast("long").alias("gid"),
-        F.when(F.col("n").isNotNull(), F.col("bytes")).alias("rest")))
-    rows = level.select(RID, "doc_id", "text_sha256")
-    ended = []
-    width = first_digit * growth
-    while True:
-        active = level.filter("rest IS NOT NULL").select(RID, "doc_id", "gid", "rest") \
-            .withColumn("digit", F.substring("rest", 1, width))
-        groups = saved(active.groupBy("gid", "digit").agg(F.count("*").alias("n"), F.min(RID).alias("new")).filter("n > 1"))
-        level = saved(active.join(groups, ["gid", "digit"]).select(
-            RID, "doc_id", F.col("new").alias("gid"),
-            F.when(F.length("digit") == width, F.expr(f"substring(rest, {width + 1})")).alias("rest")))
-        ended.append(level.filter("rest IS NULL").select(RID, "doc_id", "gid"))
-        if not level.filter("rest IS NOT NULL").limit(1).count():
-            break
-        width *= growth
+    shared = saved(heads.groupBy("digit").agg(F.count("*").alias("n"), F.min(RID).alias("gid")).filter("n > 1").drop("n"))
+    level = saved(heads.join(shared, "digit").select(RID, "doc_id", "gid", "size"))
+    end, width, k = first_digit, first_digit * growth, 0
+    ended = [level.filter(F.col("size") <= end).select(RID, "doc_id", "gid")]
+    going = level.filter(F.col("size") > end)
+    longer = texts.select(RID, "bytes", F.octet_length("bytes").alias("size")).filter(F.col("size") > first_digit)
+    digits = saved(_digits(met_map_side(longer, going, RID).join(going.select(RID), RID), first_digit, growth), "level")
+    while going.limit(1).count():
+        now = saved(digits.filter(F.col("level") == k).select(RID, "digit").join(going, RID))
+        groups = saved(now.groupBy("gid", "digit").agg(F.count("*").alias("n"), F.min(RID).alias("new")).filter("n > 1").drop("n"))
+        level = saved(now.join(groups, ["gid", "digit"]).select(RID, "doc_id", F.col("new").alias("gid"), "size"))
+        end, width, k = end + width, width * growth, k + 1
+        ended.append(level.filter(F.col("size") <= end).select(RID, "doc_id", "gid"))
+        going = level.filter(F.col("size") > end)
     equal = ended[0]
     for more in ended[1:]:
         equal = equal.union(more)
