@@ -18,8 +18,8 @@ a null label or doc_id is not learned from and a null doc_id is not held out;
 equal cosines are ordered by example; repeated rows are scored alike.  A term that no
 example holds has no weight.
 
-Scale: the sample (``MAX_EXAMPLES`` labels, the first by hash) bounds everything that
-is broadcast.  The corpus is read twice, for document frequencies (one row per term
+Scale: the sample (``MAX_EXAMPLES`` labels, the first by hash, as far as ``MAX_TERMS``
+terms go) bounds everything that is broadcast, in rows and in bytes.  The corpus is read twice, for document frequencies (one row per term
 and task moves) and for scores; nothing else of it moves.
 """
 
@@ -32,11 +32,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tideline.llm import common as C
 from tideline.llm.common import RID, saved, with_rid
 
 MAX_EXAMPLES = 20_000
+#: Terms of all examples together (a term counts once for each example that holds it); an
+#: example of more than a hundredth of them is not taken.
+MAX_TERMS = 3_000_000
 K = 15
 #: Terms that a larger share of the examples holds are columns of the dense matrix.
 WIDE = 0.06
@@ -81,6 +85,18 @@ def _presence(batches):
                  pa.array(np.bincount(back, 1 - y, len(names)).astype(np.int64))], names=["term", "n1", "n0"])
 
 
+def _sizes(batches):
+    """How many distinct terms each document holds."""
+    for batch in batches:
+        for i, n, row, term in _terms(batch.column("text")):
+            order = np.lexsort((term, row))
+            r, t = row[order], term[order]
+            once = np.ones(len(r), bool)
+            once[1:] = (r[1:] != r[:-1]) | (t[1:] != t[:-1])
+            yield pa.RecordBatch.from_arrays([batch.column(RID).slice(i, n), batch.column("doc_id").slice(i, n),
+                                              pa.array(np.bincount(r[once], minlength=n).astype(np.int64))], names=[RID, "doc_id", "n"])
+
+
 def _counts(vocabulary: np.ndarray, extra: list[str]):
     """Per document the numbers (places in the sorted vocabulary) and counts of its terms."""
     def rows(batches):
@@ -219,19 +235,6 @@ class BlockMaxIndex:
         return found[best], np.minimum(c[best], 1.0)
 
 
-class Weights:
-    """TF-IDF weights by place, from the counts when they are asked for: counts are small."""
-
-    def __init__(self, ids: np.ndarray, counts: np.ndarray, idf: np.ndarray):
-        self.ids, self.counts, self.idf = ids, counts, idf
-        self.tf = 1 + np.log(np.arange(1, 1 << 12, dtype=np.float64))
-
-    def __getitem__(self, places):
-        c = self.counts[places]
-        tf = self.tf[c - 1] if c.max(initial=0) <= len(self.tf) else 1 + np.log(c.astype(np.float64))
-        return tf * self.idf[self.ids[places]]
-
-
 def weigh(ids, counts, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Unit TF-IDF vector."""
     ids = np.asarray(ids, np.int64)
@@ -239,6 +242,14 @@ def weigh(ids, counts, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return ids, w / np.sqrt((w * w).sum()) if len(w) else w
 
 
+def closeness(cosines: np.ndarray, k: int) -> np.ndarray:
+    """Weights of neighbours by distance (Dudani): 1 for the nearest, falling to 0 for the
+    k-th; with fewer than ``k`` neighbours to 0 at cosine 0."""
+    low = cosines[-1] if len(cosines) == k else 0.0
+    high = cosines[0]
+    return np.ones(len(cosines)) if high <= low else (cosines - low) / (high - low)
+
+
 class Model:
     """What tasks receive: the examples' terms and counts, bounded by MAX_EXAMPLES.
     Each worker builds its index once."""
@@ -263,8 +274,8 @@ class Model:
         if self._index is None:
             one_thread()
             self._index = BlockMaxIndex.__new__(BlockMaxIndex)
-            values = Weights(self.ids, self.counts, self.weight)
-            norms = (np.sqrt((values[np.arange(a, b)] ** 2).sum()) for a, b in zip(self.at[:-1], self.at[1:]))
+            values = (1 + np.log(self.counts.astype(np.float64))) * self.weight[self.ids]
+            norms = (np.sqrt((values[a:b] ** 2).sum()) for a, b in zip(self.at[:-1], self.at[1:]))
             self._index.fill(self.at, self.ids, values, np.fromiter(norms, np.float64, len(self.doc)), len(self.weight))
         return self._index
 
@@ -275,7 +286,7 @@ class Model:
             if not len(e):
                 yield self.rate_empty, []
                 continue
-            w = 1 / (1.05 - c)  # the closer, the more
+            w = closeness(c, K)
             yield float((w @ self.toxic[e] + self.rate) / (w.sum() + 1)), list(zip(e.tolist(), c.tolist()))
 
     def calibrate(self, bins):
@@ -346,7 +357,7 @@ def term_factors(held, n1: float, n0: float) -> np.ndarray:
     return 1 + chi / (2 * np.log(max(len(a), 1)) + 1)
 
 
-def toxicity(docs: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLES) -> DataFrame:
+def toxicity(docs: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLES, max_terms: int = MAX_TERMS) -> DataFrame:
     """One row per document: row id, doc_id, held_out, score, predicted, evidence (the
     three nearest examples).  Held-out documents are not learned from."""
     spark = docs.sparkSession
@@ -356,6 +367,9 @@ def toxicity(docs: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLE
         .groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic")) \
         .orderBy(F.md5(F.col("doc_id").cast("string")), "doc_id").limit(max_examples)
     sample = saved(texts.join(F.broadcast(known), "doc_id").select(RID, "doc_id", "toxic", "text"))
+    size = sample.select(RID, "doc_id", "text").mapInArrow(_sizes, f"{RID} long, doc_id long, n long").filter(F.col("n") <= max_terms // 100)
+    so_far = F.sum("n").over(Window.orderBy(F.md5(F.col("doc_id").cast("string")), "doc_id", RID))  # of at most max_examples labels
+    sample = saved(sample.join(size.withColumn("n", so_far).filter(F.col("n") <= max_terms).select(RID), RID))
     n1, n0 = (float(x or 0) for x in sample.select("toxic", "text").distinct().agg(F.sum("toxic"), F.sum(1 - F.col("toxic"))).first())
     held = sample.select("toxic", "text").distinct().mapInArrow(_presence, "term long, n1 long, n0 long") \
         .groupBy("term").agg(F.sum("n1").alias("n1"), F.sum("n0").alias("n0")).toArrow()
