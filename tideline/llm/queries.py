@@ -107,6 +107,46 @@ SELECT doc_id, min(doc_id) OVER (PARTITION BY norm) AS keep_id,
        doc_id = min(doc_id) OVER (PARTITION BY norm) AS kept,
        sha256(norm) AS text_sha256
 FROM t
+""",
+    "op5_ngram_jaccard_join": r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, row_number() OVER () AS id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), s AS (
+  SELECT DISTINCT id, array_to_string(w[i:i + 4], ' ') AS g
+  FROM (SELECT id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM d WHERE len(w) > 0)
+), n AS (
+  SELECT id, count(*) AS n FROM s GROUP BY id
+), pairs AS (
+  SELECT x, y FROM (SELECT a.id AS x, b.id AS y, count(*) AS same FROM s a JOIN s b ON b.g = a.g AND a.id < b.id GROUP BY ALL)
+  JOIN n na ON na.id = x JOIN n nb ON nb.id = y WHERE 100 * same >= 80 * (na.n + nb.n - same)
+), links AS (
+  SELECT x, y FROM pairs UNION ALL SELECT y, x FROM pairs
+), reach AS (
+  SELECT id, id AS other FROM d UNION SELECT reach.id, links.y FROM reach JOIN links ON links.x = reach.other
+)
+SELECT d.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(o.doc_id) AS component_id
+FROM d JOIN reach ON reach.id = d.id JOIN d o ON o.id = reach.other LEFT JOIN n ON n.id = d.id GROUP BY d.id, d.doc_id
+""",
+    "op9_substring_dedup": r"""
+WITH d AS (
+  SELECT doc_id, row_number() OVER () AS id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), windows AS (
+  SELECT id, i, array_to_string(w[i:i + 34], ' ') AS g FROM (SELECT id, w, unnest(range(1, len(w) - 33)) AS i FROM d)
+), repeated AS (
+  SELECT id, i FROM windows JOIN (SELECT g FROM windows GROUP BY g HAVING count(*) > 1) USING (g)
+), gone AS (
+  SELECT DISTINCT id, unnest(range(i, i + 35)) AS p FROM repeated
+), places AS (
+  SELECT id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM d
+), kept AS (
+  SELECT id, string_agg(word, ' ' ORDER BY p) AS text FROM places ANTI JOIN gone USING (id, p) GROUP BY id
+), removed AS (
+  SELECT id, count(*) AS n FROM gone GROUP BY id
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(removed.n, 0) AS n_removed, sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (id) LEFT JOIN removed USING (id)
 """,
     "op7_source_mixing": r"""
 WITH d AS (
