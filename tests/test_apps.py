@@ -50,7 +50,7 @@ def test_capture_to_dimension_to_orders(spark, scratch):
     for q in apps.start(args("orders", "--out", at("wide"), "--provinces", at("prov"), "--users", at("users"), "--as-of", P.AS_OF),
                         spark, topic(M.ORDER_TOPIC), at("ck_orders")):
         run(q)
-    got = IncrementTable(spark, at("wide", "order_wide"), S.ORDER_INFO).read()
+    got = jobs.read_batches(spark, at("wide", "order_wide"), S.ORDER_INFO)
     routed, _ = orders.order_rows(spark.read.parquet(at(M.ORDER_TOPIC)))
     expected = orders.order_wide(routed, want, spark.read.parquet(at("users")), as_of=P.AS_OF)
     assert _wide_rows(got) == _wide_rows(expected) and got.count() == routed.count() > 0
@@ -59,7 +59,7 @@ def test_capture_to_dimension_to_orders(spark, scratch):
 
 def test_three_dimension_batches_then_orders_keep_the_row_count(spark, scratch):
     at = lambda *p: os.path.join(scratch, *p)
-    dim = jobs.dim_batch(VersionedTable(spark, at("prov"), S.BASE_PROVINCE))
+    dim = jobs.dim_batch(jobs.dim_table(spark, at("prov")))
     for i in range(3):
         dim(M.province_messages(M.province_rows(spark, SF_SMALL) if i < 2 else M.province_rows_v2(spark, SF_SMALL)), i)
     M.user_rows(spark, SF_SMALL).write.parquet(at("users"))
@@ -115,7 +115,7 @@ def test_rejects_of_the_dau_and_dimension_apps(spark, scratch):
     want = QUERIES["start_log_rejects"](spark, SF_SMALL)
     assert sorted((r.partition, r.offset, r.reason) for r in bad.collect()) == sorted((r.partition, r.offset, r.reason) for r in want.collect())
     assert bad.where("value IS NULL").count() == 0
-    t = VersionedTable(spark, at("prov"), S.BASE_PROVINCE)
+    t = jobs.dim_table(spark, at("prov"))
     rej = jobs.rejects_table(spark, at("prov_rejects"))
     msgs = spark.createDataFrame([("t", 0, 0, None, '{"id":"7","name":"a"}'), ("t", 0, 1, None, '{"name":"b"}'), ("t", 0, 2, None, "not json")], S.MESSAGE)
     jobs.dim_batch(t, rej)(msgs, 0)

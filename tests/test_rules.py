@@ -249,15 +249,14 @@ def test_array_dialect_with_object_rules(spark):
 
 def test_empty_batches_write_nothing(spark, tmp_path):
     from tideline.streaming import jobs
-    from tideline.streaming.table import IncrementTable, VersionedTable
+    from tideline.streaming.table import IncrementTable
     empty = spark.createDataFrame([], S.MESSAGE)
     state = IncrementTable(spark, str(tmp_path / "st"), S.USER_STATE)
     out = IncrementTable(spark, str(tmp_path / "out"), S.ORDER_INFO)
     jobs.order_batch(spark, state, out, lambda: None, lambda: None)(empty, 0)
     assert out.read().count() == 0 and not (tmp_path / "out").exists()
-    dim = VersionedTable(spark, str(tmp_path / "dim"), S.BASE_PROVINCE)
-    jobs.dim_batch(dim)(empty, 0)
-    assert dim.committed_before() is None
+    jobs.dim_batch(jobs.dim_table(spark, str(tmp_path / "dim")))(empty, 0)
+    assert not (tmp_path / "dim").exists()
     dau_tbl = IncrementTable(spark, str(tmp_path / "dau"), S.DAU_INFO, partition_by=["dt"])
     jobs.dau_exact_batch(spark, dau_tbl)(msgs(spark, ["{bad"]), 0)
     assert not (tmp_path / "dau").exists()

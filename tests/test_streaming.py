@@ -11,7 +11,7 @@ from tideline.plans.queries import QUERIES
 from tideline.sources import messages as M
 from tideline.streaming import jobs
 from tideline.streaming.io import message_file_stream, MESSAGE_COLUMNS
-from tideline.streaming.table import IncrementTable, VersionedTable
+from tideline.streaming.table import IncrementTable, current
 from conftest import SF_MID, SF_SMALL
 
 AVAILABLE_NOW = {"availableNow": True}
@@ -146,7 +146,7 @@ def test_dimension_stream_upserts(spark, scratch):
     root = os.path.join(scratch, "dim")
     run(jobs.start_dim(spark, message_file_stream(spark, path), root, os.path.join(scratch, "ck_d"),
                        AVAILABLE_NOW))
-    got = VersionedTable(spark, root, S.BASE_PROVINCE).read()
+    got = current(spark, root, S.BASE_PROVINCE)
     expected = QUERIES["dim_upsert"](spark, SF_SMALL)
     assert sorted(got.collect()) == sorted(expected.collect())
 

@@ -1,6 +1,6 @@
 """Run the streaming apps against Kafka topics.
 
-    python -m tideline.apps dau    --bootstrap H:9092 --out /warehouse/dau [--form exact|watermark|ttl]
+    python -m tideline.apps dau    --bootstrap H:9092 --out /warehouse/dau [--form exact|day|watermark|ttl]
     python -m tideline.apps orders --bootstrap H:9092 --out /warehouse/orders \\
                                    --provinces /warehouse/dim/province --users /warehouse/dim/user
     python -m tideline.apps cdc    --bootstrap H:9092 --out /warehouse/ods [--dialect object|array]
@@ -14,10 +14,12 @@ from __future__ import annotations
 
 import argparse
 
+from tideline.functions import schemas as S
 from tideline.session import build_session, scratch_path
 from tideline.sources import messages as M
-from tideline.streaming import jobs
+from tideline.streaming import jobs, metrics
 from tideline.streaming.io import console_sink, kafka_batch_writer, kafka_stream
+from tideline.streaming.state import use_state_store
 
 TOPICS = {"dau": M.START_TOPIC, "orders": M.ORDER_TOPIC, "dim": M.PROVINCE_TOPIC,
           "cdc:object": M.CDC_OBJECT_TOPIC, "cdc:array": M.CDC_ARRAY_TOPIC}
@@ -37,8 +39,13 @@ def parser() -> argparse.ArgumentParser:
     ap.add_argument("--gender-rule", choices=["standard", "swapped"], default="standard")
     ap.add_argument("--rejects", help="folder for messages that can't be used (default: <out>_rejects)")
     ap.add_argument("--print", action="store_true", dest="show", help="print the decoded messages instead of running the app")
-    ap.add_argument("--form", choices=["watermark", "exact", "ttl"], default="exact",
-                    help="dau: exact keeps late events, the other two forget them after 7 days")
+    ap.add_argument("--form", choices=["watermark", "exact", "ttl", "day"], default="exact",
+                    help="dau: exact keeps all devices, day forgets a day 7 days after its last event (state store), "
+                         "ttl a device 7 days after its last event, watermark drops events older than 7 days")
+    ap.add_argument("--metrics", help="folder for the counts and offsets of each batch (default: <out>_metrics)")
+    ap.add_argument("--index", help="dau, exact form: folder of the index by processing day (default: <out>_index)")
+    ap.add_argument("--run-date", help="dau: processing day yyyyMMdd of the index (default: the day a batch runs)")
+    ap.add_argument("--user-state", help="orders: a user-state table that a new checkpoint starts from")
     ap.add_argument("--dialect", choices=["object", "array"], default="object")
     ap.add_argument("--provinces")
     ap.add_argument("--users")
@@ -47,34 +54,47 @@ def parser() -> argparse.ArgumentParser:
     return ap
 
 
-def saved_rows(output: str, batch_id: int, rows: int) -> None:
-    """A3: report how many rows a batch saved."""
-    print(f"{output}: batch {batch_id} saved {rows} rows", flush=True)
+def start(a: argparse.Namespace, spark, msgs, checkpoint: str) -> list:
+    """The app's queries over ``msgs``.  What each batch read and saved goes to the metrics
+    folder (A2, A3, S6)."""
+    folder = a.metrics or a.out.rstrip("/") + "_metrics"
 
+    def saved_rows(output: str, batch_id: int, rows: int) -> None:
+        metrics.saved_rows(spark, folder, spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "none", batch_id, output, rows)
 
-def start(a: argparse.Namespace, spark, msgs, checkpoint: str) -> list:
-    """The app's queries over ``msgs``."""
+    listener = metrics.BatchListener(spark, folder)
+    spark.streams.addListener(listener)
+    try:
+        return _start(a, spark, msgs, checkpoint, saved_rows)
+    finally:
+        listener.open = False
+
+
+def _start(a: argparse.Namespace, spark, msgs, checkpoint: str, saved_rows) -> list:
     trig = {"processingTime": f"{a.trigger_seconds} seconds"} if a.trigger_seconds else {"availableNow": True}
     rejects = a.rejects or a.out.rstrip("/") + "_rejects"
     if a.show:
         return [console_sink(msgs, checkpoint, trig)]
     if a.app == "dau":
-        if a.form == "watermark":
-            return [jobs.start_dau_watermark(msgs, a.out, checkpoint, trig)]
         if a.form == "exact":
-            return [jobs.start_dau_exact(spark, msgs, a.out, checkpoint, trig, rejects=rejects, saved=saved_rows)]
+            return [jobs.start_dau_exact(spark, msgs, a.out, checkpoint, trig, rejects=rejects, saved=saved_rows,
+                                         index=a.index or a.out.rstrip("/") + "_index", run_date=a.run_date)]
+        if a.form == "day":
+            return [jobs.start_dau_by_day(spark, msgs, a.out, checkpoint, trig, rejects=rejects, saved=saved_rows)]
+        bad = jobs.start_dau_rejects(msgs, rejects, checkpoint + "-rejects", trig)
+        if a.form == "watermark":
+            return [jobs.start_dau_watermark(msgs, a.out, checkpoint, trig), bad]
         from tideline.streaming.dau_state import dau_ttl_stream
-        # transformWithState needs the RocksDB state store (set before the query starts).
-        spark.conf.set("spark.sql.streaming.stateStore.providerClass",
-                       "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+        use_state_store(spark)
         return [dau_ttl_stream(msgs).writeStream.format("parquet").option("path", a.out)
-                .option("checkpointLocation", checkpoint).partitionBy("dt").trigger(**trig).start()]
+                .option("checkpointLocation", checkpoint).partitionBy("dt").trigger(**trig).start(), bad]
     if a.app == "orders":
         extra = {}
         if a.publish:
             extra["sink"] = jobs.publish_wide_orders(kafka_batch_writer(a.bootstrap), M.WIDE_ORDER_TOPIC)
-        return [jobs.start_orders(spark, msgs, a.out, checkpoint, a.provinces, a.users, trig, as_of=a.as_of,
-                                  gender_rule=a.gender_rule, saved=saved_rows, **extra)]
+        seed = spark.read.schema(S.USER_STATE).parquet(a.user_state) if a.user_state else None
+        return [jobs.start_stateful_orders(spark, msgs, a.out, checkpoint, a.provinces, a.users, trig, seed=seed, as_of=a.as_of,
+                                           gender_rule=a.gender_rule, saved=saved_rows, **extra)]
     if a.app == "cdc":
         return [jobs.start_cdc_route(msgs, a.out, checkpoint, a.dialect, trig, kafka_bootstrap=a.bootstrap if a.publish else None),
                 jobs.start_cdc_rejects(msgs, rejects, checkpoint + "-rejects", a.dialect, trig)]

@@ -95,6 +95,24 @@ def first_order_flags(orders: DataFrame, state: DataFrame | None = None) -> Data
     return apply_flags(orders, batch_winners(orders, state))
 
 
+def flags_of_firsts(orders: DataFrame, firsts: DataFrame) -> DataFrame:
+    """The final flag from each user's first order (``streaming.state.first_orders``): of
+    the copies of that order in the batch the earliest is flagged '1' (Q5).  (user_id, id)
+    is a near-unique key, so no user's rows meet in one task."""
+    copies = orders.select("user_id", *FIRST_ORDER).join(
+        firsts.select("user_id", F.col("first_order_id").alias("id")), ["user_id", "id"])
+    earliest = copies.groupBy("user_id", "id").agg(F.min(F.struct(*FIRST_ORDER)).alias("w"))
+    return apply_flags(orders, earliest.select(*[F.col(f"w.{c}").alias(f"w_{c}") for c in COORDS]))
+
+
+def state_flags_of_firsts(orders: DataFrame, firsts: DataFrame) -> DataFrame:
+    """J1 from the same rows: '0' when the user had consumed before the batch and the
+    order is not the recorded first one, else '1'."""
+    before = firsts.where("consumed").select(F.col("user_id").cast("string").alias("user_id"), F.lit("1").alias("if_consumed"),
+                                             "first_order_id")
+    return state_flag(orders, before)
+
+
 def state_updates(flagged: DataFrame) -> DataFrame:
     """F5 + P12: state rows of the users whose first order is in the batch."""
     return flagged.where(F.col("if_first_order") == "1").select(

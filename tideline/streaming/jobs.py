@@ -11,14 +11,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tideline.functions import schemas as S
 from tideline.operators import cdc, dau, offsets, orders
 from tideline.operators.parse import parse_orders, parse_province, parse_start_log, split_valid
-from tideline.operators.upsert import keyed_upsert
-from tideline.session import release
+from tideline.streaming.buckets import BucketTable
+from tideline.streaming.dau_state import SEEN_TTL_MS
 from tideline.streaming.io import kafka_sink
-from tideline.streaming.table import IncrementTable, VersionedTable, current
+from tideline.streaming.metrics import counted_write
+from tideline.streaming.state import day_launches, first_orders, use_state_store
+from tideline.streaming.table import IncrementTable, VersionedTable, current, exists
 
 DAU_SCHEMA = S.DAU_INFO
 DEFAULT_TRIGGER = {"processingTime": "5 seconds"}  # T4
@@ -76,16 +79,28 @@ def start_dau_watermark(msgs: DataFrame, root: str, checkpoint: str, trigger: di
     return _start(w, trigger)
 
 
+def start_dau_rejects(msgs: DataFrame, root: str, checkpoint: str, trigger: dict | None = None):
+    """Append the start messages that have no device or time, with the reason, to ``root``
+    (beside a form whose sink takes launches only)."""
+    w = (dau.start_rows(msgs)[1].writeStream.format("parquet").outputMode("append")
+         .option("path", root).option("checkpointLocation", checkpoint))
+    return _start(w, trigger)
+
+
 def dau_exact_batch(spark: SparkSession, table: IncrementTable,
                     compact_every: int | None = None, rejects: IncrementTable | None = None,
-                    saved: Saved | None = None) -> Callable[[DataFrame, int], None]:
+                    saved: Saved | None = None, index: BucketTable | None = None,
+                    run_date: str | None = None) -> Callable[[DataFrame, int], None]:
     """T1, exact form: inside each micro-batch keep the first arrival per
     (dt, mid) by (ts, offset, partition), then drop keys already written by
     earlier batches (J4); the written increments are the seen-set.
 
     Only the days present in the batch are read back (partition pruning on
     ``dt``); every ``compact_every`` batches the increments are folded into a
-    snapshot so the read lists a bounded number of folders."""
+    snapshot so the read lists a bounded number of folders.
+
+    ``index`` (K2, K3): the new launches by the day they were processed, one row per
+    device; ``run_date`` (yyyyMMdd) or the day the batch runs."""
     def run(batch_df: DataFrame, batch_id: int) -> None:
         parsed = parse_start_log(batch_df).persist()
         good, bad = split_valid(parsed)
@@ -95,10 +110,13 @@ def dau_exact_batch(spark: SparkSession, table: IncrementTable,
             seen = table.read(before=batch_id).select(*dau.DAU_KEY)
             seen = seen.where(F.col("dt").isin(days)) if len(days) <= PRUNED_DAYS else \
                 seen.join(firsts.select("dt").distinct(), "dt", "left_semi")
-            new = firsts.join(seen, dau.DAU_KEY, "left_anti").select(*dau.DAU_COLUMNS).persist()
-            table.write(new, batch_id)
+            new = firsts.join(seen, dau.DAU_KEY, "left_anti").persist()
+            rows = table.write(new, batch_id)
+            if index is not None:
+                day = F.lit(run_date) if run_date else F.date_format(F.current_date(), "yyyyMMdd")
+                index.upsert(new.withColumn("run_date", day), run_id(batch_df), batch_id, order=dau.ARRIVAL)
             if saved is not None:
-                saved("dau", batch_id, new.count())
+                saved("dau", batch_id, rows)
             new.unpersist()
         write_rejects(rejects, bad, batch_id)
         firsts.unpersist()
@@ -107,12 +125,25 @@ def dau_exact_batch(spark: SparkSession, table: IncrementTable,
     return run
 
 
+def index_table(spark: SparkSession, root: str) -> BucketTable:
+    schema = T.StructType([*DAU_SCHEMA.fields, T.StructField("run_date", T.StringType())])
+    return BucketTable(spark, root, schema, ["mid"], by=["run_date"])
+
+
+def dau_index(spark: SparkSession, root: str) -> DataFrame:
+    """K2: the index as ``dau.dau_index_by_run_date`` names it."""
+    return index_table(spark, root).read().select(
+        F.concat(F.lit(dau.DAU_INDEX_PREFIX), "run_date").alias("index_name"), *dau.DAU_COLUMNS)
+
+
 def start_dau_exact(spark: SparkSession, msgs: DataFrame, root: str, checkpoint: str,
                     trigger: dict | None = None, compact_every: int = 720, rejects: str | None = None,
-                    saved: Saved | None = None):
+                    saved: Saved | None = None, index: str | None = None, run_date: str | None = None):
+    """``index``: folder of the index by processing day (``run_date``), read with ``dau_index``."""
     table = IncrementTable(spark, root, DAU_SCHEMA, partition_by=["dt"])
     bad = rejects_table(spark, rejects) if rejects else None
-    w = (msgs.writeStream.foreachBatch(dau_exact_batch(spark, table, compact_every, bad, saved))
+    by_day = index_table(spark, index) if index else None
+    w = (msgs.writeStream.foreachBatch(dau_exact_batch(spark, table, compact_every, bad, saved, by_day, run_date))
          .option("checkpointLocation", checkpoint))
     return _start(w, trigger)
 
@@ -150,9 +181,9 @@ def order_batch(spark: SparkSession, state: IncrementTable, output: IncrementTab
         st = state.latest(["user_id"], before=batch_id, only=batch_users)
         wide = orders.order_wide(good, read_provinces(), read_users(), state=st,
                                  as_of=as_of, gender_rule=gender_rule).persist()
-        output.write(wide, batch_id)
+        rows = output.write(wide, batch_id)
         if saved is not None:
-            saved("order_wide", batch_id, wide.count())
+            saved("order_wide", batch_id, rows)
         if sink is not None:  # e.g. Kafka: wide_order_messages(...).write.format("kafka")
             sink(wide, batch_id)
         state.write(orders.state_updates(wide), batch_id)
@@ -181,6 +212,106 @@ def start_orders(spark: SparkSession, msgs: DataFrame, root: str, checkpoint: st
     return _start(w, trigger)
 
 
+# ------------------------------------------- orders and devices in the state store
+def run_id(batch_df: DataFrame) -> str:
+    """The id of the streaming query whose micro-batch runs now: the same after a restart
+    from its checkpoint, another one for a new checkpoint."""
+    return batch_df.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "none"
+
+
+def write_batch(rows: DataFrame, root: str, query: str, batch_id: int) -> int:
+    """A micro-batch's rows in a folder of its own (query id, batch id), and how
+    many there are.  A replay writes the same folder again; a query with a new checkpoint
+    starts folders of its own, so it neither skips nor replaces what is there."""
+    return counted_write(rows, lambda df: df.write.mode("overwrite").parquet(f"{root}/query={query}/batch={int(batch_id)}"))
+
+
+def read_batches(spark: SparkSession, root: str, schema) -> DataFrame:
+    """All rows that ``write_batch`` wrote below ``root``, with ``query`` and ``batch``."""
+    if not exists(spark, root):
+        return spark.createDataFrame([], schema).select("*", F.lit("").alias("query"), F.lit(0).cast("long").alias("batch"))
+    whole = T.StructType([*schema.fields, T.StructField("query", T.StringType()), T.StructField("batch", T.LongType())])
+    return spark.read.schema(whole).option("basePath", root).parquet(root)
+
+
+def _tagged(rows: DataFrame, more: DataFrame, name: str) -> DataFrame:
+    """One stream of two kinds of rows: those of ``more`` are the struct ``name``."""
+    kind = ", ".join(f"{f.name}:{f.dataType.simpleString()}" for f in more.schema.fields)
+    return rows.withColumn(name, F.lit(None).cast(f"struct<{kind}>")).unionByName(
+        more.select(F.struct(*more.columns).alias(name)), allowMissingColumns=True)
+
+
+def orders_with_firsts(msgs: DataFrame, seed: DataFrame | None = None) -> DataFrame:
+    """Parsed order rows (rejects with their reason) and, as the struct ``first``, the
+    first order of each user of the batch from the state store."""
+    parsed = parse_orders(msgs)
+    good, _ = split_valid(parsed)
+    return _tagged(parsed, first_orders(good, seed), "first")
+
+
+def stateful_order_batch(root: str, read_provinces: Callable[[], DataFrame], read_users: Callable[[], DataFrame],
+                         as_of=None, gender_rule: str = "standard",
+                         sink: Callable[[DataFrame, int], None] | None = None,
+                         saved: Saved | None = None) -> Callable[[DataFrame, int], None]:
+    """T2, T3, T5 with the user state in the state store: flag, enrich from freshly read
+    dimensions, write wide orders and rejects.  The state is Spark's: it is committed
+    with the batch, and a replay starts from the version before it."""
+    def run(batch_df: DataFrame, batch_id: int) -> None:
+        kept = batch_df.persist()
+        query, n = run_id(batch_df), kept.count()  # every part of the state store runs once
+        if n:  # F6
+            good, bad = split_valid(kept.where(F.col("first").isNull()).drop("first"))
+            firsts = kept.where(F.col("first").isNotNull()).select("first.*")
+            flagged = orders.flags_of_firsts(good, firsts)
+            wide = orders.enrich_user(orders.enrich_province(flagged, read_provinces()), read_users(), as_of, gender_rule) \
+                .select(*S.ORDER_INFO_COLUMNS).persist()
+            rows = write_batch(wide, f"{root}/order_wide", query, batch_id)
+            if saved is not None:
+                saved("order_wide", batch_id, rows)
+            if sink is not None:
+                sink(wide, batch_id)
+            if not bad.isEmpty():
+                write_batch(bad, f"{root}/rejects", query, batch_id)
+            wide.unpersist()
+        kept.unpersist()
+    return run
+
+
+def start_stateful_orders(spark: SparkSession, msgs: DataFrame, root: str, checkpoint: str, provinces_path: str,
+                          users_path: str, trigger: dict | None = None, seed: DataFrame | None = None, **kw):
+    """The order app.  ``seed`` is the user state that a new checkpoint starts from; what
+    the query stored is read with ``state.user_state(spark, checkpoint)`` (K8)."""
+    use_state_store(spark)
+    body = stateful_order_batch(root, lambda: current(spark, provinces_path, S.BASE_PROVINCE),
+                                lambda: current(spark, users_path, S.USER_INFO), **kw)
+    w = orders_with_firsts(msgs, seed).writeStream.foreachBatch(body).option("checkpointLocation", checkpoint)
+    return _start(w, trigger)
+
+
+def start_dau_by_day(spark: SparkSession, msgs: DataFrame, root: str, checkpoint: str, trigger: dict | None = None,
+                     ttl_ms: int = SEEN_TTL_MS, rejects: str | None = None, saved: Saved | None = None):
+    """T1 with the devices of each day in the state store and one expiry per day.  First
+    launches go to ``root`` by query and batch, messages without a device to ``rejects``."""
+    use_state_store(spark)
+    good, bad = dau.start_rows(msgs)
+    both = _tagged(day_launches(good, ttl_ms), bad, "reject")
+
+    def run(batch_df: DataFrame, batch_id: int) -> None:
+        kept = batch_df.persist()
+        query, n = run_id(batch_df), kept.count()  # every part of the state store runs once
+        if n:
+            new = kept.where(F.col("reject").isNull()).select(*dau.DAU_COLUMNS)
+            wrong = kept.where(F.col("reject").isNotNull()).select("reject.*")
+            rows = 0 if new.isEmpty() else write_batch(new, root, query, batch_id)
+            if saved is not None:
+                saved("dau", batch_id, rows)
+            if rejects and not wrong.isEmpty():
+                write_batch(wrong, rejects, query, batch_id)
+        kept.unpersist()
+
+    return _start(both.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint), trigger)
+
+
 # --------------------------------------------------------------------- CDC
 def start_cdc_route(msgs: DataFrame, root: str, checkpoint: str, dialect: str = "object",
                     trigger: dict | None = None, kafka_bootstrap: str | None = None):
@@ -219,22 +350,25 @@ def publish_wide_orders(write_messages: Callable[[DataFrame], None], topic: str
 
 
 # -------------------------------------------------------------- dimension
-def dim_batch(table: VersionedTable, rejects: IncrementTable | None = None) -> Callable[[DataFrame, int], None]:
-    """K7: upsert province rows by id; within a batch the last message wins."""
+def dim_table(spark: SparkSession, root: str, schema=S.BASE_PROVINCE, parts: int = 16) -> BucketTable:
+    """A dimension by id; ``parts`` grows with its size (a batch rewrites the parts that it touches)."""
+    return BucketTable(spark, root, schema, ["id"], parts)
+
+
+def dim_batch(table: BucketTable, rejects: IncrementTable | None = None, parse=parse_province) -> Callable[[DataFrame, int], None]:
+    """K7: upsert dimension rows by id; within a batch the last message wins."""
     def run(batch_df: DataFrame, batch_id: int) -> None:
-        parsed = parse_province(batch_df).persist()  # the source is read once
+        parsed = parse(batch_df).persist()  # the source is read once
         if not parsed.isEmpty():  # F6
             good, bad = split_valid(parsed)
-            table.commit(keyed_upsert(table.read(before=batch_id), good, ["id"], order=["offset"]), batch_id)
+            table.upsert(good, run_id(batch_df), batch_id, order=["offset"])
             write_rejects(rejects, bad, batch_id)
-        release(batch_df.sparkSession)
         parsed.unpersist()
     return run
 
 
 def start_dim(spark: SparkSession, msgs: DataFrame, root: str, checkpoint: str,
-              trigger: dict | None = None, rejects: str | None = None):
-    table = VersionedTable(spark, root, S.BASE_PROVINCE)
+              trigger: dict | None = None, rejects: str | None = None, parts: int = 16):
     bad = rejects_table(spark, rejects) if rejects else None
-    w = msgs.writeStream.foreachBatch(dim_batch(table, bad)).option("checkpointLocation", checkpoint)
+    w = msgs.writeStream.foreachBatch(dim_batch(dim_table(spark, root, parts=parts), bad)).option("checkpointLocation", checkpoint)
     return _start(w, trigger)

@@ -38,6 +38,19 @@ def complete(spark: SparkSession, path: str) -> bool:
     return exists(spark, os.path.join(path, "_SUCCESS"))
 
 
+def claim(spark: SparkSession, root: str, batch_id: int) -> None:
+    """Note which streaming query writes batch ``batch_id`` below ``root``.  Batch ids start
+    at 0 again with a new checkpoint; such a query must not pass for a replay of the one
+    before it, so a batch that another query wrote is an error."""
+    run = spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "none"
+    fs, folder = _hadoop(spark, os.path.join(root, "_runs", f"batch={int(batch_id)}"))
+    others = [s.getPath().getName() for s in fs.listStatus(folder) if s.getPath().getName() != run] if fs.exists(folder) else []
+    if others:
+        raise RuntimeError(f"batch {batch_id} of {root} was written by query {others[0]}, not by {run}: "
+                           "go on from that query's checkpoint or write to another folder")
+    fs.mkdirs(_hadoop(spark, os.path.join(root, "_runs", f"batch={int(batch_id)}", run))[1])
+
+
 class VersionedTable:
     def __init__(self, spark: SparkSession, root: str, schema: T.StructType,
                  partition_by: list[str] | None = None):
@@ -73,6 +86,7 @@ class VersionedTable:
     def commit(self, df: DataFrame, batch_id: int) -> None:
         """Write ``df`` as version ``batch_id`` and record the commit; a replay of a
         committed batch changes nothing."""
+        claim(self.spark, self.root, batch_id)
         if exists(self.spark, self._log()) and self.spark.read.schema(_LOG_SCHEMA).parquet(self._log()) \
                 .where(F.col("batch_id") == batch_id).limit(1).count():
             return
@@ -192,19 +206,20 @@ class IncrementTable:
             df = df.join(only.select(*keys).distinct(), list(keys), "left_semi")
         return last_per_key(df, keys, ["batch_id"]).drop("batch_id")
 
-    def write(self, df: DataFrame, batch_id: int) -> None:
+    def write(self, df: DataFrame, batch_id: int) -> int:
+        """Write the batch; how many rows it has."""
+        from tideline.streaming.metrics import counted_write
+        claim(self.spark, self.root, batch_id)
         path = os.path.join(self.root, f"batch_id={int(batch_id)}")
         if complete(self.spark, path):  # a replay: the same rows are there
-            return
-        w = df.select(*self.schema.fieldNames()).write.mode("overwrite")
-        if self.partition_by:
-            w = w.partitionBy(*self.partition_by)
-        w.parquet(path)
+            return self.spark.read.schema(self.schema).parquet(path).count()
+        return counted_write(df.select(*self.schema.fieldNames()),
+                             lambda rows: rows.write.mode("overwrite").partitionBy(*self.partition_by).parquet(path))
 
 
 def current(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """A dimension as it stands: the newest version of a versioned table, or the rows
-    of a plain one."""
+    of a plain or a bucketed one."""
     if exists(spark, os.path.join(path, "_commits")):
         return VersionedTable(spark, path, schema).read()
-    return spark.read.schema(schema).parquet(path)
+    return spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
