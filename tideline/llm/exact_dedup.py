@@ -17,7 +17,8 @@ only when another shares them: those texts are picked out map-side by a bitmap o
 fixed size and by row id, cut once into the digits of all levels, and each level
 reads its own digit alone.  A hot digit (a shared first line, a group of copies) is
 one row in the counts, and the join back is a plain sort-merge join of two saved
-tables, whose skewed partitions AQE splits.
+tables, whose skewed partitions AQE splits (the hints keep that plan at every size,
+so a run on a part of the data tells what the whole will cost).
 """
 
 from __future__ import annotations
@@ -58,16 +59,16 @@ def radix_groups(docs: DataFrame, first_digit: int = FIRST_DIGIT, growth: int =
     rows = heads.select(RID, "doc_id", "text_sha256")
     # saved tables as join sides: a hot digit or group is then a plain shuffle, which AQE splits
     shared = saved(heads.groupBy("digit").agg(F.count("*").alias("n"), F.min(RID).alias("gid")).filter("n > 1").drop("n"))
-    level = saved(heads.join(shared, "digit").select(RID, "doc_id", "gid", "size"))
+    level = saved(heads.join(shared.hint("merge"), "digit").select(RID, "doc_id", "gid", "size"))
     end, width, k = first_digit, first_digit * growth, 0
     ended = [level.filter(F.col("size") <= end).select(RID, "doc_id", "gid")]
     going = level.filter(F.col("size") > end)
     longer = texts.select(RID, "bytes", F.octet_length("bytes").alias("size")).filter(F.col("size") > first_digit)
-    digits = saved(_digits(met_map_side(longer, going, RID).join(going.select(RID), RID), first_digit, growth), "level")
+    digits = saved(_digits(met_map_side(longer, going, RID).join(going.select(RID).hint("merge"), RID), first_digit, growth), "level")
     while going.limit(1).count():
-        now = saved(digits.filter(F.col("level") == k).select(RID, "digit").join(going, RID))
+        now = saved(digits.filter(F.col("level") == k).select(RID, "digit").join(going.hint("merge"), RID))
         groups = saved(now.groupBy("gid", "digit").agg(F.count("*").alias("n"), F.min(RID).alias("new")).filter("n > 1").drop("n"))
-        level = saved(now.join(groups, ["gid", "digit"]).select(RID, "doc_id", F.col("new").alias("gid"), "size"))
+        level = saved(now.join(groups.hint("merge"), ["gid", "digit"]).select(RID, "doc_id", F.col("new").alias("gid"), "size"))
         end, width, k = end + width, width * growth, k + 1
         ended.append(level.filter(F.col("size") <= end).select(RID, "doc_id", "gid"))
         going = level.filter(F.col("size") > end)
