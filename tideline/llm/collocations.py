@@ -1,7 +1,7 @@
 """Phrase collocations from weighted acyclic automata.
 
-A shard is a run of texts in one task.  Its words start a path each: the word and
-the words after it inside the piece, three at most.  The sorted paths with their
+A shard is a run of texts of one language in a task.  Its words start a path each: the
+word and the words after it inside the piece, three at most.  The sorted paths with their
 counts build the shard's count transducer incrementally: an arc opens where a
 path leaves its predecessor, and a closed last state is looked up in a register,
 so equal ones are kept once.  The weight of a prefix is the sum of the paths below
@@ -31,6 +31,7 @@ path for ``RANGE_PATHS`` paths.  Later joins hold phrases of the least count onl
 from __future__ import annotations
 
 from bisect import bisect_left
+from collections import Counter
 from collections.abc import Iterator
 from functools import cached_property
 
@@ -49,9 +50,11 @@ MIN_COUNT = 10
 TOP = 2000
 #: A candidate goes when a longer one around it has this share of its count.
 INSIDE_PERCENT = 50
-#: Bytes of text in one shard; a longer text is cut between pieces.
+#: Bytes of text counted at once; a longer text is cut between pieces.
 SHARD_BYTES = 8 << 20
-RANGE_PATHS = 2_000_000
+#: Paths of a shard: a task unites the transducers of its texts until they have so many.
+SHARD_PATHS = 2_000_000
+RANGE_PATHS = 1_000_000
 HEAD = 4096
 
 _BREAK = np.zeros(256, bool)
@@ -185,7 +188,8 @@ def unpacked(data: bytes) -> dict:
     body = pa.decompress(data[k:], n_bytes + 8 * sum(sizes), codec="zstd", asbytes=True)
     m = {"words": pa.array(body[:n_bytes].split(b" ") if n_words else [], pa.binary())}
     for f, n in zip(ARCS, sizes):
-        m[f] = np.frombuffer(body, np.uint8, 8 * n, n_bytes).reshape(8, n).T.copy().view(np.int64).reshape(-1)
+        arcs = np.frombuffer(body, np.uint8, 8 * n, n_bytes).reshape(8, n).T.copy().view(np.int64).reshape(-1)
+        m[f] = arcs if f == "weight" else arcs.astype(np.int32)
         n_bytes += 8 * n
     return m
 
@@ -202,15 +206,17 @@ def expanded(m: dict) -> tuple[np.ndarray, ...]:
 
 def united(machines: list[dict]) -> Paths:
     """The union of transducers: weights of equal paths are summed."""
-    lists = [m["words"] for m in machines]
-    words, code = coded(pa.concat_arrays(lists) if lists else pa.array([], pa.binary()))
-    parts, base = [], 0
-    for m, w in zip(machines, lists):
-        own = np.concatenate([[0], code[base:base + len(w)]])
-        base += len(w)
-        c1, c2, c3, n = expanded(m)
-        parts.append((own[c1], own[c2], own[c3], n))
-    return summed(words, *[np.concatenate(x) for x in zip(*parts)])
+    words, code = coded(pa.concat_arrays([m["words"] for m in machines]) if machines else pa.array([], pa.binary()))
+    code, total = code.astype(np.int32), sum(int(m["out"][m["target"]].sum()) for m in machines)
+    c1, c2, c3, n = (np.empty(total, t) for t in (np.int32, np.int32, np.int32, np.int64))
+    base = at = 0
+    for m in machines:
+        own = np.concatenate([np.zeros(1, np.int32), code[base:base + len(m["words"])]])
+        base += len(m["words"])
+        a, b, c, w = expanded(m)
+        to = slice(at, at + len(w))
+        c1[to], c2[to], c3[to], n[to], at = own[a], own[b], own[c], w, to.stop
+    return summed(words, c1, c2, c3, n)
 
 
 # -------------------------------------------------------------------- shards
@@ -253,15 +259,32 @@ def _shard(data: np.ndarray, offsets: np.ndarray, langs: np.ndarray, names: list
         yield names[k], p if mine.all() else p.between(0, len(p))
 
 
-def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        langs = batch.column("lang").dictionary_encode()
-        names, codes = langs.dictionary.to_pylist(), langs.indices.to_numpy()
-        for i, j, data, offsets in C.text_passes(batch.column("text"), SHARD_BYTES):
-            for bytes_, at, rows in _segments(data, offsets):
-                for lang, p in _shard(bytes_, at, codes[i:j][rows], names):
-                    heads = [p.head(k) for k in range(HEAD // 2, len(p), HEAD)]
-                    yield _emit(_SHARD_ARROW, lang=lang, heads=heads, machine=packed(built(p)))
+def _sharder(head: int):
+    """Shard transducers of a task's texts, with every ``head``-th path."""
+    def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[str, list[bytes]] = {}
+        paths: Counter = Counter()
+
+        def shard(lang: str) -> pa.RecordBatch:
+            machines = held.pop(lang)
+            del paths[lang]
+            p = united([unpacked(m) for m in machines])
+            heads = [p.head(k) for k in range(head // 2, len(p), head)]
+            return _emit(_SHARD_ARROW, lang=lang, heads=heads, machine=machines[0] if len(machines) == 1 else packed(built(p)))
+
+        for batch in batches:
+            langs = batch.column("lang").dictionary_encode()
+            names, codes = langs.dictionary.to_pylist(), langs.indices.to_numpy()
+            for i, j, data, offsets in C.text_passes(batch.column("text"), SHARD_BYTES):
+                for bytes_, at, rows in _segments(data, offsets):
+                    for lang, p in _shard(bytes_, at, codes[i:j][rows], names):
+                        held.setdefault(lang, []).append(packed(built(p)))
+                        paths[lang] += len(p)
+                    while paths.total() >= SHARD_PATHS:
+                        yield shard(max(paths, key=lambda x: (paths[x], x)))
+        for lang in sorted(held):
+            yield shard(lang)
+    return shards
 
 
 def _emit(schema: pa.Schema, **row) -> pa.RecordBatch:
@@ -315,16 +338,16 @@ def _unite(least: int):
     return unite
 
 
-def corpus_transducer(docs: DataFrame, least: int = MIN_COUNT, range_paths: int = RANGE_PATHS) -> DataFrame:
+def corpus_transducer(docs: DataFrame, least: int = MIN_COUNT, range_paths: int = RANGE_PATHS, head: int = HEAD) -> DataFrame:
     """(lang, phrase, size, n): the count of every phrase of one to three words found
     ``least`` times or more, and with size 0 the words of each language."""
     ship(docs.sparkSession)
     rows = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), "text")
-    shards = saved(rows.mapInArrow(_shards, SHARD))
+    shards = saved(rows.mapInArrow(_sharder(head), SHARD))
     heads = shards.select("lang", F.explode("heads").alias("head"))
-    step = max(1, range_paths // HEAD)
+    step = max(1, range_paths // head)
     # ranges don't cross languages; a language with few paths is one range
-    ranked = global_rank(heads, ["lang", "head"]) if step else heads
+    ranked = global_rank(heads, ["lang", "head"])
     bounds: dict[str, list[list[bytes]]] = {}
     for r in ranked.filter(F.col("rank") % step == step - 1).orderBy("rank").collect():
         mine = bounds.setdefault(r["lang"], [])
@@ -367,10 +390,10 @@ def composed(candidates: DataFrame, counts: DataFrame) -> DataFrame:
 
 
 def collocations(docs: DataFrame, least: int = MIN_COUNT, top: int = TOP, inside_percent: int = INSIDE_PERCENT,
-                 range_paths: int = RANGE_PATHS) -> DataFrame:
+                 range_paths: int = RANGE_PATHS, head: int = HEAD) -> DataFrame:
     """The first ``top`` phrases of two and three words of each language: lang, rank,
     phrase, a, l, r, n, score."""
-    counts = saved(corpus_transducer(docs, least, range_paths))
+    counts = saved(corpus_transducer(docs, least, range_paths, head))
     candidates = counts.filter("size > 1").select("lang", "phrase", "size", F.col("n").alias("a"))
     w = F.split("phrase", " ")
     around = candidates.filter("size = 3").select("lang", "a", F.explode(F.array_distinct(F.array(
