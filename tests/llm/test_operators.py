@@ -245,6 +245,28 @@ def test_host_consensus_overrules_one_page(spark):
     assert got[9] == "short article"
 
 
+@pytest.mark.parametrize("html, text", [
+    ('<body><article class="comment-policy"><p>All of it</p></article>', "All of it"),
+    ('<main><p>One</p><div class="share-price-analysis"><p>Two</p></div></main>', "One\n\nTwo"),
+    ("<main><p>a <math><mi>x</mi><annotation>\\tex</annotation></math> b</p></main>", "a x b"),
+    ('<body><div class="banner"><p>The only text</p></div><nav>n</nav><footer>f</footer>', "The only text"),
+    ('<article><p>T</p><article class="comment">c</article><div class="share-buttons">s</div><div class="user-comments">u</div></article>', "T"),
+])
+def test_html_noise_words_do_not_take_articles(html, text):
+    assert html_extract.main_text(html_extract.blocks(html), None)[0] == text
+
+
+def test_html_equal_votes_go_to_the_first_path(spark):
+    html = '<body><div class="bbb"><p>second</p></div><div class="aaa"><p>firsts</p></div>'
+    assert html_extract.first_choice(html_extract.blocks(html))[0] == "/body/div.aaa"  # equal scores on a page
+    rows = [(1, "http://h.org/1", '<body><div class="bbb"><p>one of two</p></div>'), (2, "http://h.org/2", '<body><div class="aaa"><p>two of two</p></div>'),
+            (3, "http://h.org/3", html.replace("second", "a much longer second text"))]
+    got = {r.page_id: (r.text, r.path) for r in html_extract.extract(_pages(spark, rows[:2])).collect()}
+    assert got == {1: ("one of two", "/body/div.bbb"), 2: ("two of two", "/body/div.aaa")}
+    votes = html_extract.host_paths(_pages(spark, rows[:2]).withColumn("host", F.lit("h.org"))).collect()
+    assert [(r.path, r.pages) for r in votes] == [("/body/div.aaa", 1)]
+
+
 def test_fingerprints(docs_of):
     rows = [r for r in corpus() if r[0] is not None and r[0] not in (5, 908)] + [(990, "line one\nline two\nline three\nline four"), (991, "line one\nline two\nline x")]
     got = {r.doc_id: r for r in fingerprint.fingerprints(docs_of(rows, extra=True)).collect()}

@@ -32,7 +32,7 @@ from tideline.llm.ship import ship
 
 # Vocabulary of markup: fixed values of HTML and of common class names.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template textarea title iframe svg math object".split())
+RAW = frozenset("script style noscript template textarea title iframe svg object annotation annotation-xml".split())
 BLOCK = frozenset("""address article aside blockquote body center dd details dialog div dl dt fieldset figcaption figure footer
 form h1 h2 h3 h4 h5 h6 head header hgroup hr html li main menu nav ol p pre section summary table tbody tfoot thead tr ul""".split())
 CONTAINER = frozenset("article body div main section td".split())
@@ -43,7 +43,14 @@ NOISE_CLASS = frozenset("""ad ads adv advert adverts advertisement advertising b
 consent gdpr notice notices alert newsletter subscribe subscription signup sidebar sidebars aside menu menus nav navbar navigation
 breadcrumb breadcrumbs footer header masthead comment comments disqus replies respond social share sharing related recommended
 popup modal overlay widget widgets toolbar pagination pager""".split())
-ALWAYS_NOISE = frozenset("ad ads adv advert adverts advertisement advertising sponsor sponsored promo comment comments disqus replies respond".split())
+ALWAYS_NOISE = frozenset("ad ads adv advert adverts advertisement advertising sponsor sponsored promo comments disqus replies respond".split())
+#: Words that say where or how, not what: beside them a word of NOISE_CLASS names boilerplate
+#: (``share-buttons``), beside any other it may name a subject (``share-price-analysis``).
+PLACE_CLASS = frozenset("""a the site page main global top bottom left right upper lower side inner outer primary secondary first last
+small large mobile desktop sticky fixed header footer content post posts article articles story stories entry entries blog news user reader
+readers box block area bar list item items row col column columns cell wrap wrapper container holder section panel pane group slot unit
+region zone module component element body button buttons link links icon icons text title heading form field input img image images thumb
+js is has no on in by id ui md sm lg xs xl bg count more read toggle open close active hidden show hide container""".split())
 MAIN_CLASS = frozenset("article body content entry main post story text".split())
 SELF_CLOSING = {"p": BLOCK, "li": {"li"}, "tr": {"tr"}, "td": {"td", "th", "tr"}, "th": {"td", "th", "tr"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}}
 
@@ -69,15 +76,21 @@ def _is_noise(tag: str, attrs: dict[str, str], inside_main: bool) -> bool:
         return False
     if tag in NOISE_TAG or attrs.get("role") in NOISE_ROLE or (tag == "header" and not inside_main):
         return True
-    names = set(_NAME.findall(attrs.get("class", "") + " " + attrs.get("id", "")))
-    if names & ALWAYS_NOISE:
-        return True
-    return bool(names & NOISE_CLASS) and not names & MAIN_CLASS and tag not in ("article", "main")
+    names = [frozenset(_NAME.findall(c)) for c in f"{attrs.get('class', '')} {attrs.get('id', '')}".split()]
+    whole = [parts for parts in names if parts & NOISE_CLASS and parts <= NOISE_CLASS | PLACE_CLASS]
+    if tag in ("article", "main"):  # only one that is nothing else
+        return any(parts & (ALWAYS_NOISE | {"comment"}) for parts in whole)
+    return any(parts & ALWAYS_NOISE for parts in names) or bool(whole) and not any(parts & MAIN_CLASS for parts in names)
 
 
 def blocks(html: str) -> list[tuple[str, int, tuple[str, ...]]]:
     """(text, characters in links, paths of the open containers) of each block of the
-    page outside boilerplate, in page order."""
+    page outside boilerplate, in page order.  Where boilerplate by name is all there is,
+    only navigation, footers and scripts are left out."""
+    return _blocks(html, _is_noise) or _blocks(html, lambda tag, attrs, inside_main: tag in ("nav", "footer", "head"))
+
+
+def _blocks(html: str, is_noise) -> list[tuple[str, int, tuple[str, ...]]]:
     out, stack, words = [], [], []
     noise = linked = 0
     link = False
@@ -143,7 +156,7 @@ def blocks(html: str) -> list[tuple[str, int, tuple[str, ...]]]:
             if stack[k].tag in CONTAINER or stack[k].tag in ("table", "ul", "ol", "dl"):
                 break
         attrs = _attributes(m[3])
-        bad = _is_noise(tag, attrs, any(o.tag in ("article", "main") for o in stack))
+        bad = is_noise(tag, attrs, any(o.tag in ("article", "main") for o in stack))
         if bad:
             flush()
         path = None
@@ -171,8 +184,8 @@ def first_choice(found) -> tuple[str, float]:
     for text, linked, paths in found:
         for p in set(paths):
             held[p] = held.get(p, 0) + max(0, len(text) - linked)
-    best = max(((c * _weight(p), p) for p, c in held.items() if c), key=lambda x: (x[0], x[1]), default=(0.0, ""))
-    return best[1], best[0]
+    score, path = min(((-c * _weight(p), p) for p, c in held.items() if c), default=(0.0, ""))
+    return path, -score
 
 
 def main_text(found, path: str | None) -> tuple[str, str]:
@@ -186,9 +199,8 @@ def main_text(found, path: str | None) -> tuple[str, str]:
 
 def _votes(batches):
     for batch in batches:
-        got = [first_choice(blocks(h or "")) for h in batch.column("html").to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch.column("host"), pa.array([p for p, _ in got], pa.string()),
-                                          pa.array([s for _, s in got], pa.float64())], names=["host", "path", "score"])
+        got = [first_choice(blocks(h or ""))[0] for h in batch.column("html").to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column("host"), pa.array(got, pa.string())], names=["host", "path"])
 
 
 def _extract(batches):
@@ -202,10 +214,10 @@ def _extract(batches):
 
 def host_paths(pages: DataFrame) -> DataFrame:
     """(host, path, pages): the path that most pages of a host chose first."""
-    votes = pages.select("host", "html").mapInArrow(_votes, "host string, path string, score double") \
+    votes = pages.select("host", "html").mapInArrow(_votes, "host string, path string") \
         .filter("path <> ''").groupBy("host", "path").agg(F.count("*").alias("n"))
-    best = F.max(F.struct("n", F.col("path").alias("p")))
-    return votes.groupBy("host").agg(best.alias("best")).select("host", F.col("best.p").alias("path"), F.col("best.n").alias("pages"))
+    best = F.min(F.struct((-F.col("n")).alias("less"), F.col("path").alias("p")))
+    return votes.groupBy("host").agg(best.alias("best")).select("host", F.col("best.p").alias("path"), (-F.col("best.less")).alias("pages"))
 
 
 def extract(pages: DataFrame) -> DataFrame:
