@@ -34,9 +34,13 @@ def stats(progress):
     data = [p for p in progress if p["numInputRows"] > 0]
     durs = sorted(p["durationMs"]["triggerExecution"] / 1000 for p in data)
     rows = sum(p["numInputRows"] for p in data)
-    q = lambda f: durs[min(len(durs) - 1, int(f * len(durs)))]
+    p95 = lambda ds: round(sorted(ds)[min(len(ds) - 1, int(0.95 * len(ds)))], 3)
+    in_order = [p["durationMs"]["triggerExecution"] / 1000 for p in data]
+    quarter = max(1, len(in_order) // 4)
     return {"batches": len(durs), "rows": rows, "rows_per_sec": round(rows / max(sum(durs), 1e-9), 1),
-            "p50_batch_sec": round(statistics.median(durs), 3), "p95_batch_sec": round(q(0.95), 3)}
+            "p50_batch_sec": round(statistics.median(durs), 3), "p95_batch_sec": p95(durs),
+            "p50_by_quarter": [round(statistics.median(in_order[i * quarter:(i + 1) * quarter]), 3) for i in range(len(in_order) // quarter)][:4],
+            "p95_last_quarter": p95(in_order[-quarter:])}
 
 
 def main():
@@ -72,10 +76,12 @@ def main():
     write_splits(msgs, "ym", f"{d}/orders")
     M.province_rows(spark, sf, missing_region=P.MISSING_REGION).write.parquet(f"{d}/prov")
     M.user_rows(spark, sf, missing_segment=P.MISSING_SEGMENT).write.parquet(f"{d}/users")
-    q = jobs.start_orders(spark, message_file_stream(spark, f"{d}/orders"), f"{d}/orders_out", f"{d}/ck_o",
-                          f"{d}/prov", f"{d}/users", {"availableNow": True}, as_of=P.AS_OF, compact_every=24)
-    q.awaitTermination(3600)
-    out["orders"] = stats(q.recentProgress)
+    for form, start in (("orders_state_store", jobs.start_stateful_orders), ("orders_tables", jobs.start_orders)):
+        extra = {"compact_every": 24} if form == "orders_tables" else {}
+        q = start(spark, message_file_stream(spark, f"{d}/orders"), f"{d}/{form}", f"{d}/ck_{form}",
+                  f"{d}/prov", f"{d}/users", {"availableNow": True}, as_of=P.AS_OF, **extra)
+        q.awaitTermination(3600)
+        out[form] = stats(q.recentProgress)
     print(json.dumps({"sf": os.path.basename(sf.rstrip("/")), "day_files": n, "streams": out}))
     spark.stop()
 
