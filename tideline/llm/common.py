@@ -5,7 +5,6 @@ inside Arrow tasks."""
 from __future__ import annotations
 
 import atexit
-import re
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -99,17 +98,23 @@ def met_map_side(rows: DataFrame, keys: DataFrame, key: str) -> DataFrame:
     return met.filter(F.getbit(byte, (F.col("_tl_slot") % 8).cast("int")) == 1).drop("_tl_slot", "_tl_bucket", "_tl_map")
 
 
-_MOVING = re.compile(r"\b(Join|Aggregate|Repartition\w*|Sort|Window|Limit|Sample|Union|Distinct|"
-                     r"Deduplicate|Generate|MapIn\w+|Rebalance\w*|LogicalRDD)\b")
+def _is_scan(plan) -> bool:
+    """Whether a plan is one scan of files, perhaps with columns chosen or rows filtered."""
+    if not plan.deterministic():
+        return False
+    name = plan.getClass().getSimpleName()
+    if name in ("Project", "Filter"):
+        return _is_scan(plan.children().head())
+    return name == "LogicalRelation" and plan.relation().getClass().getSimpleName() == "HadoopFsRelation"
 
 
 def with_rid(docs: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """``docs`` with a row id that is the same in every evaluation.  A table scan
-    deals its files into the same partitions each time, so the position in the
-    scan serves; anything that moves rows is saved first."""
+    """``docs`` with a row id that is the same in every evaluation.  A scan of files deals
+    them into the same partitions each time, so the position in the scan serves;
+    anything else is saved first."""
     ship(docs.sparkSession)
     df = docs.select(*columns) if columns else docs
-    if _MOVING.search(docs._jdf.queryExecution().optimizedPlan().toString()):
+    if not _is_scan(docs._jdf.queryExecution().optimizedPlan()):
         df = saved(df)
     return df.withColumn(RID, F.monotonically_increasing_id())
 
