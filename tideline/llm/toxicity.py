@@ -183,7 +183,8 @@ class BlockMaxIndex:
             to = slice(done, done + int(rest.sum()))
             term[to], slots[to], weights[to], done = ids[place[rest]], slot[rest], v[rest], to.stop
         order = np.argsort(term, kind="stable")
-        self.slots, self.weights = slots[order], weights[order]
+        # example and weight side by side, so that a term's postings are one slice
+        self.postings = np.stack([slots[order], weights[order].view(np.int32)], 1)
 
     def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int, without: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """(examples, cosines) of the k nearest with a positive cosine, best first,
@@ -215,20 +216,17 @@ class BlockMaxIndex:
             a, b = self.starts[more], self.starts[more + 1]
             held = np.flatnonzero(b > a)
             if len(held):
-                spans = [slice(x, y) for x, y in zip(a[held].tolist(), b[held].tolist())]
-                part = part + np.bincount(np.concatenate([self.slots[x] for x in spans]),
-                                          np.concatenate([self.weights[x] for x in spans]) * np.repeat(w[held], b[held] - a[held]), self.n)
+                met = np.concatenate([self.postings[x:y] for x, y in zip(a[held].tolist(), b[held].tolist())])
+                part = part + np.bincount(met[:, 0], met[:, 1].copy().view(np.float32) * np.repeat(w[held], b[held] - a[held]), self.n)
                 if without >= 0:
                     part[without] = -1
             found = np.flatnonzero((part > 0) & (part >= _kth(part, k) - SLACK))
         found = found[(found != without) & (self.at[found + 1] > self.at[found])]
         if not len(found):
             return np.zeros(0, np.int64), np.zeros(0)
-        size = self.at[found + 1] - self.at[found]
-        first = np.cumsum(size) - size
-        place = np.repeat(self.at[found] - first, size) + np.arange(size.sum())
         self.query[terms] = weights
-        c = np.round(np.add.reduceat(self.query[self.ids[place]] * self.values[place], first) / self.unit[found], 12)
+        c = np.array([self.query[self.ids[x:y]] @ self.values[x:y] for x, y in zip(self.at[found].tolist(), self.at[found + 1].tolist())])
+        c = np.round(c / self.unit[found], 12)
         self.query[terms] = 0
         found, c = found[c > 0], c[c > 0]
         best = np.lexsort((found, -c))[:k]
