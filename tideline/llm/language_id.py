@@ -12,10 +12,12 @@ not learned from; a null doc_id counts as not held out; equal shares go to the
 first language in order; repeated rows are scored alike; other columns are never
 inputs.
 
-Scale: one pass counts trigrams per language in every task (fixed number of
-buckets, so a task sends at most buckets x languages rows), one pass scores rows
-where they are.  No text is shuffled.  The model that tasks receive holds
-``BUCKETS`` numbers per language, whatever the size of the corpus.
+Scale: one pass counts trigrams per language in every task and Spark sums them, one
+pass scores rows where they are.  No text is shuffled.  A trigram is its three code
+points, so none shares a count with another.  The model that tasks receive holds each
+trigram seen in training with one number per language: it grows with the letters of
+the corpus, not with its length (some ten thousand trigrams for each alphabetic
+language), and a trigram that training never saw has the smoothed probability.
 """
 
 from __future__ import annotations
@@ -30,7 +32,8 @@ from pyspark.sql import functions as F
 from tideline.llm import common as C
 from tideline.llm.ship import ship
 
-BUCKETS = 1 << 15
+#: Distinct trigrams that a task holds before it hands its counts on.
+TASK_TRIGRAMS = 1_000_000
 SMOOTHING = 0.1
 EM_STEPS = 10
 #: Price of one more language, in units of log(number of trigrams).
@@ -53,7 +56,7 @@ def letters() -> np.ndarray:
 
 
 def trigrams(column: pa.Array):
-    """(first row, rows, row of each letter, bucket of the trigram around it), by passes."""
+    """(first row, rows, row of each letter, the trigram around it as a number), by passes."""
     table = letters()
     for i, j, data, offsets in C.text_passes(column):
         at = np.concatenate(([0], np.cumsum((data & 0xC0) != 0x80)))[offsets]
@@ -66,38 +69,49 @@ def trigrams(column: pa.Array):
         before[at[:-1][at[:-1] < len(c)]] = 0
         after[at[1:][at[1:] > 0] - 1] = 0
         use = np.flatnonzero(c)
-        key = before[use].astype(np.uint64) * C.STEP[6] + c[use].astype(np.uint64) * C.STEP[7] + after[use].astype(np.uint64) * C.STEP[8]
-        yield i, j - i, np.searchsorted(at, use, "right") - 1, (key >> np.uint64(64 - 15)).astype(np.int64)
+        key = before[use].astype(np.int64) << 42 | c[use].astype(np.int64) << 21 | after[use].astype(np.int64)
+        yield i, j - i, np.searchsorted(at, use, "right") - 1, key
+
+
+def _summed(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    keys, back = np.unique(np.concatenate([k for k, _ in parts]), return_inverse=True)
+    return keys, np.bincount(back, np.concatenate([n for _, n in parts]), len(keys)).astype(np.int64)
 
 
 def _count(batches):
-    held: dict[str, np.ndarray] = {}
+    held: dict[str, list[tuple[np.ndarray, np.ndarray]]] = {}
+
+    def rows():
+        for name, parts in held.items():
+            keys, n = _summed(parts)
+            yield pa.RecordBatch.from_arrays([pa.array([name] * len(keys), pa.string()), pa.array(keys), pa.array(n)], names=["lang", "trigram", "n"])
+        held.clear()
+
     for batch in batches:
         names = batch.column("lang").to_pylist()
         known = {n: k for k, n in enumerate(dict.fromkeys(names))}
         code = np.array([known[n] for n in names], np.int64)
-        for i, n, row, bucket in trigrams(batch.column("text")):
-            flat = code[i + row] * BUCKETS + bucket
-            sums = np.bincount(flat, minlength=len(known) * BUCKETS).reshape(len(known), BUCKETS)
+        for i, n, row, key in trigrams(batch.column("text")):
+            own = code[i + row]
             for name, k in known.items():
-                if name in held:
-                    held[name] += sums[k]
-                else:
-                    held[name] = sums[k].copy()
-    for name, sums in held.items():
-        at = np.flatnonzero(sums)
-        yield pa.RecordBatch.from_arrays([pa.array([name] * len(at), pa.string()), pa.array(at.astype(np.int32)), pa.array(sums[at])],
-                                         names=["lang", "bucket", "n"])
-
-
-def learn(docs: DataFrame) -> tuple[list[str], np.ndarray]:
-    """(languages, BUCKETS x languages trigram probabilities) from text and lang."""
+                mine = key[own == k]
+                if len(mine):
+                    held[name] = [_summed([*held.get(name, []), np.unique(mine, return_counts=True)])]
+            if sum(len(p[0][0]) for p in held.values()) > TASK_TRIGRAMS:
+                yield from rows()
+    yield from rows()
+
+
+def learn(docs: DataFrame) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """(languages, trigrams in order, trigrams x languages probabilities, with a last row
+    for a trigram that was never seen) from text and lang."""
     rows = docs.filter("lang IS NOT NULL AND text IS NOT NULL").select("lang", "text") \
-        .mapInArrow(_count, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toPandas()
+        .mapInArrow(_count, "lang string, trigram long, n long").groupBy("lang", "trigram").agg(F.sum("n").alias("n")).toPandas()
     names = sorted(rows["lang"].unique())
-    counts = np.zeros((BUCKETS, len(names)))
-    counts[rows["bucket"].to_numpy(), rows["lang"].map({n: k for k, n in enumerate(names)}).to_numpy(int)] = rows["n"].to_numpy()
-    return names, ((counts + SMOOTHING) / (counts.sum(0) + SMOOTHING * BUCKETS)).astype(np.float32)
+    keys, place = np.unique(rows["trigram"].to_numpy(np.int64), return_inverse=True)
+    counts = np.zeros((len(keys) + 1, len(names)))
+    counts[place, rows["lang"].map({n: k for k, n in enumerate(names)}).to_numpy(int)] = rows["n"].to_numpy()
+    return names, keys, ((counts + SMOOTHING) / (counts.sum(0) + SMOOTHING * len(counts))).astype(np.float32)
 
 
 def _em(p: np.ndarray, w: np.ndarray, doc: np.ndarray, first: np.ndarray, total: np.ndarray, allowed: np.ndarray):
@@ -144,18 +158,20 @@ def infer(p: np.ndarray, w: np.ndarray, first: np.ndarray):
 
 def _predict(names: list[str], shared):
     def rows(batches):
-        prob = shared.value
+        keys, prob = shared.value
         for batch in batches:
             n = batch.num_rows
             pred, score = np.full(n, UNKNOWN, object), np.zeros(n)
             sets: list[list[dict]] = [[] for _ in range(n)]
-            for i, m, row, bucket in trigrams(batch.column("text")):
+            for i, m, row, trigram in trigrams(batch.column("text")):
                 if not len(row) or not names:
                     continue
-                key, w = np.unique(row * BUCKETS + bucket, return_counts=True)
-                r = key // BUCKETS
+                place = np.minimum(np.searchsorted(keys, trigram), len(keys) - 1)
+                place[keys[place] != trigram] = len(keys)
+                key, w = np.unique(row * len(prob) + place, return_counts=True)
+                r = key // len(prob)
                 first = np.flatnonzero(np.concatenate(([True], r[1:] != r[:-1])))
-                share, posterior = infer(prob[key % BUCKETS], w.astype(np.float32), first)
+                share, posterior = infer(prob[key % len(prob)], w.astype(np.float32), first)
                 top = share.argmax(1)
                 for d, t, q, s in zip((r[first] + i).tolist(), top.tolist(), posterior.tolist(), share):
                     pred[d], score[d] = names[t], min(1.0, float(s[t]) * (q if s[t] == 1 else 1.0))
@@ -173,8 +189,8 @@ def identify(docs: DataFrame) -> DataFrame:
     ship(docs.sparkSession)
     held = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % FOLDS == HELD_FOLD, F.lit(False))
     rows = docs.select("doc_id", "text", "lang", held.alias("held_out"))
-    names, prob = learn(rows.filter("NOT held_out"))
-    shared = docs.sparkSession.sparkContext.broadcast(prob)
+    names, keys, prob = learn(rows.filter("NOT held_out"))
+    shared = docs.sparkSession.sparkContext.broadcast((keys, prob))
     return rows.select("doc_id", "text", "held_out").mapInArrow(
         _predict(names, shared),
         "doc_id long, held_out boolean, lang_pred string, score double, languages array<struct<lang:string,share:double>>")
