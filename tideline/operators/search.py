@@ -48,6 +48,46 @@ def term_match_search(docs: DataFrame, query: str, text_col: str = "name",
     return hits.orderBy(F.col(score_col).asc_nulls_last(), F.col(id_col).asc()).limit(limit)
 
 
+# ------------------------------------------------------------------ postings
+#: Partitions of a postings table; a search reads those of its tokens only.
+POSTING_PARTS = 64
+#: Files of a partition: a token that a third of all documents hold is written by several tasks.
+POSTING_FILES = 4
+_TOKEN = r"\p{IsHan}|[\p{L}\p{N}&&[^\p{IsHan}]]+"
+
+
+def _part(token, parts: int) -> F.Column:
+    return F.pmod(F.xxhash64(token), F.lit(parts)).cast("int")
+
+
+def token_postings(docs: DataFrame, text_col: str = "name", score_col: str = "score", id_col: str = "id",
+                   parts: int = POSTING_PARTS) -> DataFrame:
+    """(token, id, score, part): each document once for each of its lower-cased tokens."""
+    tokens = F.array_distinct(F.regexp_extract_all(F.lower(c(text_col)), F.lit(_TOKEN), F.lit(0)))
+    rows = docs.select(F.col(id_col).alias("id"), F.col(score_col).alias("score"), F.explode(tokens).alias("token"))
+    return rows.withColumn("part", _part("token", parts))
+
+
+def write_postings(postings: DataFrame, path: str) -> None:
+    """The postings as a table partitioned by token hash, sorted by token inside."""
+    (postings.repartition("part", F.pmod(F.xxhash64("id"), F.lit(POSTING_FILES))).sortWithinPartitions("part", "token")
+     .write.partitionBy("part").parquet(path))
+
+
+def postings_search(postings: DataFrame, query: str, limit: int = 10, parts: int = POSTING_PARTS) -> DataFrame:
+    """S9 over a postings table: (id, score) of the documents that hold any query word,
+    ascending by score, top ``limit``.  The query's partitions are constants, so the scan
+    reads no others, and the token filter is pushed to the files."""
+    terms = _terms(query)
+    if not terms:
+        return postings.where(F.lit(False)).select("id", "score")
+    wanted = F.lit(False)
+    for t in terms:
+        wanted = wanted | ((F.col("part") == _part(F.lit(t), parts)) & (F.col("token") == t))
+    hits = postings.where(wanted).groupBy("id").agg(F.min("score").alias("score"))
+    return hits.orderBy(F.col("score").asc_nulls_last(), F.col("id").asc()).limit(limit)
+
+
 def nested_match(array_col, field: str, query: str) -> F.Column:
     """S10 on a nested array column: any element's ``field`` matches."""
     return F.exists(c(array_col), lambda e: matches_any_term(e[field], query))

@@ -339,6 +339,7 @@ WHERE s."offset" >= coalesce(l.until_offset, 0)"""
 SELECT doc_id AS id, n_chars AS score FROM documents
 WHERE regexp_matches(lower(text), '{_word_regex(P.DOC_QUERY)}')
 ORDER BY n_chars, doc_id LIMIT {P.SEARCH_LIMIT}"""
+    q["term_match_postings"] = q["term_match_search"]
     q["nested_match_search"] = f"""
 SELECT conv_id, count(*) AS n_turns,
        CAST(sum(CASE WHEN regexp_matches(lower(text), '{_word_regex(P.CONV_QUERY)}') THEN 1 ELSE 0 END)

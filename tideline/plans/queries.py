@@ -6,6 +6,7 @@ tables.  Column names equal those of the DuckDB oracle in ``oracle.py``.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,7 +17,7 @@ from tideline.operators import cdc, dau, offsets, orders, search
 from tideline.operators.parse import parse_province, parse_start_log, split_valid
 from tideline.operators.upsert import keyed_upsert
 from tideline.plans import params as P
-from tideline.session import keep, prepare
+from tideline.session import keep, prepare, scratch_path
 from tideline.sources import messages as M
 from tideline.sources.tables import read_table, spread
 
@@ -329,10 +330,22 @@ def q_offset_resume(spark, sf):
 
 
 # --------------------------------------------------------------------- search
+def _searched(spark, sf):
+    return spread(read_table(spark, sf, "documents", ["doc_id", "text", "n_chars"]), "doc_id").select(
+        F.col("doc_id").alias("id"), F.col("text").alias("name"), F.col("n_chars").alias("score"))
+
+
+def q_term_match_postings(spark, sf):
+    """The same search over a postings table, which is built here first."""
+    prepare(spark)
+    path = scratch_path(spark, f"postings-{uuid.uuid4().hex}")
+    search.write_postings(search.token_postings(_searched(spark, sf)), path)
+    return search.postings_search(spark.read.parquet(path), P.DOC_QUERY, limit=P.SEARCH_LIMIT)
+
+
 def q_term_match_search(spark, sf):
     prepare(spark)
-    docs = spread(read_table(spark, sf, "documents", ["doc_id", "text", "n_chars"]), "doc_id").select(
-        F.col("doc_id").alias("id"), F.col("text").alias("name"), F.col("n_chars").alias("score"))
+    docs = _searched(spark, sf)
     return search.term_match_search(docs, P.DOC_QUERY, limit=P.SEARCH_LIMIT).select("id", "score")
 
 
@@ -378,5 +391,6 @@ QUERIES: dict[str, Query] = {
     "offset_ledger": q_offset_ledger,
     "offset_resume": q_offset_resume,
     "term_match_search": q_term_match_search,
+    "term_match_postings": q_term_match_postings,
     "nested_match_search": q_nested_match_search,
 }
