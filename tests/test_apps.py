@@ -122,6 +122,18 @@ def test_rejects_of_the_dau_and_dimension_apps(spark, scratch):
     assert [r.id for r in t.read().collect()] == [7] and rej.read().count() == 2
 
 
+def test_print_runs_beside_the_app(spark, scratch):
+    """The messages go to the console and the app does its work."""
+    at = lambda *p: os.path.join(scratch, *p)
+    M.cdc_array_messages(spark, SF_SMALL).select(*MESSAGE_COLUMNS).coalesce(1).write.parquet(at("cdc"))
+    queries = apps.start(args("cdc", "--dialect", "array", "--out", at("ods"), "--print"), spark, messages_of(spark, at("cdc")), at("ck"))
+    for q in queries:
+        run(q)
+    printed = queries[-1].lastProgress
+    assert "Console" in printed["sink"]["description"] and printed["numInputRows"] == spark.read.parquet(at("cdc")).count()
+    assert spark.read.parquet(at("ods")).count() == QUERIES["cdc_route_array"](spark, SF_SMALL).count()
+
+
 def test_quoted_and_plain_numbers_parse_alike(spark):
     text = '{"id":%s,"user_id":%s,"final_total_amount":%s,"create_time":"2020-01-02 03:04:05"}'
     msgs = spark.createDataFrame([("t", 0, 0, None, text % (1, 2, 3.5)), ("t", 0, 1, None, text % ('"1"', '"2"', '"3.5"')),

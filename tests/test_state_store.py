@@ -268,3 +268,33 @@ def test_watermark_form_reports_rows_before_and_after(spark, at, scratch):
     rows = named()
     assert sum(r.observed["dau_before"]["rows"] for r in rows) == spark.read.parquet(path).count() - 1
     assert sum(r.observed["dau_after"]["rows"] for r in rows) == spark.read.schema(S.DAU_INFO).parquet(at("out")).count()
+
+
+def test_late_rows_are_written_not_dropped(spark, at):
+    """In time + late + rejected = what came in; late rows meet the watermark of the
+    batches before them, whatever their device."""
+    from tideline.streaming import metrics
+    batches = [[("m1", DAY + 86400000)], [("m2", DAY + 20 * 86400000), ("m2", DAY + 20 * 86400000 + 5)], [("m9", DAY + 20 * 86400000)],
+               [("m5", DAY + 86400000), ("m1", DAY + 86400000 + 7200000), ("m1", DAY + 86400000 + 7200000), ("m9", DAY + 20 * 86400000 + 9)]]
+    off = 0
+    for rows in batches:
+        data = [launch(mid, ts, off + i) for i, (mid, ts) in enumerate(rows)]
+        off += len(rows) + 1
+        put(spark.createDataFrame([*data, ("t", 0, off - 1, None, "broken")], S.MESSAGE), at("msgs"))
+        time.sleep(1.1)  # files are taken by age
+    listener = metrics.BatchListener(spark, at("metrics"))
+    spark.streams.addListener(listener)
+    q = jobs.start_dau_with_late(spark, message_file_stream(spark, at("msgs")), at("out"), at("ck"), at("late"), at("bad"),
+                                 trigger={"processingTime": "1 second"})
+    listener.open = False
+    rows_of = lambda name, schema: jobs.read_batches(spark, at(name), schema)
+    counts = lambda: metrics.progress(spark, at("metrics")).where("observed['on_time'] IS NOT NULL").agg(
+        F.sum(F.col("observed")["on_time"]["rows"])).first()[0]
+    try:
+        wait_for(q, lambda: rows_of("late", S.DAU_INFO).count() >= 3 and rows_of("bad", S.REJECT).count() >= 4 and counts() == 5, 300)
+    finally:
+        q.stop()
+        spark.streams.removeListener(listener)
+    assert sorted(r.mid for r in rows_of("late", S.DAU_INFO).collect()) == ["m1", "m1", "m5"]
+    assert sorted((r.mid, r.dt) for r in rows_of("out", S.DAU_INFO).collect()) == [("m1", "2024-01-02"), ("m2", "2024-01-21"), ("m9", "2024-01-21")]
+    assert counts() + rows_of("late", S.DAU_INFO).count() + rows_of("bad", S.REJECT).count() == spark.read.parquet(at("msgs")).count()

@@ -1,6 +1,6 @@
 """Run the streaming apps against Kafka topics.
 
-    python -m tideline.apps dau    --bootstrap H:9092 --out /warehouse/dau [--form exact|day|watermark|ttl]
+    python -m tideline.apps dau    --bootstrap H:9092 --out /warehouse/dau [--form exact|day|late|watermark|ttl]
     python -m tideline.apps orders --bootstrap H:9092 --out /warehouse/orders \\
                                    --provinces /warehouse/dim/province --users /warehouse/dim/user
     python -m tideline.apps cdc    --bootstrap H:9092 --out /warehouse/ods [--dialect object|array]
@@ -38,10 +38,11 @@ def parser() -> argparse.ArgumentParser:
     ap.add_argument("--as-of", help="orders: ages as of this day (default: the day a batch runs)")
     ap.add_argument("--gender-rule", choices=["standard", "swapped"], default="standard")
     ap.add_argument("--rejects", help="folder for messages that can't be used (default: <out>_rejects)")
-    ap.add_argument("--print", action="store_true", dest="show", help="print the decoded messages instead of running the app")
-    ap.add_argument("--form", choices=["watermark", "exact", "ttl", "day"], default="exact",
+    ap.add_argument("--print", action="store_true", dest="show", help="also print the decoded messages, up to 1000 rows a batch")
+    ap.add_argument("--form", choices=["watermark", "exact", "ttl", "day", "late"], default="exact",
                     help="dau: exact keeps all devices, day forgets a day 7 days after its last event (state store), "
-                         "ttl a device 7 days after its last event, watermark drops events older than 7 days")
+                         "ttl a device 7 days after its last event, watermark drops events older than 7 days, "
+                         "late writes those to <out>_late")
     ap.add_argument("--metrics", help="folder for the counts and offsets of each batch (default: <out>_metrics)")
     ap.add_argument("--index", help="dau, exact form: folder of the index by processing day (default: <out>_index)")
     ap.add_argument("--run-date", help="dau: processing day yyyyMMdd of the index (default: the day a batch runs)")
@@ -65,22 +66,30 @@ def start(a: argparse.Namespace, spark, msgs, checkpoint: str) -> list:
     listener = metrics.BatchListener(spark, folder)
     spark.streams.addListener(listener)
     try:
-        return _start(a, spark, msgs, checkpoint, saved_rows)
+        queries = _start(a, spark, msgs, checkpoint, saved_rows)
+        if a.show:  # K12, beside the app
+            queries.append(console_sink(msgs, checkpoint + "-print", _trigger(a)))
+        return queries
     finally:
         listener.open = False
 
 
+def _trigger(a: argparse.Namespace) -> dict:
+    return {"processingTime": f"{a.trigger_seconds} seconds"} if a.trigger_seconds else {"availableNow": True}
+
+
 def _start(a: argparse.Namespace, spark, msgs, checkpoint: str, saved_rows) -> list:
-    trig = {"processingTime": f"{a.trigger_seconds} seconds"} if a.trigger_seconds else {"availableNow": True}
+    trig = _trigger(a)
     rejects = a.rejects or a.out.rstrip("/") + "_rejects"
-    if a.show:
-        return [console_sink(msgs, checkpoint, trig)]
     if a.app == "dau":
         if a.form == "exact":
             return [jobs.start_dau_exact(spark, msgs, a.out, checkpoint, trig, rejects=rejects, saved=saved_rows,
                                          index=a.index or a.out.rstrip("/") + "_index", run_date=a.run_date)]
         if a.form == "day":
             return [jobs.start_dau_by_day(spark, msgs, a.out, checkpoint, trig, rejects=rejects, saved=saved_rows)]
+        if a.form == "late":
+            return [jobs.start_dau_with_late(spark, msgs, a.out, checkpoint, a.out.rstrip("/") + "_late", rejects, trigger=trig,
+                                             saved=saved_rows)]
         bad = jobs.start_dau_rejects(msgs, rejects, checkpoint + "-rejects", trig)
         if a.form == "watermark":
             return [jobs.start_dau_watermark(msgs, a.out, checkpoint, trig), bad]

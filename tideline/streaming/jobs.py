@@ -20,7 +20,7 @@ from tideline.streaming.buckets import BucketTable
 from tideline.streaming.dau_state import SEEN_TTL_MS
 from tideline.streaming.io import kafka_sink
 from tideline.streaming.metrics import counted_write
-from tideline.streaming.state import day_launches, first_orders, use_state_store
+from tideline.streaming.state import day_launches, first_orders, late_or_not, use_state_store
 from tideline.streaming.table import IncrementTable, VersionedTable, current, exists
 
 DAU_SCHEMA = S.DAU_INFO
@@ -312,6 +312,32 @@ def start_dau_by_day(spark: SparkSession, msgs: DataFrame, root: str, checkpoint
     return _start(both.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint), trigger)
 
 
+def start_dau_with_late(spark: SparkSession, msgs: DataFrame, root: str, checkpoint: str, late: str, rejects: str,
+                        delay: str = "7 days", trigger: dict | None = None, ttl_ms: int = SEEN_TTL_MS,
+                        saved: Saved | None = None):
+    """First launches of the rows that are not older than the watermark; the older ones
+    are written to ``late`` instead of being dropped, messages without a device to
+    ``rejects``.  The rows that were in time are counted (``on_time``), so that in time +
+    late + rejected is what came in."""
+    use_state_store(spark)
+    good, bad = dau.start_rows(msgs)
+    flagged = late_or_not(good, delay).observe("on_time", F.count_if(~F.col("late")).alias("rows"))
+    whole = _tagged(day_launches(flagged, ttl_ms), bad, "reject")
+
+    def run(batch_df: DataFrame, batch_id: int) -> None:
+        kept = batch_df.persist()
+        query, n = run_id(batch_df), kept.count()  # every part of the state store runs once
+        if n:
+            outputs = {root: kept.where(~F.col("late")).select(*dau.DAU_COLUMNS), late: kept.where("late").select(*dau.DAU_COLUMNS),
+                       rejects: kept.where(F.col("reject").isNotNull()).select("reject.*")}
+            rows = {folder: 0 if some.isEmpty() else write_batch(some, folder, query, batch_id) for folder, some in outputs.items()}
+            if saved is not None:
+                saved("dau", batch_id, rows[root])
+        kept.unpersist()
+
+    return _start(whole.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint), trigger)
+
+
 # --------------------------------------------------------------------- CDC
 def start_cdc_route(msgs: DataFrame, root: str, checkpoint: str, dialect: str = "object",
                     trigger: dict | None = None, kafka_bootstrap: str | None = None):

@@ -135,22 +135,31 @@ class DayLaunches(StatefulProcessor):
         self.until = handle.getValueState("until", "ms bigint")
 
     def handleInputRows(self, key, rows, timerValues):
-        armed, until = self.until.get(), timerValues.getCurrentProcessingTimeInMs() + self.ttl_ms
-        if armed is None or armed[0] != until:
-            if armed is not None:
-                self.handle.deleteTimer(armed[0])
-            self.handle.registerTimer(until)
-            self.until.update((until,))
         least: dict[str, tuple] = {}
+        alive = False
         for r in rows:
+            if r["late"]:
+                yield Row(**{c: r[c] for c in dau.DAU_COLUMNS}, late=True)
+                continue
+            alive = True
             if r["mid"] is not None:  # else only word that the day had an event
                 rank = _rank(r, dau.ARRIVAL)
                 if r["mid"] not in least or rank < least[r["mid"]][0]:
                     least[r["mid"]] = (rank, r)
+        if alive:
+            self._move_expiry(timerValues.getCurrentProcessingTimeInMs() + self.ttl_ms)
         for mid, (_, r) in least.items():
             if not self.seen.containsKey((mid,)):
                 self.seen.updateValue((mid,), (True,))
-                yield Row(**{c: r[c] for c in dau.DAU_COLUMNS})
+                yield Row(**{c: r[c] for c in dau.DAU_COLUMNS}, late=False)
+
+    def _move_expiry(self, until: int) -> None:
+        armed = self.until.get()
+        if armed is None or armed[0] != until:
+            if armed is not None:
+                self.handle.deleteTimer(armed[0])
+            self.handle.registerTimer(until)
+            self.until.update((until,))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
         self.seen.clear()
@@ -161,14 +170,78 @@ class DayLaunches(StatefulProcessor):
         pass
 
 
+def _launch_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Late rows as they are; of the others the least per device and day in the task; and a
+    row without a device for each day that had one in time."""
+    late: list[pa.RecordBatch] = []
+
+    def in_time():
+        for batch in batches:
+            if pc.any(batch.column("late")).as_py():
+                late.append(batch.filter(batch.column("late")))
+            yield batch.filter(pc.invert(batch.column("late")))
+
+    def alike(columns, schema):
+        return pa.RecordBatch.from_arrays(columns, schema=pa.schema([(f.name, f.type) for f in schema]))
+
+    for batch in least_in_task(dau.DAU_KEY, dau.ARRIVAL)(in_time()):
+        yield alike(batch.columns, batch.schema)
+        days = pc.unique(batch.column("dt"))
+        word = {"dt": days, "late": pa.array([False] * len(days))}
+        yield alike([word.get(f.name, pa.nulls(len(days), f.type)) for f in batch.schema], batch.schema)
+    for batch in late:
+        yield alike(batch.columns, batch.schema)
+
+
 def day_launches(rows: DataFrame, ttl_ms: int, parts: int = DAY_PARTS) -> DataFrame:
     """T1 + F1: the first arrival of each (day, device) in a stream of valid start rows, with
-    an expiry that belongs to the day.  Each task tells every part of a day that the day
-    had an event: one row per task, day and part."""
-    keys = rows.select(*dau.DAU_COLUMNS, "offset", "partition")
-    least = keys.mapInArrow(least_in_task(dau.DAU_KEY, dau.ARRIVAL), keys.schema)
-    own = least.withColumn("part", F.pmod(F.xxhash64("mid"), F.lit(parts)).cast("int"))
-    days = keys.select("dt", F.lit(0).alias("zero")).mapInArrow(least_in_task(["dt"], ["zero"]), "dt string, zero int")
-    word = days.select("dt", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"))
-    return own.unionByName(word, allowMissingColumns=True).groupBy("dt", "part") \
-        .transformWithState(DayLaunches(ttl_ms), _LAUNCH, "Append", "ProcessingTime")
+    an expiry that belongs to the day; rows marked ``late`` come out as they are.  Each
+    task tells every part of a day that the day had an event: one row per task, day and
+    part."""
+    late = F.col("late") if "late" in rows.columns else F.lit(False)
+    keys = rows.select(*dau.DAU_COLUMNS, "offset", "partition", late.alias("late"))
+    least = keys.mapInArrow(_launch_rows, f"{_LAUNCH}, offset bigint, partition int, late boolean")
+    part = F.pmod(F.when(F.col("late"), F.xxhash64("partition", "offset")).otherwise(F.xxhash64("mid")), F.lit(parts)).cast("int")
+    every = F.sequence(F.lit(0), F.lit(parts - 1))
+    placed = least.withColumn("part", F.explode(F.when(F.col("mid").isNull(), every).otherwise(F.array(part))))
+    return placed.groupBy("dt", "part").transformWithState(
+        DayLaunches(ttl_ms), f"{_LAUNCH}, late boolean", "Append", "ProcessingTime")
+
+
+# ------------------------------------------------------------------------ late rows
+#: Groups that rows are dealt into, evenly and whatever their device, to meet the watermark.
+WATERMARK_GROUPS = 64
+
+
+class LateOrNot(StatefulProcessor):
+    """Each row with whether it is older than the watermark; keeps no state."""
+
+    def init(self, handle) -> None:
+        pass
+
+    def handleInputRows(self, key, rows, timerValues):
+        watermark = timerValues.getCurrentWatermarkInMs()
+        for r in rows:
+            yield Row(**{c: r[c] for c in (*dau.DAU_COLUMNS, "offset", "partition")}, late=r["ts"] < watermark)
+
+    def close(self) -> None:
+        pass
+
+
+def late_or_not(rows: DataFrame, delay: str) -> DataFrame:
+    """Start rows with ``late``: whether their time is before the watermark, the newest
+    event of the batches so far less ``delay``.  Spark drops such rows in its own stateful
+    operators; here none is dropped."""
+    timed = rows.select(*dau.DAU_COLUMNS, "offset", "partition", F.timestamp_millis("ts").alias("event_time")) \
+        .withWatermark("event_time", delay)
+    schema = f"{_LAUNCH}, offset bigint, partition int"
+    # the watermark stays in the query, its column does not reach the operator, which would drop by it
+    plain = timed.mapInArrow(_without_time, schema)
+    group = F.pmod(F.xxhash64("partition", "offset"), F.lit(WATERMARK_GROUPS)).cast("int")
+    return plain.withColumn("group", group).groupBy("group").transformWithState(
+        LateOrNot(), f"{schema}, late boolean", "Append", "EventTime")
+
+
+def _without_time(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        yield batch.drop_columns(["event_time"])
