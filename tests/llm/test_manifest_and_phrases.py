@@ -12,10 +12,7 @@ from pyspark.sql import types as T
 
 import brute
 from tideline.llm import collocations, decontaminate, merkle
-from tideline.llm.queries import ORACLE_SQL, QUERIES
-from tideline.plans.verify import compare, duckdb_conn
 
-SF = "/root/testdata/sf0.001"
 DOC = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()),
                     T.StructField("lang", T.StringType()), T.StructField("source", T.StringType()),
                     T.StructField("n_chars", T.LongType())])
@@ -34,12 +31,6 @@ def docs_of(spark):
     return make
 
 
-@pytest.mark.parametrize("name", ["op11_collocations", "op12_merkle_manifest", "op13_decontamination"])
-def test_query_matches_sql(spark, name):
-    r = compare(spark, name, SF, QUERIES, ORACLE_SQL, duckdb_conn(SF))
-    assert r["columns_match"] and r["values_match"], r
-
-
 # -------------------------------------------------------------- collocations
 def phrases(rows, least, top, percent=50):
     """(doc_id, text, lang) -> the ranked phrases of each language."""
