@@ -93,13 +93,6 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
     return os.path.join(checkpoint_dir(spark), *parts)
 
 
-def materialize(df):
-    """Cut lineage by a reliable checkpoint in the shared checkpoint folder
-    (used where one batch's result feeds the next batch's state)."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def cluster_conf(shuffle_bytes: float, total_cores: int, target_partition_mb: int = 256) -> dict:
     """Settings sized for a cluster run, so each shuffle partition fits
     executor memory without spilling heavily.

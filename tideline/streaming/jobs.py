@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 from tideline.functions import schemas as S
 from tideline.operators import cdc, dau, offsets, orders
 from tideline.operators.parse import parse_orders, parse_province, parse_start_log, split_valid
+from tideline.sources.messages import WIDE_ORDER_TOPIC
 from tideline.streaming.buckets import BucketTable
 from tideline.streaming.dau_state import SEEN_TTL_MS
 from tideline.streaming.io import kafka_sink
@@ -366,7 +367,7 @@ def start_cdc_rejects(msgs: DataFrame, root: str, checkpoint: str, dialect: str
     return _start(w, trigger)
 
 
-def publish_wide_orders(write_messages: Callable[[DataFrame], None], topic: str = "DW_ORDER_INFO"
+def publish_wide_orders(write_messages: Callable[[DataFrame], None], topic: str = WIDE_ORDER_TOPIC
                         ) -> Callable[[DataFrame, int], None]:
     """K9 as an ``order_batch`` sink: key = order id, value = JSON of the
     wide order, e.g. ``publish_wide_orders(io.kafka_batch_writer(servers))``."""
