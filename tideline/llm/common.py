@@ -153,7 +153,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         new = saved(step.join(jump, "m").select("u", F.least("m", "ml").alias("l"), (F.least("m", "ml") < F.col("l")).alias("moved")))
         if not new.filter("moved").limit(1).count():
             return new.select(F.col("u").alias("node"), F.col("l").alias("component"))
-        labels = saved(new.select("u", "l"))
+        labels = new.select("u", "l")
 
 
 # ------------------------------------------------------- numpy word kernels

@@ -233,8 +233,10 @@ def _near_pairs(near: DataFrame) -> DataFrame:
     hub = near.groupBy("y").agg(F.min(F.when(~F.col("linked"), F.col("gap"))).alias("out"), F.min("gap").alias("least"),
                                 F.max("nx").alias("most")).filter("out IS NOT NULL")
     alive = saved(near.join(saved(hub.select("y")), "y", "left_semi").select("x", "y", "nx", "gap", "linked", F.explode("delta").alias("t")))
+    # one of a pair is not linked to the hub: what only linked members hold joins none
+    held = F.count("*").alias("df"), F.bool_and("linked").alias("sure")
     for _ in range(2):  # a link needs shared delta shingles: drop what is held once, and members left with too few
-        often = saved(alive.groupBy("y", "t").agg(F.count("*").alias("df")).filter("df > 1"))
+        often = saved(alive.groupBy("y", "t").agg(*held).filter("df > 1 AND NOT sure").drop("sure"))
         alive = saved(alive.join(often, ["y", "t"]).drop("df"))
         u = alive.groupBy("x", "y", "nx", "gap", "linked").agg(F.count("*").alias("u"))
         hub = u.groupBy("y").agg(F.min(F.when(~F.col("linked"), F.col("gap"))).alias("out"), F.min("gap").alias("least"),
@@ -244,7 +246,7 @@ def _near_pairs(near: DataFrame) -> DataFrame:
         able = saved(u.join(hub, "y").withColumn("d", bound).withColumn("low", F.greatest(low, F.lit(1))).filter("2 * u >= low")
                      .select("x", "y", "u", F.expr("(low + 1) div 2").alias("o")))
         alive = saved(alive.join(able.select("x", "y"), ["x", "y"], "left_semi"))
-    often = saved(alive.groupBy("y", "t").agg(F.count("*").alias("df")).filter("df > 1"))
+    often = saved(alive.groupBy("y", "t").agg(*held).filter("df > 1 AND NOT sure").drop("sure"))
     rare = Window.partitionBy("x", "y").orderBy("df", "t")
     prefix = saved(alive.join(often, ["y", "t"]).withColumn("at", F.row_number().over(rare)).join(able, ["x", "y"])
                    .filter("at <= u - o + 1").select("x", "y", "t", "nx", "gap", "linked", "u"))

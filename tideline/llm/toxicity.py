@@ -21,6 +21,8 @@ example holds has no weight.
 Scale: the sample (``MAX_EXAMPLES`` labels, the first by hash, as far as ``MAX_TERMS``
 terms go) bounds everything that is broadcast, in rows and in bytes.  The corpus is read twice, for document frequencies (one row per term
 and task moves) and for scores; nothing else of it moves.
+The driver holds one gathered table at a time and nothing of the model once it is sent;
+``drop_toxic`` saves the row ids that go and destroys the model.
 """
 
 from __future__ import annotations
@@ -30,7 +32,8 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -264,6 +267,10 @@ class Model:
         self.rate_empty = (self.toxic[empty].sum() + self.rate) / (empty.sum() + 1)
         self.grid = self.fit = self._index = None
 
+    def forget(self) -> None:
+        """Only the rates stay, for ``calibrate``: the tasks have the rest."""
+        self.vocabulary = self.weight = self.doc = self.toxic = self.at = self.ids = self.counts = None
+
     def example(self, e: int) -> tuple[np.ndarray, np.ndarray]:
         return self.ids[self.at[e]:self.at[e + 1]], self.counts[self.at[e]:self.at[e + 1]]
 
@@ -349,19 +356,59 @@ def _score(shared, grid, fit, extra: list[str]):
 def term_factors(held, n1: float, n0: float) -> np.ndarray:
     """1 for a term that is as frequent under both labels, more by its chi-square in
     units of what chance alone reaches about once in so many terms."""
-    a, b = held["n1"].to_numpy().astype(np.float64), held["n0"].to_numpy().astype(np.float64)
-    beside = n1 * n0 * (a + b) * (n1 + n0 - a - b)
-    chi = np.divide((n1 + n0) * (a * (n0 - b) - b * (n1 - a)) ** 2, beside, out=np.zeros(len(a)), where=beside > 0)
-    return 1 + chi / (2 * np.log(max(len(a), 1)) + 1)
+    out = np.empty(len(held))
+    for i in range(0, len(out), 1 << 16):  # few at a time, for memory
+        a, b = (held[c].slice(i, 1 << 16).to_numpy().astype(np.float64) for c in ("n1", "n0"))
+        beside = n1 * n0 * (a + b) * (n1 + n0 - a - b)
+        out[i:i + len(a)] = np.divide((n1 + n0) * (a * (n0 - b) - b * (n1 - a)) ** 2, beside, out=np.zeros(len(a)), where=beside > 0)
+    return 1 + out / (2 * np.log(max(len(out), 1)) + 1)
 
 
-def toxicity(docs: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLES, max_terms: int = MAX_TERMS) -> DataFrame:
-    """One row per document: row id, doc_id, held_out, score, predicted, evidence (the
-    three nearest examples).  Held-out documents are not learned from."""
-    spark = docs.sparkSession
-    fold = lambda c: F.coalesce(F.crc32(F.col(c).cast("string")) % FOLDS == HELD_FOLD, F.lit(False))
-    texts = with_rid(docs, ["doc_id", "text"]).withColumn("held_out", fold("doc_id"))
-    known = labels.filter("toxic IS NOT NULL AND doc_id IS NOT NULL").filter(~fold("doc_id")) \
+def _give_back() -> None:
+    """Arrow keeps the memory of tables that are gone: the driver has better use for it."""
+    pa.default_memory_pool().release_unused()
+
+
+def _vocabulary(held: pa.Table, n1: float, n0: float) -> tuple[np.ndarray, np.ndarray]:
+    """The sorted terms and their factors."""
+    terms = held["term"].to_numpy().view(np.uint64)
+    order = np.argsort(terms)
+    return terms[order], term_factors(held, n1, n0)[order]
+
+
+def _in_order(gathered: pa.Table) -> pa.Table:
+    """The examples by doc_id and row id, without their row id: each list is copied once."""
+    order = np.lexsort((gathered[RID].to_numpy(), gathered["doc_id"].to_numpy()))
+    place = np.empty(len(order), np.int64)
+    place[order] = np.arange(len(order))
+    sizes = pc.list_value_length(gathered["ids"]).to_numpy().astype(np.int64)
+    at = np.concatenate(([0], np.cumsum(sizes[order])))
+    lists = []
+    for name in ("ids", "counts"):
+        values, row = np.empty(at[-1], np.int32), 0
+        for chunk in gathered[name].chunks:
+            ends, flat = chunk.offsets.to_numpy(), chunk.values.to_numpy()
+            for a, b, k in zip(ends[:-1].tolist(), ends[1:].tolist(), place[row:row + len(chunk)].tolist()):
+                values[at[k]:at[k + 1]] = flat[a:b]
+            row += len(chunk)
+        lists.append(pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(values)))
+    return pa.table({"doc_id": gathered["doc_id"].to_numpy()[order], "toxic": gathered["toxic"].to_numpy()[order],
+                     "ids": lists[0], "counts": lists[1]})
+
+
+def _texts(docs: DataFrame) -> DataFrame:
+    return with_rid(docs, ["doc_id", "text"]).withColumn("held_out", _held_out("doc_id"))
+
+
+def _held_out(c: str) -> Column:
+    return F.coalesce(F.crc32(F.col(c).cast("string")) % FOLDS == HELD_FOLD, F.lit(False))
+
+
+def _learned(texts: DataFrame, labels: DataFrame, max_examples: int, max_terms: int):
+    """(broadcast model, grid, fit).  The driver holds one of the gathered tables at a time
+    and of the model no more than is sent."""
+    spark = texts.sparkSession
+    known = labels.filter("toxic IS NOT NULL AND doc_id IS NOT NULL").filter(~_held_out("doc_id")) \
         .groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic")) \
         .orderBy(F.md5(F.col("doc_id").cast("string")), "doc_id").limit(max_examples)
     sample = saved(texts.join(F.broadcast(known), "doc_id").select(RID, "doc_id", "toxic", "text"))
@@ -371,9 +418,9 @@ def toxicity(docs: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLE
     n1, n0 = (float(x or 0) for x in sample.select("toxic", "text").distinct().agg(F.sum("toxic"), F.sum(1 - F.col("toxic"))).first())
     held = sample.select("toxic", "text").distinct().mapInArrow(_presence, "term long, n1 long, n0 long") \
         .groupBy("term").agg(F.sum("n1").alias("n1"), F.sum("n0").alias("n0")).toArrow()
-    terms = held["term"].to_numpy().view(np.uint64)
-    order = np.argsort(terms)
-    vocabulary, factors = terms[order], term_factors(held, n1, n0)[order]
+    vocabulary, factors = _vocabulary(held, n1, n0)
+    del held
+    _give_back()
     shared_terms = spark.sparkContext.broadcast(vocabulary)
 
     df = texts.select("text").mapInArrow(_document_counts(shared_terms), "id int, n long").groupBy("id").agg(F.sum("n").alias("n")).toArrow()
@@ -381,30 +428,49 @@ def toxicity(docs: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLE
     weight = np.full(len(vocabulary), np.log(1.0 + n_docs) + 1)
     weight[df["id"].to_numpy()] = np.log((1.0 + n_docs) / (1.0 + df["n"].to_numpy())) + 1
     weight *= factors
+    del df, factors
+    _give_back()
 
     def counted(batches):
         return _counts(shared_terms.value, [RID, "doc_id", "toxic"])(batches)
 
-    examples = sample.select(RID, "doc_id", "toxic", "text").mapInArrow(
-        counted, f"{RID} long, doc_id long, toxic int, ids array<int>, counts array<int>").toArrow() \
-        .sort_by([("doc_id", "ascending"), (RID, "ascending")])
+    examples = _in_order(sample.select(RID, "doc_id", "toxic", "text").mapInArrow(
+        counted, f"{RID} long, doc_id long, toxic int, ids array<int>, counts array<int>").toArrow())
+    shared_terms.destroy()
     model = Model(examples, vocabulary, weight)
     shared = spark.sparkContext.broadcast(model)
     n = len(examples)
+    del examples, vocabulary, weight
+    model.forget()
+    _give_back()
     if n:
         bins = spark.range(0, n, 1, -(-n // 256)).mapInArrow(_self_votes(shared), "vote double, toxic int") \
             .groupBy(F.floor(F.col("vote") * BINS)).agg(F.avg("vote"), F.count("*"), F.sum("toxic")).collect()
         model.calibrate([tuple(r)[1:] for r in bins])
+    return shared, model.grid, model.fit
+
+
+def _scored(texts: DataFrame, shared, grid, fit) -> DataFrame:
     extra = [RID, "doc_id", "held_out"]
     return texts.select(*extra, "text").mapInArrow(
-        _score(shared, model.grid, model.fit, extra), f"{RID} long, doc_id long, held_out boolean, score double, "
+        _score(shared, grid, fit, extra), f"{RID} long, doc_id long, held_out boolean, score double, "
                                                       "evidence array<struct<doc_id:long,toxic:int,cosine:double>>") \
         .withColumn("predicted", (F.col("score") >= TOXIC).cast("int"))
 
 
+def toxicity(docs: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLES, max_terms: int = MAX_TERMS) -> DataFrame:
+    """One row per document: row id, doc_id, held_out, score, predicted, evidence (the
+    three nearest examples).  Held-out documents are not learned from."""
+    texts = _texts(docs)
+    return _scored(texts, *_learned(texts, labels, max_examples, max_terms))
+
+
 def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` that are not predicted toxic, all columns."""
     docs = docs if RID not in docs.columns else docs.withColumnRenamed(RID, RID + "_in")
     whole = with_rid(docs)
-    gone = toxicity(whole.drop(RID), labels).filter("predicted = 1").select(RID)
+    texts = _texts(whole.drop(RID))
+    shared, grid, fit = _learned(texts, labels, MAX_EXAMPLES, MAX_TERMS)
+    gone = saved(_scored(texts, shared, grid, fit).filter("predicted = 1").select(RID))
+    shared.destroy()  # nothing reads the model any more
     return whole.join(gone, RID, "left_anti").drop(RID)
