@@ -49,3 +49,29 @@ def test_shingles_of_linked_members_alone_join_no_pair(spark, monkeypatch):
     assert (41, 42) in pairs
     joined = [df.filter(F.col("t") < 9).count() for df in made if {"x", "t"} <= set(df.columns)]
     assert joined[0] == 40 * 8 + 4 and not any(joined[1:])
+
+
+def test_near_pairs_joins_members_not_shingles(spark, monkeypatch):
+    """Two hubs with members that hold 30 of 60 shingles in runs: the joins before the prefix see a row a member, and few tables are written."""
+    rows = [(100 * h + i, h, 200, 30, i % 3 == 0, [1000 * h + (2 * i + k) % 60 for k in range(30)]) for h in (1, 2) for i in range(1, 21)]
+    near = spark.createDataFrame(rows, "x long, y long, nx long, gap long, linked boolean, delta array<long>")
+    plans, saved = [], jaccard_join.saved
+    monkeypatch.setattr(jaccard_join, "saved", lambda df, *a: plans.append(df._jdf.queryExecution().optimizedPlan().toString()) or saved(df, *a))
+    pairs = {tuple(r) for r in jaccard_join._near_pairs(near).collect()}
+    link = {(a[0], b[0]) for a in rows for b in rows if a[0] < b[0] and a[1] == b[1] and not (a[4] and b[4])
+            and 30 + 30 - 2 * len({*a[5]} & {*b[5]}) <= 400 // 9}
+    assert link and link <= pairs and all(x // 100 == y // 100 for x, y in pairs)
+    assert not [line for plan in plans for line in plan.splitlines() if "Join" in line and " t#" in line.replace("(", " ")]
+    assert len(plans) <= 7  # before: 12, each a job of several stages whose broadcasts the driver holds
+
+
+def test_a_round_of_components_joins_twice(spark, monkeypatch):
+    edges = [(1, 2), (2, 3), (9, 8), (8, 7), (7, 6), (6, 5), (5, 5), (40, 41), (41, 40), (40, 41)] + [(k, k + 1) for k in range(100, 140)]
+    plans, saved = [], common.saved
+    monkeypatch.setattr(common, "saved", lambda df, *a: plans.append(df._jdf.queryExecution().optimizedPlan().toString()) or saved(df, *a))
+    found = common.components(spark.createDataFrame(edges, "a long, b long"))
+    want = {n: 1 for n in (1, 2, 3)} | {n: 5 for n in range(5, 10)} | {40: 40, 41: 40} | {n: 100 for n in range(100, 141)}
+    assert {r.node: r.component for r in found.collect()} == want and found.count() == len(want)
+    assert max(plan.count("Join Inner") for plan in plans) == 2  # before: 3
+    none = common.components(spark.createDataFrame([], "a long, b long"))
+    assert none.count() == 0

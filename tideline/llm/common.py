@@ -142,16 +142,17 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     reach.  Each round takes the smallest label among a node's neighbours (a
     map-side combined minimum) and then the label of that label; lineage is cut
     every round."""
-    both = saved(edges.select(F.col(a).alias("u"), F.col(b).alias("v"))
-                 .union(edges.select(F.col(b).alias("u"), F.col(a).alias("v"))).distinct())
-    labels = saved(both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("l")))
+    a, b = F.col(a), F.col(b)
+    ends = F.array(*[F.struct(u.alias("u"), v.alias("v")) for u, v in ((a, b), (b, a), (a, a), (b, b))])
+    both = saved(edges.select(F.inline(ends)).distinct())
+    labels = saved(both.groupBy("u").agg(F.min("v").alias("l")))
     while True:
-        near = both.join(labels.select(F.col("u").alias("v"), F.col("l").alias("vl")), "v") \
-            .groupBy("u").agg(F.min("vl").alias("nl"))
-        step = labels.join(near, "u").select("u", "l", F.least("l", "nl").alias("m"))
+        # a node is a neighbour of its own: its label comes along, without a join
+        step = both.join(labels.select(F.col("u").alias("v"), F.col("l").alias("vl")), "v") \
+            .groupBy("u").agg(F.max(F.when(F.col("u") == F.col("v"), F.col("vl"))).alias("l"), F.min("vl").alias("m"))
         jump = labels.select(F.col("u").alias("m"), F.col("l").alias("ml"))
         new = saved(step.join(jump, "m").select("u", F.least("m", "ml").alias("l"), (F.least("m", "ml") < F.col("l")).alias("moved")))
-        if not new.filter("moved").limit(1).count():
+        if new.filter("moved").isEmpty():
             return new.select(F.col("u").alias("node"), F.col("l").alias("component"))
         labels = new.select("u", "l")
 

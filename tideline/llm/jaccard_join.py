@@ -230,26 +230,24 @@ def _stars(members: DataFrame, classes: DataFrame) -> DataFrame:
 def _near_pairs(near: DataFrame) -> DataFrame:
     """Pairs of members near one hub, not both linked to it, that may link: near holds
     (x, y, nx, gap, linked, delta) for hub y."""
-    hub = near.groupBy("y").agg(F.min(F.when(~F.col("linked"), F.col("gap"))).alias("out"), F.min("gap").alias("least"),
-                                F.max("nx").alias("most")).filter("out IS NOT NULL")
-    alive = saved(near.join(saved(hub.select("y")), "y", "left_semi").select("x", "y", "nx", "gap", "linked", F.explode("delta").alias("t")))
-    # one of a pair is not linked to the hub: what only linked members hold joins none
-    held = F.count("*").alias("df"), F.bool_and("linked").alias("sure")
+    def hubs(rows: DataFrame) -> DataFrame:
+        return rows.groupBy("y").agg(F.min(F.when(~F.col("linked"), F.col("gap"))).alias("out"), F.min("gap").alias("least"),
+                                     F.max("nx").alias("most")).filter("out IS NOT NULL")
+
+    one, bound = ["x", "y", "nx", "gap", "linked"], F.expr("least(nx div 4, (nx + most) div 9)")
+    low = F.expr("if(linked, gap + out - d, gap + greatest(least, gap - d) - d)")
+    holders = Window.partitionBy("y", "t")
+    alive = saved(near.join(saved(hubs(near).select("y")), "y", "left_semi").select(*one, F.explode("delta").alias("t")))
     for _ in range(2):  # a link needs shared delta shingles: drop what is held once, and members left with too few
-        often = saved(alive.groupBy("y", "t").agg(*held).filter("df > 1 AND NOT sure").drop("sure"))
-        alive = saved(alive.join(often, ["y", "t"]).drop("df"))
-        u = alive.groupBy("x", "y", "nx", "gap", "linked").agg(F.count("*").alias("u"))
-        hub = u.groupBy("y").agg(F.min(F.when(~F.col("linked"), F.col("gap"))).alias("out"), F.min("gap").alias("least"),
-                                 F.max("nx").alias("most")).filter("out IS NOT NULL")
-        bound = F.expr("least(nx div 4, (nx + most) div 9)")
-        low = F.expr("if(linked, gap + out - d, gap + greatest(least, gap - d) - d)")
-        able = saved(u.join(hub, "y").withColumn("d", bound).withColumn("low", F.greatest(low, F.lit(1))).filter("2 * u >= low")
-                     .select("x", "y", "u", F.expr("(low + 1) div 2").alias("o")))
-        alive = saved(alive.join(able.select("x", "y"), ["x", "y"], "left_semi"))
-    often = saved(alive.groupBy("y", "t").agg(*held).filter("df > 1 AND NOT sure").drop("sure"))
-    rare = Window.partitionBy("x", "y").orderBy("df", "t")
-    prefix = saved(alive.join(often, ["y", "t"]).withColumn("at", F.row_number().over(rare)).join(able, ["x", "y"])
-                   .filter("at <= u - o + 1").select("x", "y", "t", "nx", "gap", "linked", "u"))
+        # one of a pair is not linked to the hub: what only linked members hold joins none
+        held = alive.withColumn("df", F.count("*").over(holders)).withColumn("sure", F.bool_and("linked").over(holders)) \
+            .filter("df > 1 AND NOT sure")
+        # a row a member again, rare shingles first: what follows joins members, not shingles
+        members = saved(held.groupBy(*one).agg(F.sort_array(F.collect_list(F.struct("df", "t"))).getField("t").alias("left")))
+        able = members.join(saved(hubs(members)), "y").withColumn("d", bound).withColumn("low", F.greatest(low, F.lit(1))) \
+            .select(*one, "left", F.size("left").alias("u"), F.expr("(low + 1) div 2").alias("o")).filter("u >= o")
+        alive = able.select(*one, F.explode("left").alias("t"))
+    prefix = saved(able.select(*one, "u", F.explode(F.expr("slice(left, 1, cast(u - o + 1 as int))")).alias("t")))
     two = prefix.select("y", "t", *[F.col(c).alias(c + "2") for c in ("x", "nx", "gap", "linked", "u")])
     return prefix.join(two, ["y", "t"]).filter(
         "x < x2 AND NOT (linked AND linked2) AND 2 * least(u, u2) >= gap + gap2 - (nx + nx2) div 9").select("x", "x2").distinct()
@@ -362,8 +360,7 @@ def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     docs = docs if RID not in docs.columns else docs.withColumnRenamed(RID, RID + "_in")
     whole = with_rid(docs)
     rows, _ = jaccard_components(whole.drop(RID))
-    low = saved(rows.groupBy("component").agg(F.min("doc_id").alias("low"), F.count("*").alias("g")).filter("g > 1"))
-    group = rows.join(low, "component")
-    stays = saved(group.filter(F.col("doc_id").eqNullSafe(F.col("low"))).groupBy("component").agg(F.min(RID).alias("stay")))
-    gone = group.join(stays, "component").filter(F.col(RID) != F.col("stay")).select(RID)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", RID)).getField(RID)
+    stays = saved(rows.groupBy("component").agg(first.alias("stay"), F.count("*").alias("g")).filter("g > 1"))
+    gone = rows.join(stays, "component").filter(F.col(RID) != F.col("stay")).select(RID)
     return whole.join(gone, RID, "left_anti").drop(RID)
